@@ -30,11 +30,17 @@ ITEM_COLUMNS = [
     "categoria_id", "cantidad", "precio_unitario", "subtotal", "moneda",
 ]
 
-NO_TEXT = F.lit(None).cast("string")
-NO_TIME = F.lit(None).cast("timestamp_ntz")
 DEFAULT_CURRENCY = "ARS"
 
 
+def no_text() -> Column:
+    return F.lit(None).cast("string")
+
+
+def no_time() -> Column:
+    return F.lit(None).cast("timestamp_ntz")
+
+
 @dataclass(frozen=True)
 class Channel:
     id: int
@@ -71,7 +77,7 @@ def _vtex_orders(raw: DataFrame) -> DataFrame:
             "monto_total": from_cents(F.col("value")),
             "fecha_creacion": try_timestamp(F.col("creationDate")),
             "fecha_actualizacion": try_timestamp(F.col("lastChange")),
-            "fecha_cierre": NO_TIME,
+            "fecha_cierre": no_time(),
             "tiene_cliente": F.col("clientProfileData").isNotNull(),
             "cliente_id_origen": F.col("who.userProfileId"),
             "email": F.col("who.email"),
@@ -109,11 +115,11 @@ def _meli_orders(raw: DataFrame) -> DataFrame:
             "cliente_id_origen": F.col("who.id"),
             "email": F.col("who.email"),
             "nombre": F.col("who.nickname"),
-            "apellido": NO_TEXT,
-            "telefono": NO_TEXT,
+            "apellido": no_text(),
+            "telefono": no_text(),
             "tiene_direccion": F.lit(False),
             "direccion_legible": F.lit(False),
-            **{c: NO_TEXT for c in ("calle", "altura", "complemento", "ciudad", "provincia", "cp", "pais")},
+            **{c: no_text() for c in ("calle", "altura", "complemento", "ciudad", "provincia", "cp", "pais")},
         },
     )
 
@@ -138,14 +144,14 @@ def _garbarino_orders(raw: DataFrame) -> DataFrame:
             "status": F.col("status"),
             "monto_total": try_double(F.col("sale.total")),
             "fecha_creacion": try_timestamp(F.col("created")),
-            "fecha_actualizacion": NO_TIME,
-            "fecha_cierre": NO_TIME,
+            "fecha_actualizacion": no_time(),
+            "fecha_cierre": no_time(),
             "tiene_cliente": F.col("customer").isNotNull(),
             "cliente_id_origen": F.col("who.id"),
             "email": F.col("who.email"),
             "nombre": F.col("who.name"),
-            "apellido": NO_TEXT,
-            "telefono": NO_TEXT,
+            "apellido": no_text(),
+            "telefono": no_text(),
             "tiene_direccion": F.col("billing_address").isNotNull(),
             "direccion_legible": F.col("billing_address").startswith("{"),
             "calle": F.col("place.street"),
@@ -160,7 +166,8 @@ def _garbarino_orders(raw: DataFrame) -> DataFrame:
 
 
 def _items(
-    raw: DataFrame, order_id: str, version: str, array: str, ddl: str, fields: dict[str, Column]
+    raw: DataFrame, order_id: str, version: str, array: str, ddl: str, fields: dict[str, Column],
+    scale: float = 1.0,
 ) -> DataFrame:
     documents = raw.select(
         F.col(order_id).cast("string").alias("orden_id_origen"),
@@ -168,10 +175,12 @@ def _items(
         F.col(array).alias("elements"),
     )
     exploded = explode_documents(documents, "elements", ddl)
-    priced = exploded.select(
+    amounts = exploded.select(
         "orden_id_origen", "version", "posicion", *[c.alias(n) for n, c in fields.items()]
     )
-    return priced.withColumn("subtotal", F.col("cantidad") * F.col("precio_unitario"))
+    return amounts.withColumn("subtotal", F.col("cantidad") * F.col("precio") / F.lit(scale)).withColumn(
+        "precio_unitario", F.col("precio") / F.lit(scale)
+    )
 
 
 def _vtex_items(raw: DataFrame) -> DataFrame:
@@ -181,11 +190,12 @@ def _vtex_items(raw: DataFrame) -> DataFrame:
         {
             "producto_id_origen": F.col("item.productId"),
             "nombre_producto": F.col("item.name"),
-            "categoria_id": NO_TEXT,
+            "categoria_id": no_text(),
             "cantidad": try_int(F.col("item.quantity")),
-            "precio_unitario": from_cents(F.col("item.sellingPrice")),
+            "precio": try_double(F.col("item.sellingPrice")),
             "moneda": F.lit(DEFAULT_CURRENCY),
         },
+        scale=100.0,
     )
 
 
@@ -199,7 +209,7 @@ def _meli_items(raw: DataFrame) -> DataFrame:
             "nombre_producto": F.col("item.item.title"),
             "categoria_id": F.col("item.item.category_id"),
             "cantidad": try_int(F.col("item.quantity")),
-            "precio_unitario": try_double(F.col("item.unit_price")),
+            "precio": try_double(F.col("item.unit_price")),
             "moneda": F.col("item.currency_id"),
         },
     )
@@ -212,9 +222,9 @@ def _garbarino_items(raw: DataFrame) -> DataFrame:
         {
             "producto_id_origen": F.col("item.product_id"),
             "nombre_producto": F.col("item.title"),
-            "categoria_id": NO_TEXT,
+            "categoria_id": no_text(),
             "cantidad": try_int(F.col("item.quantity")),
-            "precio_unitario": try_double(F.col("item.price")),
+            "precio": try_double(F.col("item.price")),
             "moneda": F.lit(DEFAULT_CURRENCY),
         },
     )

@@ -3,7 +3,8 @@
 Orders are reduced to one row per customer and output grain before they meet the customer's
 location. That keeps a customer with very many orders (or the missing customer) small, and
 turns distinct-customer counts into plain counts, because the location depends on the
-customer alone. Sorting is left to the reader of a table; ``sorted_by`` gives the usual order.
+customer alone. Amounts may be DOUBLE or DECIMAL; with DECIMAL the sums do not depend on the order of
+the rows. Sorting is left to the reader of a table; ``sorted_by`` gives the usual order.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def _customer_place(
 
 
 def _mean(total: str, number: str) -> Column:
-    return F.sum(total) / F.nullif(F.sum(number), F.lit(0))
+    return kpi.ratio(F.sum(total), F.sum(number))
 
 
 # --- sales ----------------------------------------------------------------------------------
@@ -180,7 +181,7 @@ def clientes_resumen(
         .agg(
             F.count(F.lit(1)).alias("total_pedidos"),
             F.sum("monto_total").alias("ltv"),
-            F.avg("monto_total").alias("ticket_promedio"),
+            kpi.ratio(F.sum("monto_total"), F.count("monto_total")).alias("ticket_promedio"),
             F.min("fecha_pedido").alias("primer_pedido"),
             F.max("fecha_pedido").alias("ultimo_pedido"),
         )
@@ -326,7 +327,7 @@ def penetracion_mercado(ventas_por_ubicacion: DataFrame) -> DataFrame:
     )
 
 
-def _same_place(pais: str = "pais") -> Column:
+def _same_place() -> Column:
     """Match raw place names with the folded ones of the sales-by-location table."""
     country = F.when(F.col("pais_codigo") == "AR", F.lit("Argentina")).otherwise(F.col("pais_codigo"))
     return (

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions import kpi
 from quarry.functions.casts import (
     coordinate, country_code, try_double, try_int, try_timestamp,
 )
@@ -319,7 +320,11 @@ def geo_envio(raw: Raw) -> DataFrame:
                     F.lit("origen_vendedor").alias("tipo"),
                     F.col("sender_address").alias("document"),
                 ),
-                F.struct(F.lit("destino"), F.lit("destino_comprador"), F.col("receiver_address")),
+                F.struct(
+                    F.lit("destino").alias("scope"),
+                    F.lit("destino_comprador").alias("tipo"),
+                    F.col("receiver_address").alias("document"),
+                ),
             )
         ),
     ).where("document is not null")
@@ -527,7 +532,7 @@ def canal_producto(producto: DataFrame, canal: DataFrame, item_pedido: DataFrame
         F.sum("amount").alias("revenue_total"),
         F.min("low").alias("precio_min"),
         F.max("high").alias("precio_max"),
-        (F.sum("price_sum") / F.nullif(F.sum("priced"), F.lit(0))).alias("precio_promedio"),
+        kpi.ratio(F.sum("price_sum"), F.sum("priced")).alias("precio_promedio"),
     )
     catalogue = producto.select("canal", "producto_id", "producto_id_origen", "nombre", "categoria_id")
     return (

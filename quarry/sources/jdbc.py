@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: where an incremental extract starts when nothing was extracted before.
@@ -59,10 +59,9 @@ def newer_than(df: DataFrame, incremental: dict | None, last_value: str | None)
     return df.where(F.col(key) > mark.cast(df.schema[key].dataType))
 
 
-def high_water_mark(df: DataFrame, incremental: dict | None) -> DataFrame:
-    """One row with the largest key extracted, as text for the run log."""
-    key = F.max(incremental["key_column"]) if incremental else F.lit(None)
-    return df.agg(key.cast("string").alias("mark"))
+def high_water_mark(incremental: dict) -> Column:
+    """Aggregate for the largest key extracted, as text for the run log."""
+    return F.max(incremental["key_column"]).cast("string")
 
 
 def read_jdbc_source(

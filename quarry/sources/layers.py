@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.sources.folder import has_files, read_folder
@@ -17,6 +17,7 @@ PARTITIONS = ["year", "month", "day"]
 class Written:
     path: str
     rows: int
+    measures: dict = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,18 @@ class Lake:
 
     # --- raw ---------------------------------------------------------------------------
 
-    def write_raw(self, df: DataFrame, source: str, table: str, mode: str = "append") -> Written:
+    def write_raw(
+        self,
+        df: DataFrame,
+        source: str,
+        table: str,
+        mode: str = "append",
+        measures: dict[str, Column] | None = None,
+    ) -> Written:
         """Write a batch below its ingestion date.
 
         ``append`` keeps earlier batches of the same day; ``replace_day`` replaces that day only.
+        ``measures`` are aggregates taken while writing.
         """
         if "_ingestion_timestamp" not in df.columns:
             df = with_lineage(df, source)
@@ -53,9 +62,11 @@ class Lake:
         )
         path = self.raw_path(source, table)
         if mode == "append":
-            return _write(dated, path, "append", PARTITIONS)
+            return _write(dated, path, "append", PARTITIONS, measures)
         if mode == "replace_day":
-            return _write(dated, path, "overwrite", PARTITIONS, partitionOverwriteMode="dynamic")
+            return _write(
+                dated, path, "overwrite", PARTITIONS, measures, partitionOverwriteMode="dynamic"
+            )
         raise ValueError(f"raw write mode {mode!r}; use 'append' or 'replace_day'")
 
     def read_raw(
@@ -119,15 +130,23 @@ class Lake:
 
 
 def _write(
-    df: DataFrame, path: str, mode: str, partitions: list[str] | None = None, **options: str
+    df: DataFrame,
+    path: str,
+    mode: str,
+    partitions: list[str] | None = None,
+    measures: dict[str, Column] | None = None,
+    **options: str,
 ) -> Written:
     """Write and count in the same pass."""
     counted = Observation()
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode).options(**options)
+    wanted = [c.alias(name) for name, c in (measures or {}).items()]
+    observed = df.observe(counted, F.count(F.lit(1)).alias("rows"), *wanted)
+    writer = observed.write.mode(mode).options(**options).option("compression", "snappy")
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.option("compression", "snappy").parquet(path)
-    return Written(path, counted.get["rows"])
+    writer.parquet(path)
+    found = dict(counted.get)
+    return Written(path, found.pop("rows"), found)
 
 
 def ingest_folders(
