@@ -58,15 +58,21 @@ def value_ranks(
     )
 
 
-def with_rank(
-    df: DataFrame, groups: list[str], value: str, rank: str, splitters: int = 64
+def with_ranks(
+    df: DataFrame, groups: list[str], ranks: dict[str, str], splitters: int = 64
 ) -> DataFrame:
-    """Add RANK() OVER (PARTITION BY groups ORDER BY value DESC NULLS LAST)."""
-    ranks = value_ranks(df, groups, value, rank, splitters)
-    keys = [*groups, value]
-    renamed = ranks.select(*[F.col(k).alias(f"__k_{k}") for k in keys], rank)
-    same = _all([F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
-    return df.join(renamed, same).select(*df.columns, rank)
+    """Add RANK() OVER (PARTITION BY groups ORDER BY value DESC NULLS LAST) per {value: name}.
+
+    The input is read several times; hand in a table or a checkpoint when it is costly.
+    """
+    result = df
+    for value, rank in ranks.items():
+        keys = [*groups, value]
+        found = value_ranks(df, groups, value, rank, splitters)
+        renamed = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys], rank)
+        same = _all([F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+        result = result.join(renamed, same).drop(*[f"__k_{k}" for k in keys])
+    return result
 
 
 def exact_percentiles(

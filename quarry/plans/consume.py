@@ -19,7 +19,7 @@ from quarry.functions.geo import CENTRE_LATITUDE, CENTRE_LONGITUDE, geo_point, h
 from quarry.functions.text import accent_fold, city_key
 from quarry.operators.dedup import best_row
 from quarry.operators.joins import keep_matching, with_scalars
-from quarry.operators.ordered import with_rank
+from quarry.operators.ordered import with_ranks
 
 PLACE = ["ciudad", "provincia", "pais_codigo"]
 
@@ -157,13 +157,17 @@ def ventas_por_canal(
 
 
 def top_productos(canal_producto: DataFrame) -> DataFrame:
-    """Products ranked by revenue and by units within their channel."""
+    """Products ranked by revenue and by units within their channel.
+
+    A channel holds a large part of the catalogue, so the ranks are not taken in a plain window.
+    """
     sold = canal_producto.where("total_unidades > 0").select(
         "canal", "nombre", "producto_id_origen", "categoria_id", "total_pedidos",
         "total_unidades", "revenue_total", "precio_min", "precio_max", "precio_promedio",
     )
-    by_revenue = with_rank(sold, ["canal"], "revenue_total", "rank_revenue")
-    return with_rank(by_revenue, ["canal"], "total_unidades", "rank_unidades")
+    return with_ranks(
+        sold, ["canal"], {"revenue_total": "rank_revenue", "total_unidades": "rank_unidades"}
+    )
 
 
 def clientes_resumen(
@@ -249,6 +253,7 @@ def ventas_por_ubicacion(
     cliente_pedido: DataFrame,
     item_pedido: DataFrame,
     direccion_geocodificada: DataFrame,
+    point_decimals: int | None = None,
 ) -> DataFrame:
     """Customers and sales per city; all of a customer's orders count at the principal place.
 
@@ -291,7 +296,7 @@ def ventas_por_ubicacion(
         "ciudad", "provincia",
         F.when(F.col("pais_codigo") == "AR", F.lit("Argentina")).otherwise(F.col("pais_codigo")).alias("pais"),
         "latitud", "longitud",
-        geo_point(F.col("latitud"), F.col("longitud")).alias("geo_point"),
+        geo_point(F.col("latitud"), F.col("longitud"), point_decimals).alias("geo_point"),
         "population", "clientes_unicos", "total_pedidos", "revenue_total", "ticket_promedio",
     )
 

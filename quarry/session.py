@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
 
@@ -19,6 +19,8 @@ def build_session(app: str = "quarry", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # call sites are only used in error messages; recording them slows plan building
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -40,3 +42,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         _local_scratch = _local_scratch or tempfile.mkdtemp(prefix="quarry-")
         base = _local_scratch
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a result to the shared scratch folder and read it back.
+
+    For results that are read several times: computed once, and a lost executor costs nothing.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
