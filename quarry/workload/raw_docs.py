@@ -62,12 +62,16 @@ def longitude(c: str = "n_nationkey") -> Column:
     return F.when(F.col(c) % 7 != 6, known).otherwise(F.lit(0.0))
 
 
-def line_documents(spark: SparkSession, sf: str, channel: int, element: Column) -> DataFrame:
+def line_documents(
+    spark: SparkSession, sf: str, channel: int | None, element: Column
+) -> DataFrame:
     """(l_orderkey, elements) with the lines of an order as one JSON array.
 
     An order with many lines is spread over several documents of bounded size.
     """
-    lines = table(spark, sf, "lineitem").where(F.col("l_orderkey") % 3 == channel)
+    lines = table(spark, sf, "lineitem")
+    if channel is not None:
+        lines = lines.where(F.col("l_orderkey") % 3 == channel)
     large = (
         lines.groupBy(F.col("l_orderkey").alias("large_key"))
         .agg(F.count(F.lit(1)).alias("lines"))
