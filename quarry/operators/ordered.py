@@ -22,17 +22,18 @@ def value_ranks(
         .groupBy(*groups, F.pmod(digest, F.lit(splitters)).alias("__class"))
         .agg(F.min_by(value, digest).alias("__cut"))
         .groupBy(*[F.col(g).alias(f"__g_{g}") for g in groups])
-        .agg(F.collect_list("__cut").alias("__cuts"))
+        .agg(F.sort_array(F.collect_list("__cut")).alias("__cuts"))
     )
     same_group = _all([F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups])
-    above = F.size(F.filter("__cuts", lambda cut: cut > F.col(value)))
-    ranged = counts.join(cuts, same_group, "left").select(
+    placed = _position(
+        counts.join(cuts, same_group, "left"), "__cuts", value, "__at_most", splitters, inclusive=True
+    )
+    above = F.coalesce(F.size("__cuts"), F.lit(0)) - F.col("__at_most")
+    ranged = placed.select(
         *groups,
         value,
         "__n",
-        F.when(F.col(value).isNull(), F.lit(splitters + 1))
-        .otherwise(F.coalesce(above, F.lit(0)))
-        .alias("__range"),
+        F.when(F.col(value).isNull(), F.lit(splitters + 1)).otherwise(above).alias("__range"),
     )
     # at most splitters + 2 rows per group
     totals = ranged.groupBy(*groups, "__range").agg(F.sum("__n").alias("__total"))
@@ -91,12 +92,12 @@ def exact_percentiles(
     cuts = (
         counts.groupBy(F.pmod(digest, F.lit(splitters)))
         .agg(F.min_by("v", digest).alias("cut"))
-        .agg(F.collect_list("cut"))  # at most `splitters` values
+        .agg(F.sort_array(F.collect_list("cut")))  # at most `splitters` values
         .scalar()
     )
-    ranged = counts.withColumn("cuts", cuts).select(
-        "v", "n", F.size(F.filter("cuts", lambda cut: cut < F.col("v"))).alias("range")
-    )
+    ranged = _position(
+        counts.withColumn("cuts", cuts), "cuts", "v", "range", splitters, inclusive=False
+    ).select("v", "n", "range")
     # at most splitters + 1 rows from here to `wanted`
     totals = ranged.groupBy("range").agg(F.sum("n").alias("total"))
     running = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
@@ -141,6 +142,24 @@ def exact_percentiles(
     )
 
 
+def _position(
+    df: DataFrame, cuts: str, value: str, name: str, most: int, inclusive: bool
+) -> DataFrame:
+    """Add how many of the sorted cuts lie below the value (or at most at it), by bisection."""
+    result = df.withColumn(name, F.lit(0))
+    step = 1
+    while step * 2 <= most:
+        step *= 2
+    while step:
+        cut = F.get(cuts, F.col(name) + F.lit(step - 1))
+        passed = cut <= F.col(value) if inclusive else cut < F.col(value)
+        result = result.withColumn(
+            name, F.when(passed, F.col(name) + F.lit(step)).otherwise(F.col(name))
+        )
+        step //= 2
+    return result
+
+
 def _all(conditions: list[Column]) -> Column:
     result = conditions[0]
     for condition in conditions[1:]:
