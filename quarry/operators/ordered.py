@@ -25,11 +25,9 @@ def value_ranks(
         .agg(F.sort_array(F.collect_list("__cut")).alias("__cuts"))
     )
     same_group = _all([F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups])
-    placed = _position(
-        counts.join(cuts, same_group, "left"), "__cuts", value, "__at_most", splitters, inclusive=True
-    )
-    above = F.coalesce(F.size("__cuts"), F.lit(0)) - F.col("__at_most")
-    ranged = placed.select(
+    at_most = _cuts_passed("__cuts", value, splitters, inclusive=True)
+    above = F.coalesce(F.size("__cuts"), F.lit(0)) - at_most
+    ranged = counts.join(cuts, same_group, "left").select(
         *groups,
         value,
         "__n",
@@ -95,9 +93,8 @@ def exact_percentiles(
         .agg(F.sort_array(F.collect_list("cut")))  # at most `splitters` values
         .scalar()
     )
-    ranged = _position(
-        counts.withColumn("cuts", cuts), "cuts", "v", "range", splitters, inclusive=False
-    ).select("v", "n", "range")
+    below = _cuts_passed("cuts", "v", splitters, inclusive=False)
+    ranged = counts.withColumn("cuts", cuts).select("v", "n", below.alias("range"))
     # at most splitters + 1 rows from here to `wanted`
     totals = ranged.groupBy("range").agg(F.sum("n").alias("total"))
     running = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
@@ -142,22 +139,18 @@ def exact_percentiles(
     )
 
 
-def _position(
-    df: DataFrame, cuts: str, value: str, name: str, most: int, inclusive: bool
-) -> DataFrame:
-    """Add how many of the sorted cuts lie below the value (or at most at it), by bisection."""
-    result = df.withColumn(name, F.lit(0))
-    step = 1
-    while step * 2 <= most:
-        step *= 2
-    while step:
-        cut = F.get(cuts, F.col(name) + F.lit(step - 1))
-        passed = cut <= F.col(value) if inclusive else cut < F.col(value)
-        result = result.withColumn(
-            name, F.when(passed, F.col(name) + F.lit(step)).otherwise(F.col(name))
-        )
-        step //= 2
-    return result
+def _cuts_passed(cuts: str, value: str, most: int, inclusive: bool) -> Column:
+    """How many of the sorted cuts lie below the value (or at most at it), by bisection."""
+    steps = [1]
+    while steps[0] * 2 <= most:
+        steps.insert(0, steps[0] * 2)
+
+    def advance(passed: Column, step: Column) -> Column:
+        cut = F.get(cuts, passed + step - 1)
+        beyond = cut <= F.col(value) if inclusive else cut < F.col(value)
+        return F.when(beyond, passed + step).otherwise(passed)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -170,7 +170,7 @@ def quarantine_unique(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "test_subtotal",
     """SELECT l_orderkey, l_partkey, l_quantity AS cantidad,
-        CAST(l_extendedprice AS DECIMAL(18, 2)) AS subtotal
+        l_extendedprice AS subtotal
     FROM lineitem JOIN part ON l_partkey = p_partkey
     WHERE abs(CAST(l_extendedprice AS DECIMAL(18, 2)) - CAST(CAST(l_quantity AS INTEGER) AS DECIMAL(10, 0))
         * CAST(p_retailprice AS DECIMAL(18, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2)))) > 10000""",

@@ -1 +1,563 @@
-"""Registered queries."""
+"""Sources, layers, files, mirrors, the run log and pipelines.
+
+What these queries write goes to fresh folders below the shared scratch folder; the whole tables
+go through each of them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.plans.runlog import RunLog
+from quarry.plans.runner import build_models, run_extraction, run_pipeline
+from quarry.session import scratch_path
+from quarry.sources import files, mirror
+from quarry.sources.csv import csv_schema
+from quarry.sources.folder import nested_to_json, read_folder
+from quarry.sources.layers import Lake, ingest_folders
+from quarry.sources.registry import read_source, register_source
+from quarry.streaming.raw_ingest import ingest_new_files
+from quarry.workload.raw_docs import raw_tables
+from quarry.workload.registry import query, table
+
+LINEAGE = ("_ingestion_timestamp", "_source_name", "_source_file", "year", "month", "day")
+TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
+
+
+def business(df: DataFrame) -> DataFrame:
+    return df.drop(*LINEAGE)
+
+
+def dated_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+DATED = "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders"
+
+
+# --- csv --------------------------------------------------------------------------------------
+
+
+@query(
+    "csv_source",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+        o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, 'ventas' AS _source_name,
+        TRUE AS stamped FROM orders""",
+)
+def csv_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Many ';'-separated files with a header, read through the source registry."""
+    folder = scratch_path(spark, "csv")
+    dated_orders(spark, sf).write.options(header=True, sep=";").csv(folder)
+    config = {
+        "name": "ventas", "type": "csv", "connection": {"delimiter": ";"},
+        "tables": [{"name": "pedidos", "path": f"{folder}/*.csv"}],
+    }
+    df = read_source(spark, config, "pedidos")
+    return df.withColumn("stamped", F.col("_ingestion_timestamp").isNotNull()).drop("_ingestion_timestamp")
+
+
+@query(
+    "csv_skip_rows",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+        o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders""",
+)
+def csv_skip_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every file starts with two lines of preamble before its header."""
+    orders = dated_orders(spark, sf)
+    header = ",".join(orders.columns)
+
+    def with_preamble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": ["report of orders", "", header]})
+        yield from batches
+
+    folder = scratch_path(spark, "csv-preamble")
+    lines = orders.select(F.to_csv(F.struct(*orders.columns)).alias("value"))
+    lines.mapInPandas(with_preamble, "value string").write.text(folder)
+    config = {"name": "ventas", "type": "csv", "path": f"{folder}/*.txt", "connection": {"skip_rows": 2}}
+    return business(read_source(spark, config, "pedidos"))
+
+
+@query(
+    "csv_schema",
+    """SELECT column_name, CASE WHEN column_type = 'BIGINT' THEN 'int' WHEN column_type = 'VARCHAR' THEN 'string'
+        WHEN column_type = 'TIMESTAMP' THEN 'date' ELSE lower(column_type) END AS data_type FROM (DESCRIBE orders) q""",
+)
+def csv_types(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "csv-schema")
+    dated_orders(spark, sf).write.options(header=True).csv(folder)
+    schema = csv_schema(spark, {"name": "ventas", "type": "csv", "path": folder}, "pedidos")
+    return spark.createDataFrame(list(schema.items()), "column_name string, data_type string")
+
+
+@query("csv_folder_union", "SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice, "
+       "CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority FROM orders")
+def csv_folder_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with other column orders and a missing column, concatenated by name."""
+    folder = scratch_path(spark, "csv-union")
+    orders = table(spark, sf, "orders")
+    full = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    orders.where("o_orderstatus = 'F'").select(*full).write.option("header", True).csv(f"{folder}/a")
+    orders.where("o_orderstatus <> 'F'").select("o_totalprice", "o_orderkey", "o_orderstatus").write.option(
+        "header", True
+    ).csv(f"{folder}/b")
+    return business(read_folder(spark, folder, "csv")).select(*full)
+
+
+# --- folders ------------------------------------------------------------------------------------
+
+
+@query(
+    "lenient_merge",
+    """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(floor(o_totalprice) AS DOUBLE) ELSE o_totalprice END AS value,
+        CASE WHEN o_orderkey % 3 <> 2 THEN CAST(o_custkey AS VARCHAR) ELSE o_orderstatus END AS code,
+        CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS extra FROM orders""",
+)
+def lenient_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Integers meet doubles, numbers meet text, and one file set has an extra column."""
+    folder = scratch_path(spark, "lenient")
+    orders, key = table(spark, sf, "orders"), F.col("o_orderkey")
+    shapes = {
+        0: [key, F.floor("o_totalprice").alias("value"), F.col("o_custkey").alias("code")],
+        1: [F.col("o_priority"), key, F.col("o_totalprice").alias("value"), F.col("o_custkey").alias("code")],
+        2: [F.col("o_orderstatus").alias("code"), key, F.col("o_totalprice").alias("value")],
+    }
+    named = orders.withColumn("o_priority", F.col("o_orderpriority"))
+    for part, columns in shapes.items():
+        rows = named.where(key % 3 == part).select(*columns)
+        rows.withColumnsRenamed({"o_priority": "extra"}).write.parquet(f"{folder}/{part}")
+    return business(read_folder(spark, folder)).select("o_orderkey", "value", "code", "extra")
+
+
+@query(
+    "nested_to_json",
+    """SELECT o_orderkey, '{"cust":' || o_custkey || ',"status":'
+        || CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '"' || o_orderstatus || '"' END || '}' AS doc,
+        '[' || o_custkey || ',' || o_orderkey || ']' AS ids,
+        CASE WHEN o_orderstatus = 'F' THEN '{"k":"' || o_orderpriority || '"}' END AS labels FROM orders""",
+)
+def nested_columns(spark: SparkSession, sf: str) -> DataFrame:
+    priority = F.create_map(F.lit("k"), F.col("o_orderpriority"))
+    nested = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.struct(
+            F.col("o_custkey").alias("cust"), F.nullif("o_orderstatus", F.lit("P")).alias("status")
+        ).alias("doc"),
+        F.array("o_custkey", "o_orderkey").alias("ids"),
+        F.when(F.col("o_orderstatus") == "F", priority).alias("labels"),
+    )
+    return nested_to_json(nested)
+
+
+@query("source_file_lineage", "SELECT 'orders.parquet' AS _source_file, count(*) AS rows FROM orders")
+def source_file_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    df = read_folder(spark, f"{sf}/orders.parquet")
+    return df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows"))
+
+
+COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES)
+
+
+@query("multi_table_ingest", COUNTS)
+def multi_table_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """One table after the other into raw; a folder without files is skipped."""
+    lake = Lake(scratch_path(spark, "ingest"))
+    folders = {t: {"path": f"{sf}/{t}.parquet"} for t in TABLES} | {"none": {"path": f"{lake.root}/none"}}
+    totals = ingest_folders(spark, lake, "tpch", folders)
+    return spark.createDataFrame(list(totals.items()), "table_name string, rows bigint")
+
+
+@query("raw_ingest_stream", "SELECT *, 'events.parquet' AS _source_file FROM events")
+def raw_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The stream is run twice; the second run finds nothing new."""
+    lake, checkpoint = Lake(scratch_path(spark, "stream")), scratch_path(spark, "stream-state")
+    for _ in range(2):
+        path = ingest_new_files(spark, sf, lake, "tpch", "events", checkpoint, pattern="events.parquet")
+    return spark.read.parquet(path).drop("_ingestion_timestamp", "_source_name", "year", "month", "day")
+
+
+@query("register_source", "SELECT o_orderstatus, count(*) AS orders, 'tpch' AS _source_name FROM orders GROUP BY 1")
+def custom_source(spark: SparkSession, sf: str) -> DataFrame:
+    """A project's own source type."""
+
+    def read_tpch(session: SparkSession, config: dict, name: str, last_value: str | None = None) -> DataFrame:
+        return table(session, config["folder"], name)
+
+    register_source("tpch", read_tpch)
+    df = read_source(spark, {"name": "tpch", "type": "tpch", "folder": sf}, "orders")
+    return df.groupBy("o_orderstatus", "_source_name").agg(F.count(F.lit(1)).alias("orders"))
+
+
+# --- layers -------------------------------------------------------------------------------------
+
+
+@query("raw_write", "SELECT * FROM orders")
+def raw_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches of one day: appending keeps both."""
+    lake, orders = Lake(scratch_path(spark, "raw-write")), table(spark, sf, "orders")
+    lake.write_raw(orders.where("o_orderstatus = 'F'"), "tpch", "orders")
+    lake.write_raw(orders.where("o_orderstatus <> 'F'"), "tpch", "orders")
+    return business(lake.read_raw(spark, "tpch", "orders"))
+
+
+@query("raw_replace_day", "SELECT * FROM orders")
+def raw_replace_day(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run of one day replaces the first."""
+    lake, orders = Lake(scratch_path(spark, "raw-replace")), table(spark, sf, "orders")
+    stamped = orders.withColumn("_ingestion_timestamp", F.lit("2024-05-01 10:00:00").cast("timestamp"))
+    lake.write_raw(stamped.where("o_orderstatus = 'F'"), "tpch", "orders", "replace_day")
+    lake.write_raw(stamped, "tpch", "orders", "replace_day")
+    return business(lake.read_raw(spark, "tpch", "orders"))
+
+
+@query("raw_read", "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-08 06:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'")
+def raw_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Between two ingestion times; only the days in between are read."""
+    lake = Lake(scratch_path(spark, "raw-read"))
+    stamped = table(spark, sf, "events").withColumn("_ingestion_timestamp", F.col("ts").cast("timestamp"))
+    lake.write_raw(stamped, "tpch", "events")
+    bounded = lake.read_raw(spark, "tpch", "events", "2024-01-08 06:00:00", "2024-01-20 00:00:00")
+    return business(bounded)
+
+
+@query(
+    "raw_views",
+    """SELECT 2 AS views, n_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 2""",
+)
+def raw_views(spark: SparkSession, sf: str) -> DataFrame:
+    lake = Lake(scratch_path(spark, "raw-views"))
+    for name in ("nation", "supplier"):
+        lake.write_raw(table(spark, sf, name), "tpch", name)
+    views = {f"raw_{n}": ("tpch", n) for n in ("nation", "supplier", "never_ingested")}
+    number = lake.register_raw_views(spark, views)
+    joined = spark.sql(
+        """SELECT n_name, count(*) AS suppliers FROM raw_supplier JOIN raw_nation ON s_nationkey = n_nationkey
+        GROUP BY n_name"""
+    )
+    return joined.withColumn("views", F.lit(number))
+
+
+@query("staging_write", "SELECT count(*) AS rows, 'staging/ventas/lineas' AS tail FROM lineitem")
+def staging_write(spark: SparkSession, sf: str) -> DataFrame:
+    lake = Lake(scratch_path(spark, "staging"))
+    written = lake.write_staging(table(spark, sf, "lineitem"), "lineas", "ventas")
+    tail = written.path.removeprefix(lake.root + "/")
+    return lake.read_staging(spark, "lineas", "ventas").agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "tail", F.lit(tail)
+    )
+
+
+@query("staging_read", "SELECT * FROM customer")
+def staging_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Writing a table again replaces it."""
+    lake, people = Lake(scratch_path(spark, "staging")), table(spark, sf, "customer")
+    lake.write_staging(people.where("c_mktsegment = 'MACHINERY'"), "clientes")
+    lake.write_staging(people, "clientes")
+    return lake.read_staging(spark, "clientes")
+
+
+@query("consume_write", "SELECT count(*) AS rows, 'consume/bi/pedidos' AS tail FROM orders")
+def consume_write(spark: SparkSession, sf: str) -> DataFrame:
+    lake = Lake(scratch_path(spark, "consume"))
+    written = lake.write_consume(table(spark, sf, "orders"), "pedidos")
+    return lake.read_consume(spark, "pedidos").agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "tail", F.lit(written.path.removeprefix(lake.root + "/"))
+    )
+
+
+@query("consume_read", "SELECT * FROM part")
+def consume_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Technical columns do not reach the consume layer."""
+    lake = Lake(scratch_path(spark, "consume"))
+    lake.write_consume(table(spark, sf, "part").withColumn("_source_file", F.lit("x")), "productos", "exports")
+    return lake.read_consume(spark, "productos", "exports")
+
+
+# --- files --------------------------------------------------------------------------------------
+
+
+@query("parquet_query", "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_shipdate >= DATE '1998-01-01' AND l_quantity > 40")
+def parquet_query(spark: SparkSession, sf: str) -> DataFrame:
+    return files.query_parquet(
+        spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_quantity"],
+        "l_shipdate >= DATE '1998-01-01' AND l_quantity > 40",
+    )
+
+
+@query(
+    "parquet_schema",
+    """SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+        WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS data_type FROM (DESCRIBE lineitem) q""",
+)
+def parquet_types(spark: SparkSession, sf: str) -> DataFrame:
+    schema = files.parquet_schema(spark, f"{sf}/lineitem.parquet")
+    return spark.createDataFrame(list(schema.items()), "column_name string, data_type string")
+
+
+@query("parquet_count", "SELECT count(*) AS rows FROM lineitem")
+def parquet_count(spark: SparkSession, sf: str) -> DataFrame:
+    return files.row_count(spark, f"{sf}/lineitem.parquet")
+
+
+@query("parquet_write", "SELECT 'ZSTD' AS codec, count(*) AS rows FROM lineitem")
+def parquet_write(spark: SparkSession, sf: str) -> DataFrame:
+    path = files.write_parquet(
+        table(spark, sf, "lineitem"), scratch_path(spark, "zstd"), "zstd", row_group_bytes=1 << 20
+    )
+    return files.file_profile(spark, path).groupBy("codec").agg(F.sum("rows").alias("rows"))
+
+
+@query("parquet_read_columns", "SELECT p_partkey, p_brand FROM part")
+def parquet_read_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_columns(spark, f"{sf}/part.parquet", ["p_partkey", "p_brand"])
+
+
+@query(
+    "file_profile",
+    " UNION ALL ".join(
+        f"SELECT '{t}.parquet' AS file, (SELECT count(*) FROM {t}) AS rows, (SELECT count(*) FROM (DESCRIBE {t}) d) AS columns"
+        for t in TABLES
+    ),
+)
+def file_profile(spark: SparkSession, sf: str) -> DataFrame:
+    profile = files.file_profile(spark, [f"{sf}/{t}.parquet" for t in TABLES])
+    return profile.select(F.element_at(F.split("path", "/"), -1).alias("file"), "rows", "columns")
+
+
+@query("compact_files", "SELECT * FROM customer")
+def compact_files(spark: SparkSession, sf: str) -> DataFrame:
+    small, output = scratch_path(spark, "small"), scratch_path(spark, "compact")
+    table(spark, sf, "customer").repartition(24).write.parquet(small)
+    files.compact_files(spark, [small], output)
+    return spark.read.parquet(output)
+
+
+@query(
+    "lake_inventory",
+    """SELECT * FROM (VALUES ('raw', 'tpch', 'orders'), ('raw', 'tpch', 'nation'), ('staging', 'ventas', 'pedidos'),
+        ('consume', 'bi', 'resumen')) t(layer, owner, table_name), (SELECT count(*) > 0 AS counted FROM orders) q""",
+)
+def lake_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables of a small lake; every layer has files and a size."""
+    lake = Lake(scratch_path(spark, "inventory"))
+    orders = table(spark, sf, "orders")
+    lake.write_raw(orders, "tpch", "orders")
+    lake.write_raw(table(spark, sf, "nation"), "tpch", "nation")
+    lake.write_staging(orders, "pedidos", "ventas")
+    lake.write_consume(orders.groupBy("o_orderstatus").count(), "resumen")
+    sizes = files.lake_inventory(spark, lake.root).where("files > 0").select(
+        "layer", F.col("megabytes").isNotNull().alias("counted")
+    )
+    return files.lake_tables(spark, lake.root).join(sizes, "layer")
+
+
+# --- mirror -------------------------------------------------------------------------------------
+
+
+@query(
+    "mirror_tables",
+    """SELECT 'clientes' AS table_name, 'create' AS first_run, 'skip' AS second_run, 'update' AS third_run, count(*) AS rows FROM customer
+    UNION ALL SELECT 'paises', 'create', 'skip', 'skip', count(*) FROM nation
+    UNION ALL SELECT 'partes', 'create', 'skip', 'recreate', count(*) FROM part""",
+)
+def mirror_actions(spark: SparkSession, sf: str) -> DataFrame:
+    """Create, then skip; then one table changes in place and one gains a column."""
+    target = mirror.FolderTarget(spark, scratch_path(spark, "mirror"))
+    tables = {n: table(spark, sf, t) for n, t in (("clientes", "customer"), ("paises", "nation"), ("partes", "part"))}
+    first = mirror.mirror_tables(tables, target).actions
+    second = mirror.mirror_tables(tables, target).actions
+    changed = tables | {
+        "clientes": tables["clientes"].withColumn("c_acctbal", F.col("c_acctbal") + 1),
+        "partes": tables["partes"].withColumn("activo", F.lit(True)),
+    }
+    third = mirror.mirror_tables(changed, target).actions
+    actions = spark.createDataFrame(
+        [(n, first[n], second[n], third[n]) for n in tables],
+        "table_name string, first_run string, second_run string, third_run string",
+    )
+    counts = mirror.table_counts({n: target.read(n) for n in tables})
+    return actions.join(counts, "table_name")
+
+
+@query(
+    "mirror_ddl",
+    """SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'TEXT' WHEN 'DOUBLE' THEN 'DOUBLE PRECISION' ELSE column_type END AS target_type
+    FROM (DESCRIBE lineitem) q""",
+)
+def mirror_ddl(spark: SparkSession, sf: str) -> DataFrame:
+    schema = table(spark, sf, "lineitem").schema
+    rows = [(f.name, mirror.target_type(f.dataType)) for f in schema]
+    return spark.createDataFrame(rows, "column_name string, target_type string")
+
+
+@query(
+    "reconcile_counts",
+    """SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) FILTER (o_orderstatus = 'F') AS target_rows, FALSE AS matches FROM orders
+    UNION ALL SELECT 'nation', count(*), count(*), TRUE FROM nation
+    UNION ALL SELECT 'part', count(*), NULL, FALSE FROM part""",
+)
+def reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    source = {n: table(spark, sf, n) for n in ("orders", "nation", "part")}
+    target = {"orders": source["orders"].where("o_orderstatus = 'F'"), "nation": source["nation"]}
+    return mirror.reconcile_counts(source, target)
+
+
+# --- run log and pipelines ------------------------------------------------------------------------
+
+
+@query("log_extraction", COUNTS.replace("AS table_name, count(*) AS rows", "AS table_name, count(*) AS rows, 'success' AS status"))
+def log_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    log = RunLog(spark, scratch_path(spark, "log"))
+    counts = mirror.table_counts({t: table(spark, sf, t) for t in TABLES}).collect()  # one row per table
+    for row in counts:
+        log.log_extraction("tpch", row["table_name"], row["rows"], f"{sf}/{row['table_name']}.parquet", "success")
+    return log.read("extractions").select("table_name", "rows", "status")
+
+
+@query("last_extraction", "SELECT 'orders' AS table_name, CAST(max(o_orderdate) AS VARCHAR) AS high_water_mark FROM orders")
+def last_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """A failed run after a good one does not move the high-water mark."""
+    log = RunLog(spark, scratch_path(spark, "log"))
+    orders = table(spark, sf, "orders")
+    for share in (F.col("o_orderdate") < "1999-01-01", F.lit(True)):
+        found = orders.where(share).agg(F.count(F.lit(1)), F.max("o_orderdate").cast("string")).first()
+        log.log_extraction("tpch", "orders", found[0], sf, "success", high_water_mark=found[1])
+    log.log_extraction("tpch", "orders", 0, sf, "error", error="lost connection", high_water_mark="2999-01-01")
+    return log.latest_extractions().select("table_name", "high_water_mark")
+
+
+@query("recent_runs", "SELECT 'run 3' AS pipeline, count(*) AS rows FROM part UNION ALL SELECT 'run 2', count(*) FROM customer")
+def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
+    log = RunLog(spark, scratch_path(spark, "log"))
+    for i, name in enumerate(("orders", "customer", "part")):
+        rows = table(spark, sf, name).count()
+        log.log_pipeline(f"run {i + 1}", rows, f"{sf}/{name}.parquet", "success")
+    return log.recent("pipelines", 2).select("pipeline", "rows")
+
+
+@query(
+    "run_extraction",
+    """SELECT 'orders' AS table_name, 'success' AS status, count(*) AS rows FROM orders
+    UNION ALL SELECT 'missing', 'error', 0 FROM region WHERE r_regionkey = 0
+    UNION ALL SELECT 'nation', 'success', count(*) FROM nation""",
+)
+def extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that cannot be read is logged and does not stop the others."""
+    root = scratch_path(spark, "extraction")
+    lake, log = Lake(root), RunLog(spark, root)
+    config = {
+        "name": "tpch", "type": "parquet",
+        "tables": [{"name": n, "path": f"{sf}/{n}.parquet"} for n in ("orders", "missing", "nation")],
+    }
+    run_extraction(spark, lake, log, config)
+    return log.read("extractions").select("table_name", "status", "rows")
+
+
+@query(
+    "jdbc_incremental",
+    """SELECT CASE WHEN o_orderdate < DATE '1999-01-01' THEN 1 ELSE 2 END AS run, count(*) AS rows,
+        max(o_orderdate) AS newest FROM orders GROUP BY 1""",
+)
+def incremental_extract(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run reads only rows past the first run's largest key.
+
+    Shown on Parquet; a relational source goes through the same filter, which Spark pushes down.
+    """
+    root = scratch_path(spark, "incremental")
+    lake, log, orders = Lake(root), RunLog(spark, root), table(spark, sf, "orders")
+    folder = f"{root}/source/orders"
+    config = {
+        "name": "shop", "type": "parquet", "path": f"{root}/source", "tables": ["orders"],
+        "incremental": {"key_column": "o_orderdate"},
+    }
+    for run, upper in ((1, "1999-01-01"), (2, "2999-01-01")):
+        orders.where(F.col("o_orderdate") < upper).withColumn("run", F.lit(run)).write.mode("overwrite").parquet(folder)
+        run_extraction(spark, lake, log, config)
+    extracted = lake.read_raw(spark, "shop", "orders")
+    return extracted.groupBy("run").agg(F.count(F.lit(1)).alias("rows"), F.max("o_orderdate").alias("newest"))
+
+
+SALES_PIPELINES = [
+    {
+        "name": "ventas_pedidos_staging",
+        "source": {"layer": "raw", "domain": "tpch", "table": "orders"},
+        "destination": {"layer": "staging", "domain": "ventas", "table": "pedidos"},
+        "transforms": [
+            {"type": "rename", "columns": {"o_orderkey": "pedido_id", "o_custkey": "cliente_id", "o_totalprice": "total"}},
+            {"type": "cast", "columns": {"o_orderdate": "DATE", "total": "DECIMAL(18,2)"}},
+            {"type": "filter", "condition": "total > 0"},
+            {"type": "deduplicate", "keys": ["pedido_id"]},
+        ],
+        "quality_checks": [
+            {"type": "not_null", "columns": ["pedido_id", "cliente_id", "total"], "severity": "error"},
+            {"type": "unique", "columns": ["pedido_id"], "severity": "error"},
+            {"type": "range", "column": "total", "min_value": 0, "max_value": 1000000},
+        ],
+    },
+    {
+        "name": "bi_resumen_ventas",
+        "source": {"layer": "staging", "domain": "ventas", "table": "pedidos"},
+        "destination": {"layer": "consume", "domain": "bi", "table": "resumen_ventas_mensual"},
+        "transforms": [
+            {
+                "type": "custom_sql",
+                "sql": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, COUNT(*) AS total_pedidos,
+                    CAST(SUM(total) AS DOUBLE) AS monto_total, COUNT(DISTINCT cliente_id) AS clientes_unicos
+                    FROM __INPUT__ GROUP BY 1""",
+            }
+        ],
+    },
+]
+
+
+def _run_pipelines(spark: SparkSession, sf: str) -> tuple[Lake, RunLog]:
+    root = scratch_path(spark, "pipelines")
+    lake, log = Lake(root), RunLog(spark, root)
+    for _ in range(2):  # the second batch repeats every row
+        lake.write_raw(table(spark, sf, "orders"), "tpch", "orders")
+    for pipeline in SALES_PIPELINES:
+        run_pipeline(spark, lake, log, pipeline)
+    return lake, log
+
+
+@query(
+    "run_pipeline",
+    """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, count(*) AS total_pedidos,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS monto_total, count(DISTINCT o_custkey) AS clientes_unicos
+    FROM orders GROUP BY 1""",
+)
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw with repeated rows, cleaned into staging, summarised into consume."""
+    lake, _ = _run_pipelines(spark, sf)
+    return lake.read_consume(spark, "resumen_ventas_mensual")
+
+
+@query(
+    "log_pipeline",
+    """SELECT 'ventas_pedidos_staging' AS pipeline, 'success' AS status, count(*) AS rows FROM orders
+    UNION ALL SELECT 'bi_resumen_ventas', 'success', count(DISTINCT date_trunc('month', o_orderdate)) FROM orders""",
+)
+def log_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    _, log = _run_pipelines(spark, sf)
+    return log.read("pipelines").select("pipeline", "status", "rows")
+
+
+@query(
+    "log_quality",
+    """SELECT * FROM (VALUES ('not_null'), ('unique'), ('range')) t(check_type),
+        (SELECT CAST(0 AS BIGINT) AS failing_rows, count(*) > 0 AS passed FROM orders) q""",
+)
+def log_quality(spark: SparkSession, sf: str) -> DataFrame:
+    _, log = _run_pipelines(spark, sf)
+    return log.read("quality").select(F.col("check").alias("check_type"), "failing_rows", "passed")
+
+
+@query("build_models")
+def all_models(spark: SparkSession, sf: str) -> DataFrame:
+    """All 27 tables from the raw documents; rows per table."""
+    lake = Lake(scratch_path(spark, "models"))
+    rows = build_models(spark, lake, raw_tables(spark, sf))
+    return spark.createDataFrame(list(rows.items()), "table_name string, rows bigint")
