@@ -7,6 +7,8 @@ orders without lines have empty item arrays.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -349,12 +351,16 @@ _written: dict[tuple[str, str, str], str] = {}
 
 def raw_tables(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
     """The raw tables by name, written to the shared scratch folder on first use."""
-    tables = {}
-    for name in names or BUILDERS:
+
+    def path_of(name: str) -> str:
         key = (spark.sparkContext.applicationId, sf, name)
         if key not in _written or not has_files(spark, _written[key]):
             path = scratch_path(spark, f"raw-{name}")
             BUILDERS[name](spark, sf).write.parquet(path)
             _written[key] = path
-        tables[name] = spark.read.parquet(_written[key])
-    return tables
+        return _written[key]
+
+    wanted = list(names or BUILDERS)
+    with ThreadPoolExecutor(4) as pool:
+        paths = dict(zip(wanted, pool.map(path_of, wanted)))
+    return {name: spark.read.parquet(path) for name, path in paths.items()}
