@@ -260,8 +260,12 @@ def item_pedido(raw: Raw, unique_lines: bool = False) -> DataFrame:
     product = F.coalesce("producto_id_origen", "nombre_producto")
     parts = [order_key, product]
     if unique_lines:
-        newest = lines.groupBy("canal", "orden_id_origen").agg(F.max("version").alias("version"))
-        lines = lines.join(newest, ["canal", "orden_id_origen", "version"], "left_semi")
+        newest = order_documents(raw).groupBy("canal", "orden_id_origen").agg(
+            F.max("version").alias("newest")
+        )
+        lines = lines.join(newest, ["canal", "orden_id_origen"]).where(
+            F.col("version").eqNullSafe(F.col("newest"))
+        )
         parts.append(F.col("posicion").cast("string"))
     key = parts[0]
     for part in parts[1:]:
