@@ -15,7 +15,8 @@ def value_ranks(
     df: DataFrame, groups: list[str], value: str, rank: str, splitters: int = 64
 ) -> DataFrame:
     """RANK() by descending value per group: one row (groups, value, rank) per distinct value."""
-    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n"))
+    # the filter keeps the count in every use, so that all uses share one shuffle
+    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n")).where("__n > 0")
     digest = F.xxhash64(*groups, value)
     cuts = (
         counts.where(F.col(value).isNotNull())
@@ -85,6 +86,7 @@ def exact_percentiles(
         df.where(F.col(value).isNotNull())
         .groupBy(F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 0")  # keeps the count in every use, so that all uses share one shuffle
     )
     digest = F.xxhash64("v")
     cuts = (
@@ -150,7 +152,7 @@ def _cuts_passed(cuts: str, value: str, most: int, inclusive: bool) -> Column:
         beyond = cut <= F.col(value) if inclusive else cut < F.col(value)
         return F.when(beyond, passed + step).otherwise(passed)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+    return F.coalesce(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance), F.lit(0))
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -7,6 +7,8 @@ decimals, so that sums do not depend on the order of the rows.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,16 +43,20 @@ class Bound:
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
 
+        self._tables: dict[str, DataFrame] = {}
+
     def _t(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf, name)
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf, name)
+        return self._tables[name]
 
-    @property
+    @cached_property
     def canal(self) -> DataFrame:
         return inline_relation(
             self.spark, ["canal_id", "canal"], [(i + 1, p) for i, p in enumerate(PRIORITIES)]
         )
 
-    @property
+    @cached_property
     def pedido(self) -> DataFrame:
         return self._t("orders").select(
             F.col("o_orderkey").alias("pedido_id"), F.col("o_orderpriority").alias("canal"),
@@ -58,7 +64,7 @@ class Bound:
             F.col("o_orderdate").alias("fecha_creacion"),
         )
 
-    @property
+    @cached_property
     def cliente_pedido(self) -> DataFrame:
         return self._t("orders").select(
             F.col("o_custkey").alias("cliente_id"), F.col("o_orderkey").alias("pedido_id"),
@@ -66,7 +72,7 @@ class Bound:
             F.col("o_orderdate").alias("fecha_pedido"), F.col("o_orderstatus").alias("status"),
         )
 
-    @property
+    @cached_property
     def item_pedido(self) -> DataFrame:
         return self._t("lineitem").select(
             F.col("l_orderkey").alias("pedido_id"), F.col("l_partkey").alias("producto_id_origen"),
@@ -74,7 +80,7 @@ class Bound:
             money("l_extendedprice").alias("precio_unitario"), money("l_extendedprice").alias("subtotal"),
         )
 
-    @property
+    @cached_property
     def cliente(self) -> DataFrame:
         return self._t("customer").select(
             F.col("c_custkey").alias("cliente_id"),
@@ -83,11 +89,11 @@ class Bound:
             F.col("c_mktsegment").alias("canal"),
         )
 
-    @property
+    @cached_property
     def cliente_canal(self) -> DataFrame:
         return staging.cliente_canal(self.cliente_pedido, self.canal)
 
-    @property
+    @cached_property
     def cliente_ubicacion_geo(self) -> DataFrame:
         places = (
             self._t("lineitem").select("l_orderkey", "l_suppkey")
@@ -102,7 +108,7 @@ class Bound:
             .agg(F.max("o_orderdate").alias("fecha_ultimo_pedido"))
         )
 
-    @property
+    @cached_property
     def ubicacion_geo(self) -> DataFrame:
         known = F.col("n_nationkey") % 7 != 6
         return (
@@ -116,7 +122,7 @@ class Bound:
             )
         )
 
-    @property
+    @cached_property
     def direccion_geocodificada(self) -> DataFrame:
         population = (F.lit(1000) + F.lit(137) * F.col("n_nationkey")).cast("int")
         return self._t("nation").select(
@@ -124,7 +130,7 @@ class Bound:
             F.when(F.col("n_nationkey") % 10 != 9, population).alias("population"),
         )
 
-    @property
+    @cached_property
     def canal_producto(self) -> DataFrame:
         """Parts sold per channel; the product is the same in every channel."""
         channels = self.pedido.select("pedido_id", "canal")
@@ -146,4 +152,5 @@ class Bound:
         )
 
     def market(self) -> DataFrame:
-        return consume.penetracion_mercado(self.sales_by_location())
+        """From the written table, one row per city, which is read several times."""
+        return consume.penetracion_mercado(materialise(self.sales_by_location(), "sales-by-location"))
