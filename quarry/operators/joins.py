@@ -20,6 +20,17 @@ def keep_unmatched(df: DataFrame, other: DataFrame, on: str, other_on: str | Non
     return df.join(_distinct_keys(other, other_on or on), F.col(on) == F.col("__match"), "left_anti")
 
 
+def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join of a table with unique keys to a table that may hold very many rows of one key.
+
+    Spark can split a hot key on either side of an inner join, but not on the right side of a
+    left join; so the matched rows come from an inner join and the others are added.
+    """
+    matched = left.join(right, F.col(left_key) == F.col(right_key))
+    missing = keep_unmatched(left, right, left_key, right_key)
+    return matched.unionByName(missing, allowMissingColumns=True)
+
+
 def _distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).alias("__match")).where("__match is not null").distinct()
 

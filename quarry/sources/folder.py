@@ -99,18 +99,21 @@ def _csv_headers(files: DataFrame, delimiter: str) -> DataFrame:
     return files.mapInPandas(read, "path string, fingerprint string")
 
 
-def _same_schema_groups(described: DataFrame) -> list[list[str]]:
-    """Paths by schema, ordered by first path.
+def _same_schema_groups(described: DataFrame) -> list[list[str] | None]:
+    """Paths by schema, ordered by first path; None alone when all files agree.
 
-    The driver holds these paths in any case: a file scan is planned from them.
+    Only folders with conflicting schemas need their file names on the driver, where Spark
+    plans the scan of any folder from them.
     """
-    groups = (
-        described.groupBy("fingerprint")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    groups = described.groupBy("fingerprint").agg(F.min("path").alias("first"))
+    if len(groups.limit(2).collect()) < 2:
+        return [None]
+    rows = (
+        described.groupBy("fingerprint").agg(F.sort_array(F.collect_list("path")).alias("paths"))
         .orderBy(F.col("paths")[0])
         .collect()
     )
-    return [row["paths"] for row in groups]
+    return [row["paths"] for row in rows]
 
 
 def promote(left: T.DataType, right: T.DataType) -> T.DataType:
@@ -177,11 +180,15 @@ def read_folder(
     described = parquet_footers(files) if file_format == "parquet" else _csv_headers(files, delimiter)
     parts = []
     for paths in _same_schema_groups(described):
-        reader = spark.read.option("basePath", base_path) if base_path else spark.read
+        reader = spark.read
+        if base_path:
+            reader = reader.option("basePath", base_path)
+        elif paths is None:
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
         if file_format == "parquet":
-            part = reader.parquet(*paths)
+            part = reader.parquet(*(paths or [folder]))
         else:
-            part = reader.options(header=True, sep=delimiter, inferSchema=True).csv(paths)
+            part = reader.options(header=True, sep=delimiter, inferSchema=True).csv(paths or folder)
         named = part.withColumn("_source_file", F.col("_metadata.file_name"))
         parts.append(nested_to_json(named))
     return union_promoted(parts)

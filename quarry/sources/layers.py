@@ -84,11 +84,9 @@ class Lake:
         reading. ``lenient`` merges batches whose schemas differ.
         """
         path = self.raw_path(source, table)
-        df = spark.read.parquet(path)
-        if lenient:
-            df = read_folder(spark, path, base_path=path)
-            if df is None:
-                raise FileNotFoundError(f"no raw files for {source}.{table}")
+        df = read_folder(spark, path, base_path=path) if lenient else spark.read.parquet(path)
+        if df is None:
+            raise FileNotFoundError(f"no raw files for {source}.{table}")
         day = F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])
         stamp = F.col("_ingestion_timestamp")
         if date_from:

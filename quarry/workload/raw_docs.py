@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.keys import address_key
+from quarry.operators.joins import left_join_many
 from quarry.session import scratch_path
 from quarry.sources.folder import has_files
 from quarry.workload.registry import table
@@ -97,7 +98,7 @@ def _orders(spark: SparkSession, sf: str, channel: int) -> DataFrame:
 
 
 def _with_lines(orders: DataFrame, documents: DataFrame) -> DataFrame:
-    return orders.join(documents, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn(
+    return left_join_many(orders, documents, "o_orderkey", "l_orderkey").withColumn(
         "elements", F.coalesce("elements", F.lit("[]"))
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +25,12 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One of the given tables; its schema is read from the file once."""
+    path = f"{sf}/{name}.parquet"
+    if (sf, name) not in _schemas:
+        _schemas[sf, name] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[sf, name]).parquet(path)
