@@ -56,18 +56,22 @@ def read_csv(
             return _read_after_skipping(
                 spark, path, delimiter, header, encoding, skip_rows, schema, sampling_ratio
             )
-        reader = spark.read.options(
-            sep=delimiter, header=header, encoding=encoding, preferDate=True
-        ).option("timestampFormat", "yyyy-MM-dd['T'][' ']HH:mm:ss[.SSSSSS][XXX]")
+        reader = spark.read.options(sep=delimiter, header=header, encoding=encoding)
         if schema:
             return reader.schema(schema).csv(path)
-        return reader.options(inferSchema=True, samplingRatio=sampling_ratio).csv(path)
+        return wall_clock(reader.options(inferSchema=True, samplingRatio=sampling_ratio).csv(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no CSV files found: {path}") from error
         raise
 
 
+def wall_clock(df: DataFrame) -> DataFrame:
+    """Timestamps found in text carry no zone."""
+    found = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({c: F.col(f"`{c}`").cast("timestamp_ntz") for c in found})
+
+
 def csv_schema(spark: SparkSession, config: dict, table: str) -> dict[str, str]:
     df = read_csv_source(spark, config, table)
     return {f.name: f.dataType.simpleString() for f in df.schema}

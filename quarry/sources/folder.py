@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources.csv import wall_clock
+
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
@@ -189,6 +191,7 @@ def read_folder(
             part = reader.parquet(*(paths or [folder]))
         else:
             part = reader.options(header=True, sep=delimiter, inferSchema=True).csv(paths or folder)
+            part = wall_clock(part)
         named = part.withColumn("_source_file", F.col("_metadata.file_name"))
         parts.append(nested_to_json(named))
     return union_promoted(parts)

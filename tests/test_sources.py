@@ -217,6 +217,20 @@ def test_mirror_collects_errors(spark, people, tmp_path):
     assert caught.value.tally.summary() == {"exported": 1, "skipped": 0, "failed": 1}
 
 
+def test_jdbc_target_options(spark):
+    target = mirror.JdbcTarget(spark, {"url": "jdbc:postgresql://h/d"})
+    assert target.read("consume.t") is None
+    assert target.write_options("consume.t", "update")["truncate"] == "true"
+    assert target.write_options("consume.t", "recreate")["truncate"] == "false"
+    assert "IN ('consume', 'o''k')" in target.listing(["consume", "o'k"])
+
+
+def test_csv_timestamps_are_wall_clock(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("at,n\n2024-01-01 10:00:00,1\n")
+    assert read_csv(spark, str(path)).dtypes[0] == ("at", "timestamp_ntz")
+
+
 def test_mirror_ddl(spark):
     schema = spark.sql("SELECT 1 AS i, 1L AS b, 1D AS d, 1.50BD AS n, 's' AS s, array(1) AS a, DATE '2024-01-01' AS f").schema
     assert mirror.table_ddl("consume", "t", schema) == (
