@@ -225,19 +225,28 @@ def channel_share(orders: DataFrame, channel: str, amount: str) -> DataFrame:
     )
 
 
-def geo_coverage(orders: DataFrame, province: str, latitude: str, longitude: str) -> DataFrame:
-    """Orders with coordinates per province, and overall in the row 'TOTAL'."""
+def geo_coverage(
+    orders: DataFrame, province: str, latitude: str, longitude: str, weight: str | None = None
+) -> DataFrame:
+    """Orders with coordinates per province, and overall in the row 'TOTAL', in one pass.
+
+    ``weight`` is a column with the number of orders of a row, for tables already reduced.
+    """
+    number = F.col(weight) if weight else F.lit(1)
     located = F.col(latitude).isNotNull() & F.col(longitude).isNotNull()
-    by_province = orders.groupBy(F.col(province).alias("provincia")).agg(
-        F.count(F.lit(1)).alias("pedidos"), F.count_if(located).alias("geolocalizados")
-    )
-    overall = by_province.agg(
-        F.lit("TOTAL").alias("provincia"),
-        F.sum("pedidos").alias("pedidos"),
-        F.sum("geolocalizados").alias("geolocalizados"),
+    levels = orders.select(
+        F.col(province).alias("provincia"),
+        number.alias("n"),
+        F.when(located, number).otherwise(F.lit(0)).alias("g"),
+    ).rollup("provincia").agg(
+        F.grouping("provincia").alias("whole"),
+        F.sum("n").alias("pedidos"),
+        F.sum("g").alias("geolocalizados"),
     )
-    return by_province.unionByName(overall).withColumn(
-        "geo_pct", kpi.share_pct(F.col("geolocalizados"), F.col("pedidos"))
+    return levels.select(
+        F.when(F.col("whole") == 1, F.lit("TOTAL")).otherwise(F.col("provincia")).alias("provincia"),
+        "pedidos", "geolocalizados",
+        kpi.share_pct(F.col("geolocalizados"), F.col("pedidos")).alias("geo_pct"),
     )
 
 

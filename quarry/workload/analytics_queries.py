@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.plans import analytics, staging
+from quarry.plans.consume import principal_location, valid_orders
+from quarry.session import materialise
 from quarry.sources.inline import inline_relation
 from quarry.workload.bindings import Bound, as_double, money
 from quarry.workload.raw_docs import raw_tables
@@ -199,7 +201,7 @@ def untapped_markets(spark: SparkSession, sf: str) -> DataFrame:
     markets = table(spark, sf, "part").join(sold, F.col("p_partkey") == F.col("l_partkey"), "left").select(
         F.col("p_partkey").alias("ciudad"), F.rint("p_retailprice").cast("int").alias("population"), "total_pedidos"
     )
-    return analytics.untapped_markets(markets, 950)
+    return analytics.untapped_markets(materialise(markets, "markets"), 950)
 
 
 SPAN = """o_orderdate >= DATE '{0}' AND o_orderdate < DATE '{1}'"""
@@ -254,14 +256,15 @@ SELECT *, {half_up("geolocalizados * 100e0 / pedidos", 2)} AS geo_pct FROM both_
 )
 def geo_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Orders are counted per customer before they meet the customer's place."""
-    from quarry.plans.consume import principal_location, valid_orders
-
     b = Bound(spark, sf)
     places = b.ubicacion_geo.withColumn("provincia", F.translate("provincia", "Á", "A"))
-    located = valid_orders(b.cliente_pedido, b.item_pedido).join(
-        principal_location(b.cliente_ubicacion_geo), "cliente_id", "left"
-    ).join(places, "ubicacion_id", "left")
-    return analytics.geo_coverage(located, "provincia", "latitud", "longitud")
+    counts = valid_orders(b.cliente_pedido, b.item_pedido).groupBy("cliente_id").agg(
+        F.count(F.lit(1)).alias("orders")
+    )
+    located = counts.join(principal_location(b.cliente_ubicacion_geo), "cliente_id", "left").join(
+        places, "ubicacion_id", "left"
+    )
+    return analytics.geo_coverage(located, "provincia", "latitud", "longitud", "orders")
 
 
 @query(

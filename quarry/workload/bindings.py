@@ -151,6 +151,10 @@ class Bound:
             self.direccion_geocodificada, decimals,
         )
 
+    @cached_property
+    def published_locations(self) -> DataFrame:
+        """The written sales-by-location table, as later models find it; one row per city."""
+        return materialise(self.sales_by_location(), "sales-by-location")
+
     def market(self) -> DataFrame:
-        """From the written table, one row per city, which is read several times."""
-        return consume.penetracion_mercado(materialise(self.sales_by_location(), "sales-by-location"))
+        return consume.penetracion_mercado(self.published_locations)

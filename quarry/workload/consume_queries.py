@@ -175,7 +175,7 @@ def penetration_trend(spark: SparkSession, sf: str) -> DataFrame:
     b = Bound(spark, sf)
     return as_double(
         consume.penetracion_evolucion(
-            b.cliente_pedido, b.item_pedido, b.cliente_ubicacion_geo, b.ubicacion_geo, b.sales_by_location()
+            b.cliente_pedido, b.item_pedido, b.cliente_ubicacion_geo, b.ubicacion_geo, b.published_locations
         )
     )
 

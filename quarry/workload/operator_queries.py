@@ -999,7 +999,7 @@ def _rated_parts(spark: SparkSession, sf: str) -> DataFrame:
         ELSE 'Sin foco' END AS quadrant FROM rated, cuts""",
 )
 def quadrant(spark: SparkSession, sf: str) -> DataFrame:
-    parts = _rated_parts(spark, sf)
+    parts = materialise(_rated_parts(spark, sf), "rated-parts")  # read once per percentile
     rates = exact_percentiles(parts, "rate", {"p25": 0.25, "p75": 0.75})
     middle = exact_percentiles(parts, "population", {"middle": 0.5})
     known = with_scalars(with_scalars(parts, rates), middle)

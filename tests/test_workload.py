@@ -32,6 +32,8 @@ def test_every_sql_has_a_query():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     df = QUERIES[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     cursor = con.execute(ORACLES[name])
     expected = comparable(cursor.fetchall(), [d[0] for d in cursor.description])
     assert comparable(df.collect(), df.columns) == expected
