@@ -11,13 +11,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_matching(df: DataFrame, other: DataFrame, on: str, other_on: str | None = None) -> DataFrame:
-    """Semi join against the distinct keys of ``other``; copies collapse before the shuffle."""
-    return df.join(_distinct_keys(other, other_on or on), F.col(on) == F.col("__match"), "left_semi")
+def keep_matching(
+    df: DataFrame, other: DataFrame, on: str, other_on: str | None = None, unique: bool = False
+) -> DataFrame:
+    """Semi join against the distinct keys of ``other``; copies collapse before the shuffle.
+
+    Say ``unique`` when ``on`` has no repeated values in ``df``: the shuffle of the distinct
+    keys then serves the join as well. Otherwise the keys are shuffled once more, which lets
+    Spark split a hot key of ``df`` over several tasks.
+    """
+    keys = _distinct_keys(other, other_on or on)
+    return df.join(keys, _same(on, "__match", unique), "left_semi")
 
 
-def keep_unmatched(df: DataFrame, other: DataFrame, on: str, other_on: str | None = None) -> DataFrame:
-    return df.join(_distinct_keys(other, other_on or on), F.col(on) == F.col("__match"), "left_anti")
+def keep_unmatched(
+    df: DataFrame, other: DataFrame, on: str, other_on: str | None = None, unique: bool = False
+) -> DataFrame:
+    """Anti join, with the same treatment of copies and hot keys; a NULL key has no match."""
+    keys = _distinct_keys(other, other_on or on)
+    return df.join(keys, _same(on, "__match", unique), "left_anti")
 
 
 def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -26,11 +38,22 @@ def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key:
     Spark can split a hot key on either side of an inner join, but not on the right side of a
     left join; so the matched rows come from an inner join and the others are added.
     """
-    matched = left.join(right, F.col(left_key) == F.col(right_key))
-    missing = keep_unmatched(left, right, left_key, right_key)
+    present = right.where(F.col(right_key).isNotNull())
+    matched = left.join(present, _same(left_key, right_key, unique=False))
+    missing = keep_unmatched(left, right, left_key, right_key, unique=True)
     return matched.unionByName(missing, allowMissingColumns=True)
 
 
+def _same(left: str, right: str, unique: bool) -> Column:
+    """Equality of keys whose right side has no NULL.
+
+    Spark splits skewed partitions only when both sides of a sort-merge join come straight from
+    a shuffle. The null-safe form is hashed differently from the plain key, so an aggregate on
+    the key below the join is followed by a shuffle of its own.
+    """
+    return F.col(left) == F.col(right) if unique else F.col(left).eqNullSafe(F.col(right))
+
+
 def _distinct_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).alias("__match")).where("__match is not null").distinct()
 

@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import keep_unmatched
+
 log = logging.getLogger(__name__)
 
 RESULT_COLUMNS = ["position", "check", "columns", "failing_rows", "passed", "details", "severity"]
@@ -184,9 +186,7 @@ def column_stats(df: DataFrame, column: str) -> DataFrame:
 
 def orphan_rows(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose non-null reference has no parent."""
-    keys = parent.select(F.col(field).alias("__parent")).where("__parent is not null").distinct()
-    present = child.where(F.col(column).isNotNull())
-    return present.join(keys, F.col(column) == F.col("__parent"), "left_anti")
+    return keep_unmatched(child.where(F.col(column).isNotNull()), parent, column, field)
 
 
 def failing_rows(
@@ -268,8 +268,7 @@ def net_amount_mismatch(
 
 
 def orders_without_items(orders: DataFrame, items: DataFrame, order_id: str, item_order_id: str) -> DataFrame:
-    keys = items.select(F.col(item_order_id).alias("__has")).distinct()
-    return orders.join(keys, F.col(order_id) == F.col("__has"), "left_anti").select(order_id)
+    return keep_unmatched(orders.select(order_id), items, order_id, item_order_id, unique=True)
 
 
 def price_below_cost(products: DataFrame, price: str, cost: str) -> DataFrame:

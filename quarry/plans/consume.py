@@ -60,7 +60,7 @@ def principal_location(cliente_ubicacion_geo: DataFrame) -> DataFrame:
 
 def valid_orders(orders: DataFrame, item_pedido: DataFrame) -> DataFrame:
     """Orders with at least one item (RN-002)."""
-    return keep_matching(orders, item_pedido, "pedido_id")
+    return keep_matching(orders, item_pedido, "pedido_id", unique=True)
 
 
 def _customer_province(cliente_ubicacion_geo: DataFrame, ubicacion_geo: DataFrame) -> DataFrame:

@@ -260,11 +260,16 @@ def item_pedido(raw: Raw, unique_lines: bool = False) -> DataFrame:
     product = F.coalesce("producto_id_origen", "nombre_producto")
     parts = [order_key, product]
     if unique_lines:
-        newest = order_documents(raw).groupBy("canal", "orden_id_origen").agg(
-            F.max("version").alias("newest")
-        )
-        lines = lines.join(newest, ["canal", "orden_id_origen"]).where(
-            F.col("version").eqNullSafe(F.col("newest"))
+        newest = order_documents(raw).groupBy(
+            F.col("canal").alias("of_channel"), F.col("orden_id_origen").alias("of_order")
+        ).agg(F.max("version").alias("newest"))
+        # null-safe: versions may be missing, and a hot order can be split
+        lines = lines.join(
+            newest,
+            F.col("canal").eqNullSafe(F.col("of_channel"))
+            & F.col("orden_id_origen").eqNullSafe(F.col("of_order"))
+            & F.col("version").eqNullSafe(F.col("newest")),
+            "left_semi",
         )
         parts.append(F.col("posicion").cast("string"))
     key = parts[0]

@@ -414,7 +414,7 @@ def join_lower_key(spark: SparkSession, sf: str) -> DataFrame:
 )
 def semi_exists(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return keep_matching(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
+    return keep_matching(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey", unique=True)
 
 
 @query(
@@ -425,7 +425,7 @@ def semi_exists(spark: SparkSession, sf: str) -> DataFrame:
 def semi_distinct(spark: SparkSession, sf: str) -> DataFrame:
     pending = table(spark, sf, "orders").where("o_orderstatus = 'P'")
     people = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return keep_matching(people, pending, "c_custkey", "o_custkey")
+    return keep_matching(people, pending, "c_custkey", "o_custkey", unique=True)
 
 
 @query(
@@ -435,7 +435,7 @@ def semi_distinct(spark: SparkSession, sf: str) -> DataFrame:
 )
 def join_left_exists(spark: SparkSession, sf: str) -> DataFrame:
     large = table(spark, sf, "lineitem").where("l_quantity > 45")
-    orders = keep_matching(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), large, "o_orderkey", "l_orderkey")
+    orders = keep_matching(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), large, "o_orderkey", "l_orderkey", unique=True)
     people = table(spark, sf, "customer").select("c_custkey")
     return left_join_many(people, orders, "c_custkey", "o_custkey").select("c_custkey", "o_orderkey")
 
@@ -446,7 +446,7 @@ def join_left_exists(spark: SparkSession, sf: str) -> DataFrame:
 )
 def anti_join(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey")
-    return keep_unmatched(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
+    return keep_unmatched(orders, table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey", unique=True)
 
 
 @query(

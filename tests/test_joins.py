@@ -26,13 +26,46 @@ def test_semi_join_reduces_copies_before_the_shuffle(spark):
     keys = spark.range(40).select(F.col("id").alias("k"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = keep_matching(keys, hot(spark), "k")._jdf.queryExecution().executedPlan().toString()
+        plan = keep_matching(keys, hot(spark), "k", unique=True)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     right = plan[plan.index("SortMergeJoin"):]
     assert right.count("HashAggregate") >= 2 and "CartesianProduct" not in plan
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+def is_split(df):
+    """Whether adaptive execution splits the hot key of a join."""
+    spark = df.sparkSession
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    try:
+        probe = df.agg(*[F.max(F.hash(c)) for c in df.columns], F.count(F.lit(1)))
+        probe.collect()
+        return "skew=true" in probe._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in SKEW:
+            spark.conf.unset(key)
+
+
+def test_hot_keys_are_split(spark):
+    facts = hot(spark, 120_000).withColumn("pad", F.sha2(F.col("id").cast("string"), 256))
+    keys = spark.range(50).select(F.col("id").alias("k")).union(spark.range(1).select(F.lit(7)))
+    people = facts.select("k").where("k is not null").distinct().withColumnRenamed("k", "p")
+    assert is_split(keep_matching(facts, keys, "k"))
+    assert is_split(keep_unmatched(facts, keys, "k"))
+    assert is_split(left_join_many(people, facts, "p", "k"))
+    assert is_split(with_group_totals(facts, ["k"], [F.count(F.lit(1)).alias("n")]))
+
+
 def test_left_join_many(spark, rows):
     people = spark.range(55).select(F.col("id").alias("p"))
     expected = people.join(hot(spark), F.col("p") == F.col("k"), "left")
