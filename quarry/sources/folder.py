@@ -110,12 +110,10 @@ def _same_schema_groups(described: DataFrame) -> list[list[str] | None]:
     groups = described.groupBy("fingerprint").agg(F.min("path").alias("first"))
     if len(groups.limit(2).collect()) < 2:
         return [None]
-    rows = (
-        described.groupBy("fingerprint").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy(F.col("paths")[0])
-        .collect()
-    )
-    return [row["paths"] for row in rows]
+    paths: dict[str, list[str]] = {}
+    for row in described.select("fingerprint", "path").orderBy("path").collect():
+        paths.setdefault(row["fingerprint"], []).append(row["path"])
+    return list(paths.values())
 
 
 def promote(left: T.DataType, right: T.DataType) -> T.DataType:

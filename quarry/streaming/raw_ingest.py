@@ -21,7 +21,8 @@ def ingest_new_files(
 ) -> str:
     """Append the files that arrived since the last run to raw, then stop.
 
-    The checkpoint remembers the files, so a restarted run neither loses nor repeats any.
+    The checkpoint remembers the files, so a restarted run neither loses nor repeats any. Spark
+    reads a streamed table through the sink's own file log, so feed it by this function alone.
     """
     columns = schema or spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
     arrived = (
