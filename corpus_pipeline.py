@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm.exact_dedup import drop_exact_copies
+from quarry.llm.language_id import UNKNOWN, identify, network_of
+from quarry.llm.mixing import in_mixed_order
 from quarry.llm.simhash import drop_near_copies
+from quarry.llm.tokens import decode, encode
 from quarry.session import scratch_path
 
+#: A document whose best language is less likely than this is in none of them.
+LEAST_SCORE = 0.5
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language stay; those without letters, or in no language, go."""
+    found = identify(docs, network_of(docs))
+    stays = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return stays.select("carried.*")
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id stays."""
@@ -19,15 +35,37 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_copies(docs, radius=4)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, written in the order of the mix: sources weigh the square root of their supply while it lasts."""
+    return in_mixed_order(docs, exponent=0.5)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of each text (little-endian unsigned 32-bit integers), and whether they decode to its bytes."""
+    ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    encoded = encode(docs, "text", ranks, pattern).select("carried.*", "n_tokens", "ids", F.col("ids").alias("tokens"))
+    decoded = decode(encoded, "ids", ranks, pattern)
+    text = F.coalesce(F.col("carried.text"), F.lit("")).cast("binary")
+    return decoded.select(
+        *[f"carried.{c}" for c in ("doc_id", "lang", "source", "n_tokens", "tokens")],
+        (F.col("decoded") == text).alias("exact"),
+    )
+
+
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", near_dedup),
+    ("pfair_mixing", mixing),
+    ("byte_bpe", tokens),
 ]
 
+#: SQL cannot express the network, the fingerprints' components, the schedule and the tokens.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import table
 from quarry.llm.exact_dedup import exact_dedup
+from quarry.llm.fingerprints import edited_fingerprints
+from quarry.llm.language_id import held_out, identify, network_of
+from quarry.llm.line_dedup import dedup_lines
+from quarry.llm.mixing import mix
+from quarry.llm.sharding import shard_documents
 from quarry.llm.simhash import simhash_groups
+from quarry.llm.tokens import decode, encode
+from quarry.llm.warc import archive, lookup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +50,90 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, network_of(docs), carry=["doc_id"])
+    return found.select(F.col("carried.doc_id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", held_out())
+
+
+@query()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode(docs, "text", ranks, public_tokenizers.PATTERN).select(
+        F.col("carried.doc_id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids"
+    )
+    return decode(encoded, "ids", ranks, public_tokenizers.PATTERN).select(
+        "carried.doc_id", "carried.n_tokens", "carried.ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query()
+def op6_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_fingerprints(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select(F.col("carried.doc_id").alias("doc_id"), *[c for c in found.columns if c != "carried"])
+
+
+@query()
+def op7_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=8).select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op9_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixed.select("carried.doc_id", "carried.source", "block", "slot", "release", "deadline", "place")
+
+
+@query("""
+WITH pages_ AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT html, max(page_id) AS first_id FROM pages_ WHERE payload_bytes >= 1000 GROUP BY html
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < first_id THEN first_id END AS refers_to
+FROM pages_ LEFT JOIN firsts USING (html)
+""")
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, index, folder = archive(table(spark, sf_dir, "pages"))
+    return lookup(captures, index, folder).drop("url")
+
+
+@query("""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+windows AS (
+    SELECT doc_id, line, md5(lines[line] || chr(10) || lines[line + 1]) AS digest
+    FROM (SELECT doc_id, lines, unnest(range(1, len(lines))) AS line FROM docs)
+), later AS (
+    SELECT doc_id, line FROM windows QUALIFY row_number() OVER (PARTITION BY digest ORDER BY doc_id, line) > 1
+), gone AS (SELECT DISTINCT doc_id, unnest([line, line + 1]) AS line FROM later),
+runs AS (
+    SELECT doc_id, count(*) AS n_removed, count(*) FILTER (new) AS n_runs
+    FROM (SELECT doc_id, coalesce(line - lag(line) OVER (PARTITION BY doc_id ORDER BY line) > 1, true) AS new FROM gone)
+    GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(content, chr(10) ORDER BY line) AS content
+    FROM (SELECT doc_id, unnest(lines) AS content, unnest(range(1, len(lines) + 1)) AS line FROM docs)
+    ANTI JOIN gone USING (doc_id, line) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+       sha256(coalesce(content, '')) AS kept_sha256
+FROM docs LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+""")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), window=2)
+    return found.select("carried.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
