@@ -16,6 +16,7 @@ from quarry.llm.line_dedup import dedup_lines
 from quarry.llm.mixing import mix
 from quarry.llm.sharding import shard_documents
 from quarry.llm.simhash import simhash_groups
+from quarry.llm.suffix_dedup import remove_repeats
 from quarry.llm.tokens import decode, encode
 from quarry.llm.warc import archive, lookup
 
@@ -137,3 +138,8 @@ FROM docs LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), window=2)
     return found.select("carried.doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
