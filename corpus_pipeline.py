@@ -43,8 +43,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The tokens of each text (little-endian unsigned 32-bit integers), and whether they decode to its bytes."""
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = encode(docs, "text", ranks, pattern).select("carried.*", "n_tokens", "ids", F.col("ids").alias("tokens"))
-    decoded = decode(encoded, "ids", ranks, pattern)
+    docs = docs.select("doc_id", "text", "lang", "source")
+    encoded = encode(docs, "text", ranks, pattern).select("carried.*", "n_tokens", F.col("ids").alias("tokens"))
+    decoded = decode(encoded, "tokens", ranks, pattern)
     text = F.coalesce(F.col("carried.text"), F.lit("")).cast("binary")
     return decoded.select(
         *[f"carried.{c}" for c in ("doc_id", "lang", "source", "n_tokens", "tokens")],

@@ -1,5 +1 @@
-"""Operators for large training corpora, and their registered queries."""
-
-from quarry.llm.queries import ORACLES, QUERIES
-
-__all__ = ["ORACLES", "QUERIES"]
+"""Operators for large training corpora; their registered queries are in ``quarry.llm.queries``."""

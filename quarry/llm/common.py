@@ -13,9 +13,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of a corpus are large: what a Python worker and its executor hold at once is bounded by this.
+BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
+
+
+def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with batches small enough for large rows; the session may set smaller ones."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(f"spark.sql.execution.arrow.{key}", None)
+        if now is None or not str(now).isdigit() or not 0 < int(now) <= most:
+            conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+    return df.mapInArrow(function, schema)
+
+
+def texts(batch: pa.RecordBatch, column: str) -> pa.Array:
+    """A column of the batch, or else a field of its struct ``carried``: so a text is sent once."""
+    return batch.column(column) if column in batch.schema.names else batch.column("carried").field(column)
+
+
 def blobs(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """A string column as UTF-8 bytes; null counts as empty."""
-    return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]
+    return [value or b"" for value in texts(batch, column).cast(pa.binary()).to_pylist()]
 
 
 def row_numbers() -> Iterator[int]:

@@ -27,12 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blobs, carried, row_numbers
+from quarry.llm.common import arrow_map, blobs, carried, row_numbers
 from quarry.session import materialise
 
 #: Bytes of content that a table holds before it is flushed (before the shuffle) or spills (after it).
-LOCAL_BYTES = 48 << 20
-BUCKET_BYTES = 96 << 20
+LOCAL_BYTES = 32 << 20
+BUCKET_BYTES = 64 << 20
 SPILL_FILES = 16
 LAST = 1 << 63  # stands for a null id when ids are compared
 
@@ -257,7 +257,8 @@ def exact_groups(
         carried(df, carry or []).alias("carried"),
     )
     kind = source.schema["carried"].dataType.simpleString()
-    collapsed = source.mapInArrow(
+    collapsed = source.transform(
+        arrow_map,
         _collapse(LOCAL_BYTES),
         f"rep long, id long, number long, hash long, n long, text string, carried {kind}",
     )
@@ -265,7 +266,8 @@ def exact_groups(
         collapsed = materialise(collapsed.drop("carried").withColumn("carried", F.struct(F.lit(None).alias("none"))), "exact")
     entries = collapsed.filter("n is not null")
     schema = "rep long, keep_id long, keep_number long, group_size long, sha256 string, stays boolean"
-    resolved = entries.repartition("hash").mapInArrow(
+    resolved = entries.repartition("hash").transform(
+        arrow_map,
         _resolve(bucket_bytes, carry is not None),
         schema + (f", text string, carried {kind}" if carry is not None else ""),
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blobs, carried
+from quarry.llm.common import arrow_map, blobs, carried
 from quarry.session import materialise
 
 PRIMES = (2147483647, 2147483629)  # below 2^31, so that products fit 64 bits
@@ -241,7 +241,7 @@ def edited_fingerprints(
         source.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select("carried", "text")
-        .mapInArrow(_in_order, f"task int, kind string, carried {kind}, text binary, {RESULT}"),
+        .transform(arrow_map, _in_order, f"task int, kind string, carried {kind}, text binary, {RESULT}"),
         "fingerprints",
     )
     names = [c.split()[0] for c in RESULT.split(", ")]
@@ -255,5 +255,5 @@ def edited_fingerprints(
         ).alias("next_task"),
     )
     tails = found.filter("kind = 'tail'").select("task", "carried", "text").join(tasks, "task").join(heads, "next_task")
-    ends = tails.select("carried", "text", "following").mapInArrow(_pairs, f"carried {kind}, {RESULT}")
+    ends = tails.select("carried", "text", "following").transform(arrow_map, _pairs, f"carried {kind}, {RESULT}")
     return found.filter("kind = 'row'").select("carried", *names).union(ends.select("carried", *names))

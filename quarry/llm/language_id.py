@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blobs, carried
+from quarry.llm.common import arrow_map, blobs, carried
 
 WINDOW = 256  # bytes
 TRAIN_WINDOWS = 12_000  # the bound of the training sample
@@ -147,8 +147,11 @@ def train_network(
     """A network trained on at most ``bound`` windows of labelled texts; None without any."""
     text, order = F.col(f"`{text_column}`"), F.xxhash64(F.col(f"`{id_column}`"))
     start = F.pmod(F.xxhash64(F.col(f"`{id_column}`"), F.lit("window")), F.greatest(F.length(text) - WINDOW // 2, F.lit(1)))
+    labelled = labelled.filter(F.col(f"`{label_column}`").isNotNull())
+    # what the tasks send is bounded too: about a half more than the bound, by the hashes
+    share = min(1.0, 1.5 * bound / max(1, labelled.count()))
     sample = (
-        labelled.filter(F.col(f"`{label_column}`").isNotNull() & text.rlike(r"\p{L}"))
+        labelled.filter((F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20)) + 1) & text.rlike(r"\p{L}"))
         .select(order.alias("place"), F.col(f"`{label_column}`").alias("label"), F.substr(text, start + 1, F.lit(WINDOW)).alias("part"))
         .orderBy("place", "label", "part")
         .limit(bound)
@@ -164,10 +167,12 @@ def train_network(
 
 def identify(df: DataFrame, network: ByteNetwork | None, text_column: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``carried`` (the named columns of each row, all by default), ``lang_pred`` and ``score``."""
-    text = F.col(f"`{text_column}`").cast("string")
-    # texts without letters are not sent through the network
+    carry = df.columns if carry is None else carry
+    text = F.col(f"`{text_column}`")
     source = df.select(
-        carried(df, df.columns if carry is None else carry).alias("carried"), F.when(text.rlike(r"\p{L}"), text).alias("text")
+        carried(df, carry).alias("carried"),
+        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"),
+        *([] if text_column in carry else [text.alias(text_column)]),
     )
     kind = source.schema["carried"].dataType.simpleString()
 
@@ -176,7 +181,9 @@ def identify(df: DataFrame, network: ByteNetwork | None, text_column: str = "tex
             n = batch.num_rows
             labels, scores = [UNKNOWN] * n, np.zeros(n)
             if network is not None:
-                rows, owner, sizes = windows(blobs(batch, "text"))
+                letters = batch.column("letters").to_pylist()
+                own = [text if has else b"" for text, has in zip(blobs(batch, text_column), letters, strict=True)]
+                rows, owner, sizes = windows(own)
                 weighed = network.probabilities(rows) * sizes[:, None]
                 sums = np.zeros((n, len(network.labels)))
                 np.add.at(sums, owner, weighed)
@@ -189,7 +196,7 @@ def identify(df: DataFrame, network: ByteNetwork | None, text_column: str = "tex
                 names=["carried", "lang_pred", "score"],
             )
 
-    return source.mapInArrow(run, f"carried {kind}, lang_pred string, score double")
+    return source.transform(arrow_map, run, f"carried {kind}, lang_pred string, score double")
 
 
 def held_out(id_column: str = "doc_id") -> F.Column:

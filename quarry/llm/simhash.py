@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import blobs, carried, row_numbers
+from quarry.llm.common import arrow_map, blobs, carried, row_numbers
 from quarry.llm.components import components
 from quarry.session import materialise
 
@@ -58,11 +58,11 @@ def simhash(data: bytes, width: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(width: int, seed: int):
+def _fingerprints(width: int, seed: int, column: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = row_numbers()
         for batch in batches:
-            found = np.array([simhash(b, width, seed) for b in blobs(batch, "text")], np.uint64).view(np.int64)
+            found = np.array([simhash(b, width, seed) for b in blobs(batch, column)], np.uint64).view(np.int64)
             own = [next(numbers) for _ in range(len(found))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(own, pa.int64()), pa.array(found, pa.int64()), batch.column("carried")],
@@ -76,13 +76,14 @@ def fingerprints(
     df: DataFrame, id_column: str, text_column: str, width: int = 4, seed: int = 42, carry: list[str] | None = None
 ) -> DataFrame:
     """``id, number, fp, carried`` for each row; number is unique, fp the 64 bits as a signed long."""
+    carry = carry or []
     source = df.select(
         F.col(f"`{id_column}`").cast("long").alias("id"),
-        F.col(f"`{text_column}`").cast("string").alias("text"),
-        carried(df, carry or []).alias("carried"),
+        carried(df, carry).alias("carried"),
+        *([] if text_column in carry else [F.col(f"`{text_column}`").alias(text_column)]),
     )
     kind = source.schema["carried"].dataType.simpleString()
-    return source.mapInArrow(_fingerprints(width, seed), f"id long, number long, fp long, carried {kind}")
+    return source.transform(arrow_map, _fingerprints(width, seed, text_column), f"id long, number long, fp long, carried {kind}")
 
 
 def covering_masks(positions: list[int], radius: int) -> list[int]:
@@ -202,7 +203,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = 4, limit: int = BUCKET_
         found = materialise(
             rows.repartition("mask", "key")
             .sortWithinPartitions("mask", "key", "fp")
-            .mapInArrow(_bucket_links(radius, limit), "a long, b long, mask long, key long"),
+            .transform(arrow_map, _bucket_links(radius, limit), "a long, b long, mask long, key long"),
             "simhash",
         )
         own = found.filter("b is not null").select(F.col("a").alias("u"), F.col("b").alias("v"))

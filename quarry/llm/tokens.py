@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried
+from quarry.llm.common import arrow_map, carried, texts
 
 SPLIT_CHARS = 1 << 16
 
@@ -67,33 +67,32 @@ def decode_tokens(packed: bytes, tokenizer) -> bytes:
 
 def encode(df: DataFrame, text_column: str, ranks_path: str, pattern: str, limit: int = SPLIT_CHARS) -> DataFrame:
     """``carried`` (the input's row), ``n_tokens`` and ``ids``."""
-    source = df.select(carried(df, df.columns).alias("carried"), F.col(f"`{text_column}`").cast("string").alias("text"))
+    source = df.select(carried(df, df.columns).alias("carried"))
     kind = source.schema["carried"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoding(ranks_path, pattern)
         for batch in batches:
-            packed = [encode_text(text or "", tokenizer, limit) for text in batch.column("text").to_pylist()]
+            packed = [encode_text(text or "", tokenizer, limit) for text in texts(batch, text_column).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("carried"), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
                 names=["carried", "n_tokens", "ids"],
             )
 
-    return source.mapInArrow(run, f"carried {kind}, n_tokens long, ids binary")
+    return source.transform(arrow_map, run, f"carried {kind}, n_tokens long, ids binary")
 
 
 def decode(df: DataFrame, ids_column: str, ranks_path: str, pattern: str) -> DataFrame:
-    """``carried`` (the input's row without its tokens) and ``decoded``, the bytes of the tokens."""
-    others = [c for c in df.columns if c != ids_column]
-    source = df.select(carried(df, others).alias("carried"), F.col(f"`{ids_column}`").alias("ids"))
+    """``carried`` (the input's row) and ``decoded``, the bytes of the tokens."""
+    source = df.select(carried(df, df.columns).alias("carried"))
     kind = source.schema["carried"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoding(ranks_path, pattern)
         for batch in batches:
-            decoded = [decode_tokens(ids or b"", tokenizer) for ids in batch.column("ids").to_pylist()]
+            decoded = [decode_tokens(ids or b"", tokenizer) for ids in texts(batch, ids_column).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("carried"), pa.array(decoded, pa.binary())], names=["carried", "decoded"]
             )
 
-    return source.mapInArrow(run, f"carried {kind}, decoded binary")
+    return source.transform(arrow_map, run, f"carried {kind}, decoded binary")

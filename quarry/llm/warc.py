@@ -34,6 +34,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import arrow_map
 from quarry.session import materialise, scratch_path
 
 REVISIT_BYTES = 1000
@@ -144,7 +145,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         if sink is not None:
             sink.close()
 
-    written = records.mapInArrow(run, "key string, page_id long, file string, offset long, length long")
+    written = records.transform(arrow_map, run, "key string, page_id long, file string, offset long, length long")
     return materialise(written, "captures")
 
 
@@ -184,7 +185,7 @@ def write_index(captures: DataFrame, folder: str) -> list[dict]:
             )
 
     order = ["key", "page_id", "file", "offset"]
-    parts = captures.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "path string, first string, last string")
+    parts = captures.repartitionByRange(*order).sortWithinPartitions(*order).transform(arrow_map, run, "path string, first string, last string")
     # one row for each task of the range exchange
     return sorted((r.asDict() for r in parts.collect()), key=lambda r: (r["first"], r["last"]))
 
@@ -245,8 +246,8 @@ def lookup(keys: DataFrame, index: list[dict], folder: str, with_payload: bool =
         for handle in handles.values():
             handle.close()
 
-    dealt = keys.select("key").distinct().mapInArrow(route, "part int, key string")
-    return dealt.repartitionByRange("part", "key").sortWithinPartitions("part", "key").mapInArrow(read, schema)
+    dealt = keys.select("key").distinct().transform(arrow_map, route, "part int, key string")
+    return dealt.repartitionByRange("part", "key").sortWithinPartitions("part", "key").transform(arrow_map, read, schema)
 
 
 def archive(
