@@ -185,7 +185,7 @@ def _in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(results)
         columns = zip(*[r or (None,) * len(KINDS) for r in results], strict=True) if n else [[]] * len(KINDS)
         return pa.RecordBatch.from_arrays(
-            [pa.array([task] * n, pa.int32()), pa.array([kind] * n), carried_rows, pa.array(texts, pa.binary())]
+            [pa.array([task] * n, pa.int32()), pa.array([kind] * n, pa.string()), carried_rows, pa.array(texts, pa.binary())]
             + [pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)],
             names=["task", "kind", "carried", "text", *[c.split()[0] for c in RESULT.split(", ")]],
         )

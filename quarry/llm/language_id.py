@@ -28,7 +28,7 @@ TRAIN_WINDOWS = 12_000  # the bound of the training sample
 EMBEDDING = 8
 WIDTHS = (2, 3, 4)
 FILTERS = 16  # of each width
-EPOCHS = 6
+STEPS = 900  # of training, 64 windows each
 CHUNK = 64  # windows at once
 UNKNOWN = "und"
 
@@ -98,7 +98,7 @@ class ByteNetwork:
             found.append(self.softmax(np.maximum(responses.max(axis=1) + self.bias, 0)))
         return np.concatenate(found)
 
-    def train(self, rows: np.ndarray, target: np.ndarray, epochs: int = EPOCHS, seed: int = 11, rate: float = 0.004):
+    def train(self, rows: np.ndarray, target: np.ndarray, steps: int = STEPS, seed: int = 11, rate: float = 0.004):
         """Adam on the cross-entropy; classes weigh alike."""
         random = np.random.default_rng(seed)
         names = ("embedding", "filters", "bias", "out", "out_bias")
@@ -107,7 +107,7 @@ class ByteNetwork:
         share = np.bincount(target, minlength=len(self.labels))
         weights = (len(target) / np.maximum(share, 1) / max(1, np.count_nonzero(share))).astype(np.float32)
         mask, widest, step = self.mask(), max(WIDTHS), 0
-        for _ in range(epochs):
+        while step < steps:
             order = random.permutation(len(rows))
             for at in range(0, len(order), CHUNK):
                 own, step = order[at : at + CHUNK], step + 1

@@ -1,8 +1,8 @@
 """Removes repeated byte strings, found in a sparse suffix array by bucket-pointer refinement.
 
 Every ``LENGTH``-byte string has a smallest hash among those of its ``GRAM``-byte grams. Suffixes are put into initial
-buckets by that gram, one for each stretch of neighbouring strings that share it (about one position in seventy), so
-equal strings are in equal buckets. A bucket with one stretch is done: none of its strings is repeated. Stretches that
+buckets by that gram, one for each stretch of neighbouring strings that share its place (about one position in
+seventy), so equal strings are in equal buckets and never in one stretch. A bucket with one stretch is done: none of its strings is repeated. Stretches that
 are equal as a whole are repeated as a whole. What is left of a bucket, its different stretches, is refined: their
 suffixes are ranked by their first eight bytes, and each bucket of equal ranks is sorted by the rank of the suffix
 eight bytes later, the ranks that come out serve as pointers for sixteen bytes, and so on to the full length. A suffix
@@ -34,7 +34,6 @@ from quarry.session import materialise
 
 LENGTH = 200  # bytes of a repeated string
 GRAM = 64  # bytes of an initial bucket
-STRETCH = 256  # strings in a stretch at most
 CHUNK_BYTES = 4 << 20  # refined at once
 CHUNK_STRETCHES = 8192  # of one bucket
 TASK_BYTES = 24 << 20  # of texts whose stretches are packed together
@@ -72,20 +71,19 @@ def window_minima(values: np.ndarray, size: int) -> np.ndarray:
 
 
 def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First string, number of strings, and bucket of each stretch of a text."""
+    """First string, number of strings, and bucket of each stretch of a text.
+
+    The strings of a stretch have their smallest gram at one place (the first of equals), so no two of them are equal.
+    """
     if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64)
-    least = window_minima(gram_hashes(np.frombuffer(data, np.uint8), gram), length - gram + 1)
-    starts = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-    sizes = np.diff(np.r_[starts, len(least)])
-    if sizes.max() > STRETCH:  # periodic texts
-        pieces = -(-sizes // STRETCH)
-        number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        ends = np.repeat(starts + sizes, pieces)
-        starts = np.repeat(starts, pieces) + number * STRETCH
-        sizes = np.minimum(ends - starts, STRETCH)
-    return starts, sizes, least[starts]
+    hashes = gram_hashes(np.frombuffer(data, np.uint8), gram)
+    low = np.uint64(len(hashes).bit_length())
+    placed = hashes >> low << low | np.arange(len(hashes), dtype=np.uint64)
+    place = window_minima(placed, length - gram + 1) & ((np.uint64(1) << low) - np.uint64(1))
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    return starts, np.diff(np.r_[starts, len(place)]), hashes[place[starts].astype(np.int64)]
 
 
 def repeated_strings(texts: list[bytes], length: int = LENGTH) -> np.ndarray:
@@ -212,9 +210,10 @@ def _sample(parts: int):
 ACTIONS = SPANS + ", repeated boolean, bucket long, chunks int"
 
 
-def _actions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _actions(chunk_stretches: int):
     """Of each part: the stretches that are repeated as a whole, and those that must be refined (with ``chunks``)."""
 
+
     def rows(number, first, count, repeated, bucket, chunks) -> Iterator[pa.RecordBatch]:
         columns = [
             (number, pa.int64()), (first.astype(np.int64), pa.int64()), (count.astype(np.int64), pa.int64()),
@@ -239,24 +238,27 @@ def _actions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(edge))
         sizes = np.diff(np.r_[np.flatnonzero(edge), len(edge)])
         different = np.repeat(kinds, sizes)
-        chunks = np.where(new & (different > 1), -(-different // CHUNK_STRETCHES), 0)
+        chunks = np.where(new & (different > 1), -(-different // chunk_stretches), 0)
         out = (again & ~local) | (chunks > 0)
         yield from rows(number[out], first[out], count[out], (again | local)[out], bucket[out], chunks[out])
 
-    part, held = None, []
-    for batch in batches:
-        for to, base, data in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "data")), strict=True):
-            if to == -1:
-                bucket, _, row, first, count = _unpack(data)
-                yield from rows(base + row.astype(np.int64), first, count, np.ones(len(row), bool), bucket, np.zeros(len(row)))
-                continue
-            if to != part and held:
-                yield from result(held)
-                held = []
-            part = to
-            held.append((base, data))
-    if held:
-        yield from result(held)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            for to, base, data in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "data")), strict=True):
+                if to == -1:
+                    bucket, _, row, first, count = _unpack(data)
+                    yield from rows(base + row.astype(np.int64), first, count, np.ones(len(row), bool), bucket, np.zeros(len(row)))
+                    continue
+                if to != part and held:
+                    yield from result(held)
+                    held = []
+                part = to
+                held.append((base, data))
+        if held:
+            yield from result(held)
+
+    return run
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +352,14 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", parts: int | None = None, with_kept: bool = False) -> DataFrame:
+def remove_repeats(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    parts: int | None = None,
+    chunk_stretches: int = CHUNK_STRETCHES,
+    with_kept: bool = False,
+) -> DataFrame:
     """A row for each input row: ``id, n_bytes, n_removed, n_spans, kept_sha256``; with ``with_kept`` the bytes as well.
 
     ``kept`` is null where nothing was removed. ``parts``: into how many parts the buckets are dealt, four times the
@@ -369,7 +378,7 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str =
     actions = (
         blocks.repartition("part", F.when(F.col("part") < 0, F.col("number")))
         .sortWithinPartitions("part")
-        .transform(arrow_map, _actions, ACTIONS)
+        .transform(arrow_map, _actions(chunk_stretches), ACTIONS)
     )
     by_row = actions.groupBy("number").agg(F.collect_list(F.struct("first", "count", "repeated", "bucket", "chunks")).alias("actions"))
     keyed = by_row.join(rows.select("number", "id", "hash"), "number").groupBy("id", "hash")

@@ -34,7 +34,7 @@ def documents(spark):
         (None, "no id here", "en", "src4", 10),
         (None, None, None, None, None),
     ]
-    return own.union(spark.createDataFrame(odd, SCHEMA)).coalesce(3).cache()
+    return own.union(spark.createDataFrame(odd, SCHEMA)).repartition(3).cache()
 
 
 @pytest.fixture(scope="session")

@@ -202,18 +202,16 @@ def test_repeated_strings_equal_brute_force():
 
 
 @pytest.mark.parametrize("chunk", [suffix_dedup.CHUNK_STRETCHES, 1])
-def test_repeats_equal_brute_force(spark, documents, collected, chunk, monkeypatch):
+def test_repeats_equal_brute_force(spark, documents, collected, chunk):
     rows = collected
     if chunk == 1:  # buckets in many chunks
         rows = [r for r in collected if r.doc_id is None or r.doc_id < 60 or r.doc_id >= 900_000]
-        # the functions go to the workers by name, so the smaller chunk is set in the table of actions
-        monkeypatch.setattr(suffix_dedup, "CHUNK_STRETCHES", 1)
         documents = spark.createDataFrame(rows, documents.schema).repartition(3)
     expected = Counter(
         (r.doc_id, len((r.text or "").encode()), n, runs, hashlib.sha256(kept).hexdigest())
         for r, (n, runs, kept) in zip(rows, plain_repeats([(r.text or "").encode() for r in rows], 200), strict=True)
     )
-    found = suffix_dedup.remove_repeats(documents, parts=5).collect()
+    found = suffix_dedup.remove_repeats(documents, parts=5, chunk_stretches=chunk).collect()
     assert Counter((r.id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == expected
     assert sum(r.n_removed > 0 for r in found) > 4
 
