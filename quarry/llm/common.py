@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: Rows of a corpus are large: what a Python worker and its executor hold at once is bounded by this.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
@@ -25,7 +26,14 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
         now = conf.get(f"spark.sql.execution.arrow.{key}", None)
         if now is None or not str(now).isdigit() or not 0 < int(now) <= most:
             conf.set(f"spark.sql.execution.arrow.{key}", str(most))
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        # the worker stays for later tasks; what this one held goes back to the system
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def texts(batch: pa.RecordBatch, column: str) -> pa.Array:

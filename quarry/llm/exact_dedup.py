@@ -31,7 +31,7 @@ from quarry.llm.common import arrow_map, blobs, carried, row_numbers
 from quarry.session import materialise
 
 #: Bytes of content that a table holds before it is flushed (before the shuffle) or spills (after it).
-LOCAL_BYTES = 32 << 20
+LOCAL_BYTES = 12 << 20
 BUCKET_BYTES = 64 << 20
 SPILL_FILES = 16
 LAST = 1 << 63  # stands for a null id when ids are compared
