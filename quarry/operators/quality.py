@@ -18,6 +18,9 @@ from quarry.operators.joins import keep_unmatched
 
 log = logging.getLogger(__name__)
 
+KNOWN_CHECKS = (
+    "not_null", "unique", "valid_values", "accepted_values", "range", "relationships", "expression",
+)
 RESULT_COLUMNS = ["position", "check", "columns", "failing_rows", "passed", "details", "severity"]
 
 
@@ -33,14 +36,17 @@ class _Measure:
     condition: Column | None = None
 
 
-def failing_condition(check: dict) -> Column | None:
+def failing_condition(df: DataFrame, check: dict) -> Column | None:
     """Row predicate that is true on violations, or None when the check is not row-level."""
     kind = check["type"]
     if kind == "not_null":
         return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in check["columns"]])
     if kind in ("valid_values", "accepted_values"):
-        allowed = [str(v) for v in check["values"]]
-        return ~F.col(check["column"]).cast("string").isin(allowed)
+        # compared as the column's own type; a value that it cannot hold allows nothing
+        column = F.col(check["column"])
+        kind_of = df.select(column).schema[0].dataType
+        allowed = F.array_compact(F.array(*[F.lit(v).try_cast(kind_of) for v in check["values"]]))
+        return ~F.array_contains(allowed, column)
     if kind == "range":
         tests = []
         if check.get("min_value") is not None:
@@ -71,30 +77,30 @@ def run_checks(
         if kind == "not_null":
             for name in names:
                 measures.append(
-                    _Measure(position, kind, label, severity, f"{name}(%s nulls)", F.col(name).isNull())
+                    _Measure(position, kind, label, severity, f"{name} is missing in %s rows", F.col(name).isNull())
                 )
         elif kind == "unique":
-            wording = f"%s duplicates on ({label})"
+            wording = f"%s rows repeat a key of ({label})"
             separate.append(
                 _measured(duplicate_count(df, names), position, kind, label, severity, wording)
             )
         elif kind == "relationships":
             parent = (references or {})[check["to"]]
             orphans = orphan_rows(df, check["column"], parent, check["field"])
-            wording = f"%s values of {label} missing in {check['to']}"
+            wording = f"%s rows have a {label} that {check['to']} lacks"
             separate.append(
                 _measured(
                     orphans.agg(F.count(F.lit(1)).alias("n")), position, kind, label, severity, wording
                 )
             )
         else:
-            condition = failing_condition(check)
+            condition = failing_condition(df, check)
             wording = {
-                "valid_values": f"%s invalid values in {label}",
-                "accepted_values": f"%s invalid values in {label}",
-                "range": f"%s out-of-range values in {label}",
-                "expression": f"%s rows violate {check.get('condition')}",
-            }.get(kind, "Unknown check type")
+                "valid_values": f"{label} is not an allowed value in %s rows",
+                "accepted_values": f"{label} is not an allowed value in %s rows",
+                "range": f"{label} is outside its limits in %s rows",
+                "expression": f"{check.get('condition')} does not hold in %s rows",
+            }.get(kind, "no check of this type")
             if condition is None:
                 log.warning("unknown quality check %r", kind)
             measures.append(_Measure(position, kind, label, severity, wording, condition))
@@ -117,8 +123,7 @@ def run_checks(
             ", ",
         ).alias("failures"),
     )
-    prefix = F.when(F.col("check") == "not_null", F.lit("Nulls found: ")).otherwise(F.lit(""))
-    details = F.when(F.col("passed"), F.lit("OK")).otherwise(F.concat(prefix, F.col("failures")))
+    details = F.when(F.col("passed"), F.lit("passed")).otherwise(F.col("failures"))
     return grouped.withColumn("details", details).select(*RESULT_COLUMNS)
 
 
@@ -208,7 +213,7 @@ def failing_rows(
         return df.join(repeated, same, "left_semi")
     if kind == "relationships":
         return orphan_rows(df, check["column"], (references or {})[check["to"]], check["field"])
-    condition = failing_condition(check)
+    condition = failing_condition(df, check)
     if condition is None:
         raise ValueError(f"no failing rows for check type {kind!r}")
     return df.where(F.coalesce(condition, F.lit(False)))

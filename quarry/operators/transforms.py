@@ -96,9 +96,9 @@ def hash_key(columns: list[str], name: str = "hash_key") -> Step:
     return lambda df: df.withColumn(name, joined_key([F.col(c) for c in columns]))
 
 
-def drop_internal(df: DataFrame) -> DataFrame:
-    """Remove helper columns (double underscore) left by custom steps."""
-    return df.drop(*[c for c in df.columns if c.startswith("__")])
+def drop_internal(df: DataFrame, created: list[str]) -> DataFrame:
+    """Remove the helper columns that steps have created; a column of the user's stays, whatever its name."""
+    return df.drop(*created)
 
 
 BUILDERS: dict[str, Callable[[dict], Step]] = {
@@ -128,8 +128,9 @@ def build_steps(specs: list[dict], unknown: str = "warn") -> list[Step]:
 
 
 def transform_chain(df: DataFrame, specs: list[dict], unknown: str = "warn") -> DataFrame:
+    """All steps in order; a step's ``helpers`` are columns that later steps use and the result lacks."""
     chained = reduce(lambda d, step: d.transform(step), build_steps(specs, unknown), df)
-    return drop_internal(chained)
+    return drop_internal(chained, [name for spec in specs for name in spec.get("helpers", [])])
 
 
 def _columns(spec: dict) -> dict[str, str]:

@@ -19,7 +19,7 @@ from quarry.functions.geo import CENTRE_LATITUDE, CENTRE_LONGITUDE, geo_point, h
 from quarry.functions.text import accent_fold, city_key
 from quarry.operators.dedup import best_row
 from quarry.operators.joins import keep_matching, with_scalars
-from quarry.operators.ordered import with_ranks
+from quarry.operators.ordered import exact_percentiles, with_ranks
 
 PLACE = ["ciudad", "provincia", "pais_codigo"]
 
@@ -304,18 +304,17 @@ def ventas_por_ubicacion(
 def penetracion_mercado(ventas_por_ubicacion: DataFrame) -> DataFrame:
     """Penetration (KPI-009), revenue per head (KPI-010), potential (KPI-015), quadrant.
 
-    One row per city goes in, so the exact percentiles over cities are a small aggregate.
+    Percentiles over cities are exact and sorted in ranges, so no task holds all cities.
     """
     rate = kpi.ratio(F.col("total_pedidos"), F.col("population"))
     cities = ventas_por_ubicacion.where("population > 0 and ciudad is not null").withColumn("rate", rate)
     baseline = cities.agg(
         kpi.ratio(F.sum("total_pedidos"), F.sum("population")).alias("national_rate"),
         kpi.ratio(F.sum("revenue_total"), F.sum("total_pedidos")).alias("national_ticket"),
-        F.percentile("rate", 0.25).alias("p25"),
-        F.percentile("rate", 0.75).alias("p75"),
-        F.median("population").alias("median_population"),
     )
     known = with_scalars(cities, baseline)
+    known = with_scalars(known, exact_percentiles(cities, "rate", {"p25": 0.25, "p75": 0.75}))
+    known = with_scalars(known, exact_percentiles(cities, "population", {"median_population": 0.5}))
     return known.select(
         "ciudad", "provincia", "pais", "latitud", "longitud", "population", "total_pedidos",
         "clientes_unicos", "revenue_total", "ticket_promedio",

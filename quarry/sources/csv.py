@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -37,6 +38,7 @@ def read_csv_source(
         encoding=options.get("encoding", "utf-8"),
         skip_rows=options.get("skip_rows", 0),
         schema=options.get("schema"),
+        multi_line=options.get("multi_line", False),
     )
 
 
@@ -49,16 +51,25 @@ def read_csv(
     skip_rows: int = 0,
     schema: str | None = None,
     sampling_ratio: float = 1.0,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read CSV with inferred types, or with a DDL schema, which saves the inference pass."""
+    """Read CSV with inferred types, or with a DDL schema, which saves the inference pass.
+
+    With a header and several files, columns are matched by each file's own header. ``multi_line``
+    lets quoted values span lines (a file is then read by one task).
+    """
     try:
         if skip_rows > 0:
             return _read_after_skipping(
                 spark, path, delimiter, header, encoding, skip_rows, schema, sampling_ratio
             )
-        reader = spark.read.options(sep=delimiter, header=header, encoding=encoding)
+        reader = spark.read.options(sep=delimiter, header=header, encoding=encoding, multiLine=multi_line)
         if schema:
             return reader.schema(schema).csv(path)
+        if header and (groups := _header_groups(spark, path, delimiter, encoding)):
+            parts = [reader.csv(paths) for paths in groups]
+            table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+            return narrow_text(table, sampling_ratio)
         return wall_clock(reader.options(inferSchema=True, samplingRatio=sampling_ratio).csv(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -66,6 +77,16 @@ def read_csv(
         raise
 
 
+def _header_groups(
+    spark: SparkSession, path: str | list[str], delimiter: str, encoding: str
+) -> list[list[str]] | None:
+    """Files by header line where headers differ; None where all files have one."""
+    from quarry.sources.folder import csv_headers, list_files, same_schema_groups
+
+    groups = same_schema_groups(csv_headers(list_files(spark, path, "*"), delimiter, encoding))
+    return None if groups == [None] else groups
+
+
 def wall_clock(df: DataFrame) -> DataFrame:
     """Timestamps found in text carry no zone."""
     found = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
@@ -100,7 +121,7 @@ def _read_after_skipping(
     )
     leading = lines.where("first_split").limit(skip_rows + 1).collect()  # skip_rows + 1 lines
     first = next(csv.reader([leading[-1]["value"]], delimiter=delimiter))
-    names = first if header else [f"column{i}" for i in range(len(first))]
+    names = first if header else [f"_c{i}" for i in range(len(first))]
     dropped = skip_rows + (1 if header else 0)
 
     def drop_leading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,11 +139,11 @@ def _read_after_skipping(
     return parsed if schema else narrow_text(parsed, sampling_ratio)
 
 
-def narrow_text(df: DataFrame, sampling_ratio: float = 1.0) -> DataFrame:
+def narrow_text(df: DataFrame, sampling_ratio: float = 1.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """Give every text column the narrowest type that all its values fit, in one pass."""
     sample = df if sampling_ratio >= 1.0 else df.sample(sampling_ratio, seed=0)
     tests = []
-    for c in df.columns:
+    for c in (c for c in df.columns if c not in keep):
         tests.append(F.count(F.col(f"`{c}`")).alias(f"{c}|values"))
         for t in CANDIDATES:
             misfit = F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull()
@@ -130,6 +151,9 @@ def narrow_text(df: DataFrame, sampling_ratio: float = 1.0) -> DataFrame:
     found = sample.agg(*tests).first().asDict()
     selected = []
     for c in df.columns:
+        if c in keep:
+            selected.append(F.col(f"`{c}`"))
+            continue
         fits = [t for t in CANDIDATES if found[f"{c}|{t}"] == 0]
         wanted = fits[0] if fits and found[f"{c}|values"] else "string"
         selected.append(F.col(f"`{c}`").cast(wanted).alias(c))

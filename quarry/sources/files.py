@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.sources.folder import list_files, parquet_footers
+from quarry.sources.folder import all_columns, list_files, parquet_footers
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 LAYERS = ("raw", "staging", "consume")
@@ -21,7 +21,7 @@ def query_parquet(
     limit: int | None = None,
 ) -> DataFrame:
     """Select, filter and limit; filter and columns reach the scan."""
-    df = spark.read.parquet(path)
+    df = all_columns(spark).parquet(path)
     if where:
         df = df.where(F.expr(where))
     if columns:
@@ -30,11 +30,11 @@ def query_parquet(
 
 
 def read_columns(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    return spark.read.parquet(path).select(*columns)
+    return all_columns(spark).parquet(path).select(*columns)
 
 
 def parquet_schema(spark: SparkSession, path: str) -> dict[str, str]:
-    return {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema}
+    return {f.name: f.dataType.simpleString() for f in all_columns(spark).parquet(path).schema}
 
 
 def row_count(spark: SparkSession, path: str) -> DataFrame:
@@ -53,8 +53,8 @@ def write_parquet(
 
 
 def file_profile(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per file: rows, columns, row groups, bytes, codec."""
-    return parquet_footers(list_files(spark, path)).drop("fingerprint")
+    """One row per file: rows, columns, row groups, bytes, codec, schema."""
+    return parquet_footers(list_files(spark, path)).withColumnRenamed("fingerprint", "schema")
 
 
 def compact_files(
@@ -64,10 +64,14 @@ def compact_files(
     compression: str = "snappy",
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
-    """Rewrite many files as few of about the target size; returns how many."""
+    """Rewrite many files as few of about the target size; returns how many.
+
+    Columns are matched by name, those that only some files have are kept; a column with several
+    types is an error.
+    """
     total = list_files(spark, paths).agg(F.sum("length")).first()[0] or 0
     files = max(1, math.ceil(total / target_bytes))
-    spark.read.parquet(*paths).repartition(files).write.mode("overwrite").option(
+    all_columns(spark).parquet(*paths).repartition(files).write.mode("overwrite").option(
         "compression", compression
     ).parquet(output)
     return files

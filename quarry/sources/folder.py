@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.sources.csv import wall_clock
+from quarry.sources.csv import narrow_text
 
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
@@ -28,6 +28,11 @@ def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.p
     )
 
 
+def all_columns(spark: SparkSession) -> DataFrameReader:
+    """A reader of the columns of all files, not only of the one that Spark looks at."""
+    return spark.read.option("mergeSchema", "true")
+
+
 def has_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> bool:
     try:
         return not list_files(spark, folder, pattern).isEmpty()
@@ -80,7 +85,10 @@ def parquet_footers(files: DataFrame) -> DataFrame:
     )
 
 
-def _csv_headers(files: DataFrame, delimiter: str) -> DataFrame:
+def csv_headers(files: DataFrame, delimiter: str, encoding: str = "utf-8") -> DataFrame:
+    """The column names in each file's first line; nothing else is read."""
+    decoder = "utf-8-sig" if encoding.lower() in ("utf-8", "utf8") else encoding
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
@@ -93,7 +101,7 @@ def _csv_headers(files: DataFrame, delimiter: str) -> DataFrame:
                         if not piece:
                             break
                         head += piece
-                line = head.split(b"\n", 1)[0].decode("utf-8-sig").strip("\r")
+                line = head.split(b"\n", 1)[0].decode(decoder).strip("\r")
                 names = next(csv.reader([line], delimiter=delimiter), [])
                 found.append((path, "\n".join(names)))
             yield pd.DataFrame(found, columns=["path", "fingerprint"])
@@ -101,7 +109,7 @@ def _csv_headers(files: DataFrame, delimiter: str) -> DataFrame:
     return files.mapInPandas(read, "path string, fingerprint string")
 
 
-def _same_schema_groups(described: DataFrame) -> list[list[str] | None]:
+def same_schema_groups(described: DataFrame) -> list[list[str] | None]:
     """Paths by schema, ordered by first path; None alone when all files agree.
 
     Only folders with conflicting schemas need their file names on the driver, where Spark
@@ -116,18 +124,13 @@ def _same_schema_groups(described: DataFrame) -> list[list[str] | None]:
     return list(paths.values())
 
 
-def promote(left: T.DataType, right: T.DataType) -> T.DataType:
-    """Common type of two columns: equal stays, nothing gives way, numbers meet as double,
-    anything else as text."""
-    if left == right:
-        return left
-    if isinstance(left, T.NullType):
-        return right
-    if isinstance(right, T.NullType):
-        return left
-    if isinstance(left, _NUMERIC) and isinstance(right, _NUMERIC):
-        return T.DoubleType()
-    return T.StringType()
+def common_type(kinds: set[T.DataType]) -> T.DataType:
+    """One type for a column that files give these types: theirs if they agree, a double if all
+    are numbers, else text. Files in which a column has nothing have no say."""
+    known = kinds - {T.NullType()}
+    if len(known) < 2:
+        return next(iter(known), T.NullType())
+    return T.DoubleType() if all(isinstance(k, _NUMERIC) for k in known) else T.StringType()
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:
@@ -144,11 +147,11 @@ def nested_to_json(df: DataFrame) -> DataFrame:
 
 def union_promoted(parts: list[DataFrame]) -> DataFrame:
     """Union by name: columns in order of first appearance, types promoted, gaps NULL."""
-    types: dict[str, T.DataType] = {}
+    found: dict[str, set[T.DataType]] = {}
     for part in parts:
         for field in part.schema:
-            known = types.get(field.name)
-            types[field.name] = promote(known, field.dataType) if known else field.dataType
+            found.setdefault(field.name, set()).add(field.dataType)
+    types = {name: common_type(kinds) for name, kinds in found.items()}
     aligned = [
         part.select(
             *[
@@ -177,9 +180,9 @@ def read_folder(
     if not has_files(spark, folder, pattern):
         return None
     files = list_files(spark, folder, pattern)
-    described = parquet_footers(files) if file_format == "parquet" else _csv_headers(files, delimiter)
+    described = parquet_footers(files) if file_format == "parquet" else csv_headers(files, delimiter)
     parts = []
-    for paths in _same_schema_groups(described):
+    for paths in same_schema_groups(described):
         reader = spark.read
         if base_path:
             reader = reader.option("basePath", base_path)
@@ -188,8 +191,9 @@ def read_folder(
         if file_format == "parquet":
             part = reader.parquet(*(paths or [folder]))
         else:
-            part = reader.options(header=True, sep=delimiter, inferSchema=True).csv(paths or folder)
-            part = wall_clock(part)
+            part = reader.options(header=True, sep=delimiter).csv(paths or folder)
         named = part.withColumn("_source_file", F.col("_metadata.file_name"))
         parts.append(nested_to_json(named))
-    return union_promoted(parts)
+    table = union_promoted(parts)
+    # values as they stand in the files decide, not what one group of files looks like
+    return table if file_format == "parquet" else narrow_text(table, keep=("_source_file",))

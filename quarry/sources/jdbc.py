@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: where an incremental extract starts when nothing was extracted before.
-FIRST_VALUE = "1970-01-01"
 DEFAULT_FETCH_SIZE = 10_000
 
 
@@ -47,16 +45,16 @@ def _reader(spark: SparkSession, config: dict, table: str) -> DataFrameReader:
 
 
 def newer_than(df: DataFrame, incremental: dict | None, last_value: str | None) -> DataFrame:
-    """Rows past the high-water mark; the comparison is pushed down to the source."""
-    if not incremental:
+    """Rows past the high-water mark; the comparison is pushed down to the source.
+
+    Nothing extracted yet means no filter, so early and missing keys are taken by the first run;
+    ``start`` in the configuration sets a floor for it.
+    """
+    mark = last_value if last_value is not None else (incremental or {}).get("start")
+    if not incremental or mark is None:
         return df
     key = incremental["key_column"]
-    mark = F.lit(FIRST_VALUE if last_value is None else last_value)
-    if last_value is None and df.schema[key].dataType.typeName() not in (
-        "date", "timestamp", "timestamp_ntz", "string",
-    ):
-        return df
-    return df.where(F.col(key) > mark.cast(df.schema[key].dataType))
+    return df.where(F.col(key) > F.lit(mark).cast(df.schema[key].dataType))
 
 
 def high_water_mark(incremental: dict) -> Column:

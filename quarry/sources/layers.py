@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.sources.folder import has_files, read_folder
+from quarry.sources.folder import all_columns, has_files, read_folder
 from quarry.sources.registry import with_lineage
 
 PARTITIONS = ["year", "month", "day"]
@@ -81,10 +81,11 @@ class Lake:
         """A raw table, optionally between two ingestion times (both inclusive).
 
         The bounds are also put on the partition columns, so other days are not listed for
-        reading. ``lenient`` merges batches whose schemas differ.
+        reading. Columns of all batches are read; ``lenient`` also takes columns whose types
+        differ between batches, which are an error otherwise.
         """
         path = self.raw_path(source, table)
-        df = read_folder(spark, path, base_path=path) if lenient else spark.read.parquet(path)
+        df = read_folder(spark, path, base_path=path) if lenient else all_columns(spark).parquet(path)
         if df is None:
             raise FileNotFoundError(f"no raw files for {source}.{table}")
         day = F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])

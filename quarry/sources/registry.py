@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.sources.csv import read_csv_source
-from quarry.sources.folder import read_folder
+from quarry.sources.folder import all_columns, read_folder
 from quarry.sources.jdbc import newer_than, read_jdbc_source
 
 Reader = Callable[..., DataFrame]
@@ -19,7 +19,7 @@ def _read_parquet_source(
 ) -> DataFrame:
     """Parquet tables named in ``tables`` or found below ``path`` by table name."""
     paths = {t["name"]: t["path"] for t in config.get("tables", []) if isinstance(t, dict)}
-    df = spark.read.parquet(paths.get(table) or f"{config['path']}/{table}")
+    df = all_columns(spark).parquet(paths.get(table) or f"{config['path']}/{table}")
     return newer_than(df, config.get("incremental"), last_value)
 
 

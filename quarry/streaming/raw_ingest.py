@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources.folder import all_columns
 from quarry.sources.layers import PARTITIONS, Lake
 from quarry.sources.registry import with_lineage
 
@@ -24,7 +25,7 @@ def ingest_new_files(
     The checkpoint remembers the files, so a restarted run neither loses nor repeats any. Spark
     reads a streamed table through the sink's own file log, so feed it by this function alone.
     """
-    columns = schema or spark.read.option("pathGlobFilter", pattern).parquet(folder).schema
+    columns = schema or all_columns(spark).option("pathGlobFilter", pattern).parquet(folder).schema
     arrived = (
         spark.readStream.schema(columns)
         .option("pathGlobFilter", pattern)

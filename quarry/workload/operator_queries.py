@@ -110,17 +110,17 @@ def transform_chain(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "drop_internal",
-    """SELECT o_custkey, o_orderkey, o_orderstatus FROM orders
+    """SELECT o_custkey, o_orderkey, o_orderstatus, o_orderkey AS __x FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""",
 )
 def drop_internal(spark: SparkSession, sf: str) -> DataFrame:
-    """Two deduplications in a row leave no helper column behind."""
+    """Steps leave no helper behind; a column of the user's stays, whatever its name."""
     chained = steps.transform_chain(
         _two_batches(spark, sf),
         [
             {"type": "deduplicate", "keys": ["o_orderkey"]},
             {"type": "deduplicate", "keys": ["o_custkey"], "order_by": ["o_orderkey DESC"]},
-            {"type": "custom_sql", "sql": "SELECT *, 1 AS __helper FROM __INPUT__"},
+            {"type": "custom_sql", "sql": "SELECT *, o_orderkey AS __x, 1 AS __helper FROM __INPUT__", "helpers": ["__helper"]},
         ],
     )
     return chained.drop("_ingestion_timestamp", "o_totalprice", "o_orderdate", "o_orderpriority")

@@ -22,7 +22,7 @@ def _orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "check_not_null",
-    """SELECT n AS failing_rows, n = 0 AS passed, 'Nulls found: o_orderstatus(' || n || ' nulls)' AS details
+    """SELECT n AS failing_rows, n = 0 AS passed, 'o_orderstatus is missing in ' || n || ' rows' AS details
     FROM (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P') q""",
 )
 def check_not_null(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,7 +32,7 @@ def check_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "check_unique",
-    """SELECT n AS failing_rows, FALSE AS passed, n || ' duplicates on (l_orderkey, l_linenumber)' AS details
+    """SELECT n AS failing_rows, FALSE AS passed, n || ' rows repeat a key of (l_orderkey, l_linenumber)' AS details
     FROM (SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS n FROM lineitem) q""",
 )
 def check_unique(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,7 +43,7 @@ def check_unique(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "check_valid_values",
-    """SELECT count(*) AS failing_rows, count(*) = 0 AS passed, count(*) || ' invalid values in o_orderstatus' AS details
+    """SELECT count(*) AS failing_rows, count(*) = 0 AS passed, 'o_orderstatus is not an allowed value in ' || count(*) || ' rows' AS details
     FROM orders WHERE nullif(o_orderstatus, 'P') NOT IN ('F')""",
 )
 def check_valid_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,9 +51,58 @@ def check_valid_values(spark: SparkSession, sf: str) -> DataFrame:
     return quality.run_checks(_orders(spark, sf), [check]).select("failing_rows", "passed", "details")
 
 
+@query(
+    "check_valid_values_typed",
+    """WITH o AS (SELECT l_discount AS d, CAST(l_quantity AS DECIMAL(9, 2)) AS m, l_quantity > 25 AS b FROM lineitem)
+    SELECT 0 AS "position", count(*) FILTER (d NOT IN (0, 0.05, 0.1)) AS failing_rows FROM o
+    UNION ALL SELECT 1, count(*) FILTER (m NOT IN (1, 2.00, 50)) FROM o
+    UNION ALL SELECT 2, count(*) FILTER (NOT b) FROM o""",
+)
+def check_valid_values_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Double, decimal and boolean columns."""
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_discount").alias("d"), F.col("l_quantity").cast("decimal(9,2)").alias("m"), (F.col("l_quantity") > 25).alias("b")
+    )
+    wanted = {"d": [0, 0.05, 0.1], "m": [1, 2.0, 50], "b": [True]}
+    checks = [{"type": "valid_values", "column": c, "values": v} for c, v in wanted.items()]
+    return quality.run_checks(lines, checks).select("position", "failing_rows")
+
+
+@query(
+    "pipeline_relationships",
+    """SELECT 'relationships' AS "check", count(*) AS failing_rows, count(*) AS quarantined FROM orders
+    WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT 'no_such_check', NULL, NULL""",
+)
+def pipeline_relationships(spark: SparkSession, sf: str) -> DataFrame:
+    """A pipeline names the parents of its checks; a check of an unknown type only warns."""
+    lake, name = Lake(scratch_path(spark, "relationships")), "order_lines"
+    log = RunLog(spark, lake.root)
+    for source in ("orders", "lineitem"):
+        lake.write_raw(table(spark, sf, source), "tpch", source)
+    outcome = run_pipeline(
+        spark, lake, log,
+        {
+            "name": name,
+            "source": {"layer": "raw", "domain": "tpch", "table": "orders"},
+            "destination": {"layer": "staging", "table": "orders"},
+            "references": {"lines": {"layer": "raw", "domain": "tpch", "table": "lineitem"}},
+            "quality_checks": [
+                {"type": "relationships", "column": "o_orderkey", "to": "lines", "field": "l_orderkey"},
+                {"type": "no_such_check"},
+            ],
+        },
+        quarantine=True,
+    )
+    if outcome["status"] != "success":
+        raise RuntimeError(outcome["error"])
+    stored = spark.read.parquet(f"{lake.root}/quarantine/{name}/0_relationships")
+    found = stored.agg(F.count(F.lit(1)).alias("quarantined")).withColumn("check", F.lit("relationships"))
+    return log.read("quality").select("check", "failing_rows").join(found, "check", "left")
+
+
 @query(
     "check_range",
-    """SELECT count(*) AS failing_rows, count(*) = 0 AS passed, count(*) || ' out-of-range values in l_quantity' AS details
+    """SELECT count(*) AS failing_rows, count(*) = 0 AS passed, 'l_quantity is outside its limits in ' || count(*) || ' rows' AS details
     FROM lineitem WHERE l_quantity < 2 OR l_quantity > 49""",
 )
 def check_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +113,7 @@ def check_range(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "check_accepted_values",
-    """SELECT count(*) AS failing_rows, count(*) = 0 AS passed, count(*) || ' invalid values in event_type' AS details
+    """SELECT count(*) AS failing_rows, count(*) = 0 AS passed, 'event_type is not an allowed value in ' || count(*) || ' rows' AS details
     FROM events WHERE event_type NOT IN ('signup', 'click', 'view')""",
 )
 def check_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +125,7 @@ def check_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "check_relationships",
     """SELECT count(*) AS failing_rows, count(*) = 0 AS passed,
-        count(*) || ' values of o_orderkey missing in lineitem' AS details
+        count(*) || ' rows have a o_orderkey that lineitem lacks' AS details
     FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 )
 def check_relationships(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,14 +153,14 @@ CHECKS = [
         SELECT count(*) FILTER (state IS NULL) AS nulls, count(*) - count(DISTINCT o_custkey) AS dups,
             count(*) FILTER (o_totalprice < 2000) AS low FROM o)
     SELECT 0 AS "position", 'not_null' AS "check", 'o_orderkey, o_custkey' AS "columns", 0 AS failing_rows,
-        TRUE AS passed, 'OK' AS details, 'error' AS severity FROM n
-    UNION ALL SELECT 1, 'not_null', 'o_orderstatus', nulls, FALSE, 'Nulls found: o_orderstatus(' || nulls || ' nulls)', 'warn' FROM n
-    UNION ALL SELECT 2, 'unique', 'o_orderkey', 0, TRUE, 'OK', 'error' FROM n
-    UNION ALL SELECT 3, 'unique', 'o_custkey', dups, FALSE, dups || ' duplicates on (o_custkey)', 'warn' FROM n
-    UNION ALL SELECT 4, 'valid_values', 'o_orderstatus', 0, TRUE, 'OK', 'warn' FROM n
-    UNION ALL SELECT 5, 'range', 'o_totalprice', low, low = 0, low || ' out-of-range values in o_totalprice', 'warn' FROM n
-    UNION ALL SELECT 6, 'expression', '', 0, TRUE, 'OK', 'warn' FROM n
-    UNION ALL SELECT 7, 'no_such_check', '', NULL, FALSE, 'Unknown check type', 'warn' FROM n""",
+        TRUE AS passed, 'passed' AS details, 'error' AS severity FROM n
+    UNION ALL SELECT 1, 'not_null', 'o_orderstatus', nulls, FALSE, 'o_orderstatus is missing in ' || nulls || ' rows', 'warn' FROM n
+    UNION ALL SELECT 2, 'unique', 'o_orderkey', 0, TRUE, 'passed', 'error' FROM n
+    UNION ALL SELECT 3, 'unique', 'o_custkey', dups, FALSE, dups || ' rows repeat a key of (o_custkey)', 'warn' FROM n
+    UNION ALL SELECT 4, 'valid_values', 'o_orderstatus', 0, TRUE, 'passed', 'warn' FROM n
+    UNION ALL SELECT 5, 'range', 'o_totalprice', low, low = 0, 'o_totalprice is outside its limits in ' || low || ' rows', 'warn' FROM n
+    UNION ALL SELECT 6, 'expression', '', 0, TRUE, 'passed', 'warn' FROM n
+    UNION ALL SELECT 7, 'no_such_check', '', NULL, FALSE, 'no check of this type', 'warn' FROM n""",
 )
 def run_checks(spark: SparkSession, sf: str) -> DataFrame:
     return quality.run_checks(_orders(spark, sf), CHECKS)
@@ -120,7 +169,7 @@ def run_checks(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "severity_gate",
     """SELECT 'lineas_estrictas' AS pipeline, 'error' AS status, 0 AS rows,
-        'unique: ' || (count(*) - count(DISTINCT (l_orderkey, l_linenumber))) || ' duplicates on (l_orderkey, l_linenumber)' AS error
+        'unique: ' || (count(*) - count(DISTINCT (l_orderkey, l_linenumber))) || ' rows repeat a key of (l_orderkey, l_linenumber)' AS error
     FROM lineitem
     UNION ALL SELECT 'lineas_tolerantes', 'success', count(*), NULL FROM lineitem""",
 )

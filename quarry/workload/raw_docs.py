@@ -18,7 +18,7 @@ from quarry.session import scratch_path
 from quarry.sources.folder import has_files
 from quarry.workload.registry import table
 
-LINES_PER_DOCUMENT = 32
+DOCUMENTS_PER_ORDER = 4  # an order's lines are dealt to so many documents by a hash
 
 
 def text(c: str | Column) -> Column:
@@ -70,22 +70,14 @@ def line_documents(
 ) -> DataFrame:
     """(l_orderkey, elements) with the lines of an order as one JSON array.
 
-    An order with many lines is spread over several documents of bounded size.
+    The lines of every order are dealt to a few documents by a hash, whatever their number.
     """
     lines = table(spark, sf, "lineitem")
     if channel is not None:
         lines = lines.where(F.col("l_orderkey") % 3 == channel)
-    large = (
-        lines.groupBy(F.col("l_orderkey").alias("large_key"))
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .where(F.col("lines") > LINES_PER_DOCUMENT)
-    )
-    documents = F.ceil(F.col("lines") / LINES_PER_DOCUMENT)
     row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     return (
-        lines.withColumn("row_hash", row)
-        .join(large, F.col("l_orderkey") == F.col("large_key"), "left")
-        .withColumn("document", F.when(F.col("lines").isNull(), F.lit(0)).otherwise(F.pmod("row_hash", documents)))
+        lines.withColumn("document", F.pmod(row, F.lit(DOCUMENTS_PER_ORDER)))
         .groupBy("l_orderkey", "document")
         .agg(F.to_json(F.collect_list(element)).alias("elements"))
         .drop("document")

@@ -81,6 +81,22 @@ def csv_skip_rows(spark: SparkSession, sf: str) -> DataFrame:
     return business(read_source(spark, config, "pedidos"))
 
 
+@query(
+    "csv_mixed_headers",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, 'first' || chr(10) || o_orderpriority AS note FROM orders""",
+)
+def csv_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with their columns in different orders and values that span lines."""
+    folder = scratch_path(spark, "csv-mixed")
+    orders = table(spark, sf, "orders").withColumn("note", F.concat(F.lit("first\n"), "o_orderpriority"))
+    names = ["o_orderkey", "o_orderstatus", "note"]
+    for part, (columns, which) in {"a": (names, "="), "b": (names[::-1], "<>")}.items():
+        some = orders.where(f"o_orderkey % 2 {which} 0").select(*columns)
+        some.write.options(header=True, quoteAll=True).csv(f"{folder}/{part}")
+    config = {"name": "ventas", "type": "csv", "path": f"{folder}/*/*.csv", "connection": {"multi_line": True}}
+    return business(read_source(spark, config, "pedidos"))
+
+
 @query(
     "csv_schema",
     """SELECT column_name, CASE WHEN column_type = 'BIGINT' THEN 'int' WHEN column_type = 'VARCHAR' THEN 'string'
@@ -223,6 +239,15 @@ def raw_read(spark: SparkSession, sf: str) -> DataFrame:
     return business(bounded)
 
 
+@query("raw_read_all_columns", "SELECT *, CASE WHEN o_orderstatus = 'F' THEN o_orderkey END AS added FROM orders")
+def raw_read_all_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """A later batch has a column that the first one lacks."""
+    lake, orders = Lake(scratch_path(spark, "raw-columns")), table(spark, sf, "orders")
+    lake.write_raw(orders.where("o_orderstatus <> 'F'"), "tpch", "orders")
+    lake.write_raw(orders.where("o_orderstatus = 'F'").withColumn("added", F.col("o_orderkey")), "tpch", "orders")
+    return business(lake.read_raw(spark, "tpch", "orders"))
+
+
 @query(
     "raw_views",
     """SELECT 2 AS views, n_name, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 2""",
@@ -327,10 +352,12 @@ def file_profile(spark: SparkSession, sf: str) -> DataFrame:
     return profile.select(F.element_at(F.split("path", "/"), -1).alias("file"), "rows", "columns")
 
 
-@query("compact_files", "SELECT * FROM customer")
+@query("compact_files", "SELECT *, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS added FROM customer")
 def compact_files(spark: SparkSession, sf: str) -> DataFrame:
     small, output = scratch_path(spark, "small"), scratch_path(spark, "compact")
-    table(spark, sf, "customer").repartition(24).write.parquet(small)
+    customers = table(spark, sf, "customer").repartition(12)
+    customers.where("c_custkey % 2 <> 0").write.parquet(small)
+    customers.where("c_custkey % 2 = 0").withColumn("added", F.col("c_nationkey")).write.mode("append").parquet(small)
     files.compact_files(spark, [small], output)
     return spark.read.parquet(output)
 
@@ -458,55 +485,62 @@ def extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "jdbc_incremental",
-    """SELECT CASE WHEN o_orderdate < DATE '1999-01-01' THEN 1 ELSE 2 END AS run, count(*) AS rows,
-        max(o_orderdate) AS newest FROM orders GROUP BY 1""",
+    """WITH o AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 7 = 1 THEN o_orderdate - INTERVAL 60 YEAR
+            ELSE o_orderdate END AS o_orderdate FROM orders)
+    SELECT CASE WHEN o_orderdate IS NULL OR o_orderdate < DATE '1999-01-01' THEN 1 ELSE 2 END AS run, count(*) AS rows,
+        max(o_orderdate) AS newest, min(o_orderdate) AS oldest FROM o GROUP BY 1""",
 )
 def incremental_extract(spark: SparkSession, sf: str) -> DataFrame:
-    """The second run reads only rows past the first run's largest key.
+    """The first run takes early and missing keys; the second only rows past the first one's largest key.
 
     Shown on Parquet; a relational source goes through the same filter, which Spark pushes down.
     """
     root = scratch_path(spark, "incremental")
-    lake, log, orders = Lake(root), RunLog(spark, root), table(spark, sf, "orders")
+    lake, log = Lake(root), RunLog(spark, root)
+    key, date = F.col("o_orderkey") % 7, F.col("o_orderdate")
+    shifted = F.when(key == 1, (date - F.expr("INTERVAL 60 YEAR")).cast("timestamp_ntz")).when(key > 1, date)
+    orders = table(spark, sf, "orders").withColumn("o_orderdate", shifted)
     folder = f"{root}/source/orders"
     config = {
         "name": "shop", "type": "parquet", "path": f"{root}/source", "tables": ["orders"],
         "incremental": {"key_column": "o_orderdate"},
     }
     for run, upper in ((1, "1999-01-01"), (2, "2999-01-01")):
-        orders.where(F.col("o_orderdate") < upper).withColumn("run", F.lit(run)).write.mode("overwrite").parquet(folder)
+        orders.where(F.col("o_orderdate").isNull() | (F.col("o_orderdate") < upper)).withColumn("run", F.lit(run)).write.mode("overwrite").parquet(folder)
         run_extraction(spark, lake, log, config)
     extracted = lake.read_raw(spark, "shop", "orders")
-    return extracted.groupBy("run").agg(F.count(F.lit(1)).alias("rows"), F.max("o_orderdate").alias("newest"))
+    return extracted.groupBy("run").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("o_orderdate").alias("newest"), F.min("o_orderdate").alias("oldest")
+    )
 
 
-SALES_PIPELINES = [
+LINE_PIPELINES = [
     {
-        "name": "ventas_pedidos_staging",
-        "source": {"layer": "raw", "domain": "tpch", "table": "orders"},
-        "destination": {"layer": "staging", "domain": "ventas", "table": "pedidos"},
+        "name": "clean_lines",
+        "source": {"layer": "raw", "domain": "tpch", "table": "lineitem"},
+        "destination": {"layer": "staging", "domain": "supply", "table": "lines"},
         "transforms": [
-            {"type": "rename", "columns": {"o_orderkey": "pedido_id", "o_custkey": "cliente_id", "o_totalprice": "total"}},
-            {"type": "cast", "columns": {"o_orderdate": "DATE", "total": "DECIMAL(18,2)"}},
-            {"type": "filter", "condition": "total > 0"},
-            {"type": "deduplicate", "keys": ["pedido_id"]},
+            {"type": "hash_key", "columns": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"], "key_name": "line"},
+            {"type": "deduplicate", "keys": ["line"]},
+            {"type": "filter", "condition": "l_quantity >= 1"},
+            {"type": "date_parts", "column": "l_shipdate"},
         ],
+        "references": {"parts": {"layer": "raw", "domain": "tpch", "table": "part"}},
         "quality_checks": [
-            {"type": "not_null", "columns": ["pedido_id", "cliente_id", "total"], "severity": "error"},
-            {"type": "unique", "columns": ["pedido_id"], "severity": "error"},
-            {"type": "range", "column": "total", "min_value": 0, "max_value": 1000000},
+            {"type": "not_null", "columns": ["l_partkey", "l_shipdate"], "severity": "error"},
+            {"type": "relationships", "column": "l_partkey", "to": "parts", "field": "p_partkey"},
+            {"type": "expression", "condition": "l_discount <= 0.1"},
         ],
     },
     {
-        "name": "bi_resumen_ventas",
-        "source": {"layer": "staging", "domain": "ventas", "table": "pedidos"},
-        "destination": {"layer": "consume", "domain": "bi", "table": "resumen_ventas_mensual"},
+        "name": "yearly_flow",
+        "source": {"layer": "staging", "domain": "supply", "table": "lines"},
+        "destination": {"layer": "consume", "domain": "bi", "table": "yearly_flow"},
         "transforms": [
             {
-                "type": "custom_sql",
-                "sql": """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, COUNT(*) AS total_pedidos,
-                    CAST(SUM(total) AS DOUBLE) AS monto_total, COUNT(DISTINCT cliente_id) AS clientes_unicos
-                    FROM __INPUT__ GROUP BY 1""",
+                "type": "aggregate",
+                "group_by": ["l_shipdate_year"],
+                "aggregations": ["count(*) AS shipped", "count(DISTINCT l_suppkey) AS suppliers", "max(l_quantity) AS largest"],
             }
         ],
     },
@@ -517,28 +551,34 @@ def _run_pipelines(spark: SparkSession, sf: str) -> tuple[Lake, RunLog]:
     root = scratch_path(spark, "pipelines")
     lake, log = Lake(root), RunLog(spark, root)
     for _ in range(2):  # the second batch repeats every row
-        lake.write_raw(table(spark, sf, "orders"), "tpch", "orders")
-    for pipeline in SALES_PIPELINES:
+        lake.write_raw(table(spark, sf, "lineitem"), "tpch", "lineitem")
+    lake.write_raw(table(spark, sf, "part"), "tpch", "part")
+    for pipeline in LINE_PIPELINES:
         run_pipeline(spark, lake, log, pipeline)
     return lake, log
 
 
+DISTINCT_LINES = """(SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate
+    FROM lineitem WHERE l_quantity >= 1) d"""
+
+
 @query(
     "run_pipeline",
-    """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, count(*) AS total_pedidos,
-        CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS monto_total, count(DISTINCT o_custkey) AS clientes_unicos
-    FROM orders GROUP BY 1""",
+    f"""SELECT CAST(year(l_shipdate) AS INTEGER) AS l_shipdate_year, count(*) AS shipped, suppliers, largest
+    FROM {DISTINCT_LINES} JOIN (
+        SELECT year(l_shipdate) AS y, count(DISTINCT l_suppkey) AS suppliers, max(l_quantity) AS largest
+        FROM lineitem WHERE l_quantity >= 1 GROUP BY 1) q ON year(l_shipdate) = y GROUP BY 1, 3, 4""",
 )
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """Raw with repeated rows, cleaned into staging, summarised into consume."""
     lake, _ = _run_pipelines(spark, sf)
-    return lake.read_consume(spark, "resumen_ventas_mensual")
+    return lake.read_consume(spark, "yearly_flow")
 
 
 @query(
     "log_pipeline",
-    """SELECT 'ventas_pedidos_staging' AS pipeline, 'success' AS status, count(*) AS rows FROM orders
-    UNION ALL SELECT 'bi_resumen_ventas', 'success', count(DISTINCT date_trunc('month', o_orderdate)) FROM orders""",
+    f"""SELECT 'clean_lines' AS pipeline, 'success' AS status, count(*) AS rows FROM {DISTINCT_LINES}
+    UNION ALL SELECT 'yearly_flow', 'success', count(DISTINCT year(l_shipdate)) FROM lineitem WHERE l_quantity >= 1""",
 )
 def log_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     _, log = _run_pipelines(spark, sf)
@@ -547,8 +587,9 @@ def log_pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "log_quality",
-    """SELECT * FROM (VALUES ('not_null'), ('unique'), ('range')) t(check_type),
-        (SELECT CAST(0 AS BIGINT) AS failing_rows, count(*) > 0 AS passed FROM orders) q""",
+    f"""SELECT 'not_null' AS check_type, CAST(0 AS BIGINT) AS failing_rows, count(*) > 0 AS passed FROM lineitem
+    UNION ALL SELECT 'relationships', count(*), count(*) = 0 FROM {DISTINCT_LINES} WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+    UNION ALL SELECT 'expression', 0, count(*) > 0 FROM lineitem""",
 )
 def log_quality(spark: SparkSession, sf: str) -> DataFrame:
     _, log = _run_pipelines(spark, sf)

@@ -21,11 +21,21 @@ def test_checks_on_repeated_rows(repeated):
             {"type": "made_up"},
         ],
     )
-    assert found[0]["details"] == "Nulls found: nombre(1 nulls)" and not found[0]["passed"]
-    assert found[1]["failing_rows"] == 1 and found[1]["details"] == "1 duplicates on (id)"
-    assert found[2]["details"] == "1 invalid values in estado"
-    assert found[3]["passed"] and found[3]["details"] == "OK"
-    assert not found[4]["passed"] and found[4]["details"] == "Unknown check type"
+    assert found[0]["details"] == "nombre is missing in 1 rows" and not found[0]["passed"]
+    assert found[1]["failing_rows"] == 1 and found[1]["details"] == "1 rows repeat a key of (id)"
+    assert found[2]["details"] == "estado is not an allowed value in 1 rows"
+    assert found[3]["passed"] and found[3]["details"] == "passed"
+    assert not found[4]["passed"] and found[4]["details"] == "no check of this type"
+
+
+def test_values_are_compared_as_the_column(spark):
+    df = spark.sql("SELECT 1.0D AS d, CAST(1.50 AS DECIMAL(9, 2)) AS m, true AS b, DATE '2024-01-02' AS at, 'x' AS s")
+    wanted = {"d": [1], "m": [1.5], "b": [True], "at": ["2024-01-02", "no date"], "s": ["x", 1]}
+    found = results(df, [{"type": "valid_values", "column": c, "values": v} for c, v in wanted.items()])
+    assert all(r["passed"] for r in found.values())
+    others = {"d": [2], "m": [1.55], "b": [False], "at": ["2024-01-03"], "s": ["y"]}
+    found = results(df, [{"type": "accepted_values", "column": c, "values": v} for c, v in others.items()])
+    assert not any(r["passed"] for r in found.values())
 
 
 def test_nulls_pass_value_and_range_checks(spark):
@@ -88,9 +98,9 @@ def test_severity_gate(repeated):
         {"type": "not_null", "columns": ["nombre"], "severity": "error"},
     ]
     warned = []
-    with pytest.raises(q.QualityGateError, match="not_null: Nulls found: nombre"):
+    with pytest.raises(q.QualityGateError, match="not_null: nombre is missing"):
         q.severity_gate(q.run_checks(repeated, checks), warned.append)
-    assert warned == ["unique: 1 duplicates on (id)"]
+    assert warned == ["unique: 1 rows repeat a key of (id)"]
     assert len(q.severity_gate(q.run_checks(repeated, checks[:1]))) == 1
 
 

@@ -12,7 +12,8 @@ from quarry.plans.runlog import RunLog
 from quarry.plans.runner import run_extraction, run_pipeline
 from quarry.sources import files, mirror
 from quarry.sources.csv import csv_schema, read_csv
-from quarry.sources.folder import nested_to_json, promote, read_folder
+from quarry.sources.files import compact_files
+from quarry.sources.folder import common_type, nested_to_json, read_folder
 from quarry.sources.jdbc import jdbc_options, newer_than
 from quarry.sources.layers import Lake, ingest_folders
 from quarry.sources.registry import read_source, register_source, table_names
@@ -65,12 +66,34 @@ def test_csv_folder_by_header(spark, tmp_path, rows):
 
 
 def test_promotion():
-    assert promote(T.LongType(), T.LongType()) == T.LongType()
-    assert promote(T.NullType(), T.DateType()) == T.DateType()
-    assert promote(T.IntegerType(), T.LongType()) == T.DoubleType()
-    assert promote(T.LongType(), T.FloatType()) == T.DoubleType()
-    assert promote(T.LongType(), T.StringType()) == T.StringType()
-    assert promote(T.DateType(), T.LongType()) == T.StringType()
+    assert common_type({T.LongType()}) == T.LongType()
+    assert common_type({T.NullType(), T.DateType()}) == T.DateType()
+    assert common_type({T.NullType()}) == T.NullType()
+    assert common_type({T.IntegerType(), T.LongType(), T.FloatType()}) == T.DoubleType()
+    assert common_type({T.LongType(), T.DoubleType(), T.StringType()}) == T.StringType()
+    assert common_type({T.DateType(), T.LongType()}) == T.StringType()
+
+
+def test_csv_folder_types_come_from_all_values(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("code,n\n007,1\n")
+    (tmp_path / "b.csv").write_text("n,code\n2.5,A1\n")
+    assert rows(read_folder(spark, str(tmp_path), "csv"), "code", "n") == [("007", 1.0), ("A1", 2.5)]
+
+
+def test_csv_columns_follow_each_header(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('a,b\n1,"two\nlines"\n')
+    (tmp_path / "b.csv").write_text("b,a,c\nw,9,x\n")
+    df = read_csv(spark, f"{tmp_path}/*.csv", multi_line=True)
+    assert rows(df, "a", "b", "c") == [(1, "two\nlines", None), (9, "w", "x")]
+
+
+def test_columns_of_all_files_survive(spark, tmp_path, rows):
+    lake = Lake(str(tmp_path / "lake"))
+    lake.write_raw(spark.createDataFrame([(1,)], "id int"), "s", "t")
+    lake.write_raw(spark.createDataFrame([(2, "more")], "id int, extra string"), "s", "t")
+    assert rows(lake.read_raw(spark, "s", "t"), "id", "extra") == [(1, None), (2, "more")]
+    compact_files(spark, [lake.raw_path("s", "t")], str(tmp_path / "compact"))
+    assert rows(spark.read.parquet(str(tmp_path / "compact")), "id", "extra") == [(1, None), (2, "more")]
 
 
 def test_lenient_merge_of_conflicting_files(spark, tmp_path, rows):
@@ -112,6 +135,9 @@ def test_jdbc_options_and_incremental_filter(spark):
     assert newer_than(df, {"key_column": "id"}, None).count() == 2
     assert newer_than(df, {"key_column": "id"}, "1").count() == 1
     assert newer_than(df, None, "9").count() == 2
+    early = spark.createDataFrame([(dt.date(1960, 1, 1),), (None,), (dt.date(2020, 1, 1),)], "at date")
+    assert newer_than(early, {"key_column": "at"}, None).count() == 3
+    assert newer_than(early, {"key_column": "at", "start": "1970-01-01"}, None).count() == 1
 
 
 def test_raw_append_and_replace(spark, people, tmp_path):
@@ -276,7 +302,7 @@ def test_pipeline_gate_does_not_publish(spark, repeated, tmp_path):
         "quality_checks": [{"type": "unique", "columns": ["id"], "severity": "error"}],
     }
     outcome = run_pipeline(spark, lake, log, config, quarantine=True)
-    assert outcome["status"] == "error" and "1 duplicates on (id)" in outcome["error"]
+    assert outcome["status"] == "error" and "1 rows repeat a key of (id)" in outcome["error"]
     assert not (tmp_path / "staging").exists()
     assert spark.read.parquet(str(tmp_path / "quarantine/p/0_unique")).count() == 2
     fixed = config | {"transforms": [{"type": "deduplicate", "keys": ["id"]}]}
@@ -286,5 +312,34 @@ def test_pipeline_gate_does_not_publish(spark, repeated, tmp_path):
     assert log.read("quality").count() == 2
 
 
+def test_relationships_and_unknown_checks_in_pipelines(spark, people, repeated, tmp_path):
+    lake, log = Lake(str(tmp_path)), RunLog(spark, str(tmp_path))
+    lake.write_raw(people.where("id < 3"), "s", "t")
+    lake.write_raw(repeated.where("id <> 2"), "s", "parents")
+    config = {
+        "name": "p", "source": {"layer": "raw", "domain": "s", "table": "t"},
+        "destination": {"layer": "staging", "table": "t"},
+        "references": {"parents": {"layer": "raw", "domain": "s", "table": "parents"}},
+        "quality_checks": [
+            {"type": "relationships", "column": "id", "to": "parents", "field": "id"}, {"type": "made_up"},
+        ],
+    }
+    outcome = run_pipeline(spark, lake, log, config, quarantine=True)
+    assert outcome["status"] == "success" and outcome["quality"][0]["failing_rows"] == 1
+    assert [r["id"] for r in spark.read.parquet(str(tmp_path / "quarantine/p/0_relationships")).collect()] == [2]
+    lost = run_pipeline(spark, lake, log, config | {"references": {}, "destination": {"layer": "staging", "table": "u"}})
+    assert lost["status"] == "error" and not (tmp_path / "staging/default/u").exists()
+
+
+def test_bytes_of_a_run_are_its_own(spark, people, tmp_path):
+    lake, log = Lake(str(tmp_path / "lake")), RunLog(spark, str(tmp_path / "lake"))
+    people.write.parquet(str(tmp_path / "in/a"))
+    config = {"name": "s", "type": "parquet", "path": str(tmp_path / "in"), "tables": ["a"]}
+    for _ in range(2):
+        run_extraction(spark, lake, log, config)
+    sizes = [r["bytes"] for r in log.read("extractions").collect()]
+    assert len(sizes) == 2 and 0 < sizes[0] and abs(sizes[0] - sizes[1]) < 200
+
+
 def test_empty_log(spark, tmp_path):
     assert RunLog(spark, str(tmp_path)).read("pipelines").count() == 0
