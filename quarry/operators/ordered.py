@@ -2,7 +2,8 @@
 
 Values are first reduced to distinct values with counts. Splitters - a hash-chosen sample of
 those values, the same on every run - cut each group into ranges; ranges are sorted
-independently and joined with the number of rows that lie in the ranges before them.
+independently and joined with the number of rows that lie in the ranges before them. There are
+several times as many ranges as shuffle partitions, so their number grows with the cluster.
 """
 
 from __future__ import annotations
@@ -11,10 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+LEAST_RANGES = 64
+
+
+def _ranges(df: DataFrame, splitters: int | None) -> int:
+    return splitters or max(LEAST_RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def value_ranks(
-    df: DataFrame, groups: list[str], value: str, rank: str, splitters: int = 64
+    df: DataFrame, groups: list[str], value: str, rank: str, splitters: int | None = None
 ) -> DataFrame:
     """RANK() by descending value per group: one row (groups, value, rank) per distinct value."""
+    splitters = _ranges(df, splitters)
     # the filter keeps the count in every use, so that all uses share one shuffle
     counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n")).where("__n > 0")
     digest = F.xxhash64(*groups, value)
@@ -59,7 +68,7 @@ def value_ranks(
 
 
 def with_ranks(
-    df: DataFrame, groups: list[str], ranks: dict[str, str], splitters: int = 64
+    df: DataFrame, groups: list[str], ranks: dict[str, str], splitters: int | None = None
 ) -> DataFrame:
     """Add RANK() OVER (PARTITION BY groups ORDER BY value DESC NULLS LAST) per {value: name}.
 
@@ -76,12 +85,13 @@ def with_ranks(
 
 
 def exact_percentiles(
-    df: DataFrame, value: str, points: dict[str, float], splitters: int = 256
+    df: DataFrame, value: str, points: dict[str, float], splitters: int | None = None
 ) -> DataFrame:
     """One row with the linearly interpolated percentile of every named point.
 
     Only the ranges that hold a wanted position are sorted.
     """
+    splitters = _ranges(df, splitters)
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(F.col(value).cast("double").alias("v"))

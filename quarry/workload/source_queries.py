@@ -21,8 +21,9 @@ from quarry.sources.folder import nested_to_json, read_folder
 from quarry.sources.layers import Lake, ingest_folders
 from quarry.sources.registry import read_source, register_source
 from quarry.streaming.raw_ingest import ingest_new_files
+from quarry.workload import staging_queries  # noqa: F401  (its SQL is counted below)
 from quarry.workload.raw_docs import raw_tables
-from quarry.workload.registry import query, table
+from quarry.workload.registry import ORACLES, query, table
 
 LINEAGE = ("_ingestion_timestamp", "_source_name", "_source_file", "year", "month", "day")
 TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
@@ -602,3 +603,22 @@ def all_models(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(scratch_path(spark, "models"))
     rows = build_models(spark, lake, raw_tables(spark, sf))
     return spark.createDataFrame(list(rows.items()), "table_name string, rows bigint")
+
+
+def _staging_counts() -> str:
+    """Rows of the 17 staging models, from the SQL of each."""
+    counts = [
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM ({sql}) q) AS rows"
+        for name, sql in ORACLES.items()
+        if name.startswith("stg_")
+    ]
+    return " UNION ALL ".join(counts)
+
+
+@query("build_staging_models", _staging_counts())
+def staging_models(spark: SparkSession, sf: str) -> DataFrame:
+    """The staging tables of the whole build; rows as read back from the lake."""
+    lake = Lake(scratch_path(spark, "models"))
+    build_models(spark, lake, raw_tables(spark, sf))
+    names = [n for n in ORACLES if n.startswith("stg_")]
+    return mirror.table_counts({n: lake.read_staging(spark, n, "ecommerce") for n in names})
