@@ -40,15 +40,31 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return in_mixed_order(docs, exponent=0.5)
 
 
+def with_place(docs: DataFrame) -> DataFrame:
+    """``mix_part`` and ``mix_row``: the file, by its number, and the row in it that hold each document.
+
+    Sorted by them the documents are in the order in which they were written. A table that is not read from files has
+    its rows numbered as they come.
+    """
+    if docs.inputFiles():
+        number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+        return docs.withColumns({"mix_part": number.try_cast("long"), "mix_row": F.col("_metadata.row_index")})
+    place = F.monotonically_increasing_id()
+    return docs.withColumns({"mix_part": F.shiftright(place, 33), "mix_row": place.bitwiseAND((1 << 33) - 1)})
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of each text (little-endian unsigned 32-bit integers), and whether they decode to its bytes."""
+    """The tokens of each text (little-endian unsigned 32-bit integers), and whether they decode to its bytes.
+
+    Sorted by ``mix_part`` and ``mix_row`` the rows are the mixed stream.
+    """
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    docs = docs.select("doc_id", "text", "lang", "source")
+    docs = with_place(docs.select("doc_id", "text", "lang", "source"))
     encoded = encode(docs, "text", ranks, pattern).select("carried.*", "n_tokens", F.col("ids").alias("tokens"))
     decoded = decode(encoded, "tokens", ranks, pattern)
     text = F.coalesce(F.col("carried.text"), F.lit("")).cast("binary")
     return decoded.select(
-        *[f"carried.{c}" for c in ("doc_id", "lang", "source", "n_tokens", "tokens")],
+        *[f"carried.{c}" for c in ("doc_id", "lang", "source", "mix_part", "mix_row", "n_tokens", "tokens")],
         (F.col("decoded") == text).alias("exact"),
     )
 

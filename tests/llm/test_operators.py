@@ -367,6 +367,10 @@ def test_pipeline_keeps_clean_documents(spark, documents, clashing, nothing, tmp
     assert documents.count() > seen[0] >= documents.filter("text rlike '[a-z]'").count() - 3
     assert seen[0] > seen[1] > seen[2] == seen[3] == seen[4]
     assert {r.exact for r in docs.collect()} == {True}
+    before = spark.read.parquet(f"{tmp_path}/simhash_near_dedup")
+    slots = {r.carried.doc_id: (r.slot, r.place) for r in mixing.mix(before).collect()}
+    stream = [slots[r.doc_id] for r in docs.orderBy("mix_part", "mix_row").collect()]
+    assert stream == sorted(stream)
     assert corpus_pipeline.run(spark, f"{tmp_path}/in").count() == seen[-1]
     for odd in (clashing, nothing):
         for name, stage in corpus_pipeline.STAGES[:-1]:
