@@ -30,6 +30,7 @@ def market_quadrant(
     population: Column, rate: Column, median_population: Column, p25: Column, p75: Column
 ) -> Column:
     """Market size against penetration."""
+    # The labels of the published table.
     large = population >= median_population
     return (
         F.when(large & (rate >= p75), F.lit("Vaca lechera"))

@@ -12,7 +12,9 @@ from quarry.operators.dedup import mark_duplicates
 from quarry.operators.joins import with_scalars
 from quarry.operators.ordered import exact_percentiles
 
+# What the published tables hold for a missing e-mail, and the limits of segments.
 PLACEHOLDER_EMAIL = "sin_email@placeholder.com"
+SEGMENT_LIMITS = [(400.0, "VIP"), (100.0, "Regular")]
 
 
 def month_of(column: str) -> Column:
@@ -38,7 +40,7 @@ def customer_segments(
     limits: list[tuple[float, str]] | None = None,
 ) -> DataFrame:
     """Spend on completed orders, in segments."""
-    limits = limits or [(400.0, "VIP"), (100.0, "Regular")]
+    limits = limits or SEGMENT_LIMITS
     done = F.when(F.col(status) == completed, F.col(amount))
     spent = orders.groupBy(customer).agg(
         F.count(F.lit(1)).alias("total_orders"),

@@ -241,17 +241,16 @@ def fold_accents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "null_defaults",
-    """SELECT c_custkey, coalesce(o_orderpriority, 'Sin canal asignado') AS canal,
-        coalesce(o_totalprice, c_acctbal) AS amount
-    FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'P') o ON o_custkey = c_custkey""",
+    """SELECT o_orderkey, coalesce(l_returnflag, 'none') AS flag, coalesce(l_extendedprice, o_totalprice) AS amount
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
 )
 def null_defaults(spark: SparkSession, sf: str) -> DataFrame:
-    pending = table(spark, sf, "orders").where("o_orderstatus = 'P'")
-    joined = left_join_many(table(spark, sf, "customer"), pending, "c_custkey", "o_custkey")
+    """Some orders have no line."""
+    joined = left_join_many(table(spark, sf, "orders"), table(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
     return joined.select(
-        "c_custkey",
-        F.coalesce("o_orderpriority", F.lit("Sin canal asignado")).alias("canal"),
-        F.coalesce("o_totalprice", "c_acctbal").alias("amount"),
+        "o_orderkey",
+        F.coalesce("l_returnflag", F.lit("none")).alias("flag"),
+        F.coalesce("l_extendedprice", "o_totalprice").alias("amount"),
     )
 
 
@@ -419,13 +418,11 @@ def semi_exists(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "semi_distinct",
-    """SELECT c_custkey, c_name FROM customer JOIN
-    (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') q ON o_custkey = c_custkey""",
+    """SELECT p_partkey, p_name FROM part JOIN (SELECT DISTINCT l_partkey FROM lineitem) q ON l_partkey = p_partkey""",
 )
 def semi_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    pending = table(spark, sf, "orders").where("o_orderstatus = 'P'")
-    people = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return keep_matching(people, pending, "c_custkey", "o_custkey", unique=True)
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    return keep_matching(parts, table(spark, sf, "lineitem"), "p_partkey", "l_partkey", unique=True)
 
 
 @query(

@@ -344,13 +344,17 @@ def parquet_read_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "file_profile",
     " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file, (SELECT count(*) FROM {t}) AS rows, (SELECT count(*) FROM (DESCRIBE {t}) d) AS columns"
+        f"SELECT '{t}.parquet' AS file, (SELECT count(*) FROM {t}) AS rows, (SELECT count(*) FROM (DESCRIBE {t}) d) AS columns, TRUE AS complete"
         for t in TABLES
     ),
 )
 def file_profile(spark: SparkSession, sf: str) -> DataFrame:
     profile = files.file_profile(spark, [f"{sf}/{t}.parquet" for t in TABLES])
-    return profile.select(F.element_at(F.split("path", "/"), -1).alias("file"), "rows", "columns")
+    measured = (F.col("bytes") > 0) & (F.col("row_groups") > 0) & (F.col("codec") != "")
+    described = F.size(F.split("schema", "\n")) == F.col("columns")
+    return profile.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "rows", "columns", (measured & described).alias("complete")
+    )
 
 
 @query("compact_files", "SELECT *, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS added FROM customer")
@@ -389,17 +393,21 @@ def lake_inventory(spark: SparkSession, sf: str) -> DataFrame:
     "mirror_tables",
     """SELECT 'clientes' AS table_name, 'create' AS first_run, 'skip' AS second_run, 'update' AS third_run, count(*) AS rows FROM customer
     UNION ALL SELECT 'paises', 'create', 'skip', 'skip', count(*) FROM nation
-    UNION ALL SELECT 'partes', 'create', 'skip', 'recreate', count(*) FROM part""",
+    UNION ALL SELECT 'partes', 'create', 'skip', 'recreate', count(*) FROM part
+    UNION ALL SELECT 'proveedores', 'create', 'skip', 'recreate', count(*) FROM supplier
+    UNION ALL SELECT 'regiones', 'create', 'skip', 'skip', count(*) FROM region""",
 )
 def mirror_actions(spark: SparkSession, sf: str) -> DataFrame:
-    """Create, then skip; then one table changes in place and one gains a column."""
+    """Create, then skip; then one table changes in place, one gains a column, one changes a type; one is nested."""
     target = mirror.FolderTarget(spark, scratch_path(spark, "mirror"))
-    tables = {n: table(spark, sf, t) for n, t in (("clientes", "customer"), ("paises", "nation"), ("partes", "part"))}
+    tables = {n: table(spark, sf, t) for n, t in (("clientes", "customer"), ("paises", "nation"), ("partes", "part"), ("proveedores", "supplier"))}
+    tables["regiones"] = table(spark, sf, "region").withColumn("detail", F.struct("r_regionkey", "r_name"))
     first = mirror.mirror_tables(tables, target).actions
     second = mirror.mirror_tables(tables, target).actions
     changed = tables | {
         "clientes": tables["clientes"].withColumn("c_acctbal", F.col("c_acctbal") + 1),
         "partes": tables["partes"].withColumn("activo", F.lit(True)),
+        "proveedores": tables["proveedores"].withColumn("s_nationkey", F.col("s_nationkey").cast("string")),
     }
     third = mirror.mirror_tables(changed, target).actions
     actions = spark.createDataFrame(

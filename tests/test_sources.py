@@ -231,6 +231,15 @@ def test_mirror(spark, people, tmp_path):
     assert mirror.change_action(people.drop("email"), target.read("p")) == "recreate"
 
 
+def test_mirror_compares_types_and_nested_columns(spark, tmp_path):
+    target = mirror.FolderTarget(spark, str(tmp_path))
+    df = spark.range(3).withColumn("s", F.struct("id"))
+    tally = mirror.mirror_tables({"a.t": df, "b.t": df, "b.u": df}, target)
+    assert tally.by_schema() == {"a": {"exported": 1, "skipped": 0, "failed": 0}, "b": {"exported": 2, "skipped": 0, "failed": 0}}
+    assert mirror.change_action(df, target.read("a.t")) == "skip"
+    assert mirror.change_action(df.withColumn("id", F.col("id").cast("string")), target.read("a.t")) == "recreate"
+
+
 def test_mirror_collects_errors(spark, people, tmp_path):
     class Broken(mirror.FolderTarget):
         def write(self, df, table, action):
