@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quarry.session import materialise
 
+BROADCAST_ROWS = 1_000_000  # offsets of tasks; about 40 bytes each
+
 
 def ranked(df: DataFrame, group: str, *order: str) -> DataFrame:
     """The input with ``rank``, the number of each row in its group from 0, by the order.
@@ -21,6 +23,10 @@ def ranked(df: DataFrame, group: str, *order: str) -> DataFrame:
     tasks = placed.groupBy("__task", group).agg(F.count("*").alias("__rows"), F.min("__place").alias("__first"))
     before = Window.partitionBy(group).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     tasks = tasks.select("__task", group, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    tasks = materialise(tasks, "ranks")
+    # one row for each task, and one for each border between groups: counted before it is broadcast
+    if tasks.count() <= BROADCAST_ROWS:
+        tasks = F.broadcast(tasks)
     return placed.join(tasks, ["__task", group]).withColumn(
         "rank", F.col("__place") - F.col("__first") + F.col("__before")
     ).drop("__task", "__place", "__first", "__before")
