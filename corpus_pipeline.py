@@ -14,7 +14,7 @@ from quarry.llm.tokens import decode, encode
 from quarry.session import scratch_path
 
 #: A document whose best language is less likely than this is in none of them.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
