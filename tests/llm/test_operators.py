@@ -10,12 +10,15 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import fingerprints, language_id, mixing, ranks, sharding, tokens, warc
+from tests.conftest import SMALL
+from tools.check_queries import comparable
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -386,6 +389,19 @@ def test_each_operator_has_its_query():
     assert "pipeline" in queries()
 
 
+@pytest.mark.parametrize("name", ["op2_warc_index", "op3_line_dedup", "op10_exact_dedup"])
+def test_queries_equal_their_sql(spark, name):
+    from quarry.llm.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    cursor = con.execute(ORACLES[name])
+    expected = comparable(cursor.fetchall(), [d[0] for d in cursor.description])
+    found = QUERIES[name](spark, SMALL)
+    assert comparable(found.collect(), found.columns) == expected
+
+
 def test_the_library_works_without_this_part(tmp_path):
     root = Path(__file__).resolve().parents[2]
     code = """
