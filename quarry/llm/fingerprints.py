@@ -22,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import arrow_map, blobs, carried
@@ -127,8 +127,15 @@ def likeness(one: tuple[int, np.ndarray], other: tuple[int, np.ndarray]) -> floa
     return float(np.isin(both, np.intersect1d(one[1], other[1], assume_unique=True)).mean())
 
 
-def as_text(fingerprint: tuple[int, np.ndarray]) -> str:
-    return f"{fingerprint[0]:016x}:" + fingerprint[1].astype(">u4").tobytes().hex()
+def as_bytes(fingerprint: tuple[int, np.ndarray]) -> bytes:
+    """Eight bytes for the whole text, four for each hash of the sketch."""
+    return fingerprint[0].to_bytes(8, "big") + fingerprint[1].astype(">u4").tobytes()
+
+
+def as_text(packed: Column) -> Column:
+    """Packed fingerprints as lower-case hex digits, a colon after the whole text's."""
+    digits = F.lower(F.hex(packed))
+    return F.concat(F.substring(digits, 1, 16), F.lit(":"), F.substr(digits, F.lit(17)))
 
 
 class Fingerprinted:
@@ -153,10 +160,10 @@ def edited(text: str, following: str) -> str:
 
 
 RESULT = (
-    "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
+    "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, "
     "near_next double, common_prefix long"
 )
-KINDS = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
+KINDS = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64())
 
 
 def _compare(own: Fingerprinted, following: Fingerprinted) -> tuple:
@@ -167,8 +174,8 @@ def _compare(own: Fingerprinted, following: Fingerprinted) -> tuple:
     return (
         len(text),
         hashlib.sha256(other).hexdigest(),
-        as_text(own.fingerprint),
-        as_text(changed.fingerprint),
+        as_bytes(own.fingerprint),
+        as_bytes(changed.fingerprint),
         likeness(own.fingerprint, changed.fingerprint),
         likeness(own.fingerprint, following.fingerprint),
         own.prefixes.common(0, changed.prefixes, 0),
@@ -227,7 +234,7 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def edited_fingerprints(
     df: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: list[str] | None = None
 ) -> DataFrame:
-    """``carried`` (the named columns; all by default) and what ``RESULT`` names, for each row."""
+    """``carried`` (the named columns; all by default) and what ``RESULT`` names, fingerprints as text, for each row."""
     text = F.col(f"`{text_column}`").cast("string")
     source = df.select(
         F.col(f"`{id_column}`").alias("id"),
@@ -256,4 +263,5 @@ def edited_fingerprints(
     )
     tails = found.filter("kind = 'tail'").select("task", "carried", "text").join(tasks, "task").join(heads, "next_task")
     ends = tails.select("carried", "text", "following").transform(arrow_map, _pairs, f"carried {kind}, {RESULT}")
-    return found.filter("kind = 'row'").select("carried", *names).union(ends.select("carried", *names))
+    results = found.filter("kind = 'row'").select("carried", *names).union(ends.select("carried", *names))
+    return results.withColumns({c: as_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")})
