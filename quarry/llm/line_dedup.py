@@ -50,12 +50,13 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
             F.monotonically_increasing_id().alias("number"),
             F.col(f"`{id_column}`").alias("id"),
             lines.alias("lines"),
+            # a column of the table, so that each line is digested once
+            F.transform(lines, lambda line: F.md5(line)).alias("digests"),
             carried(df, [c for c in df.columns if c != text_column]).alias("carried"),
         ),
         "lines",
     )
-    digests = F.transform("lines", lambda line: F.md5(line))
-    found = docs.select("number", "id", F.inline(_windows(digests, window)))
+    found = docs.select("number", "id", F.inline(_windows(F.col("digests"), window)))
     found = materialise(found, "lines")
     # a fingerprint that several windows in a row share is one
     selected = found.select("print", "number", (F.col("line") + F.col("place")).alias("at"))
@@ -73,7 +74,7 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     gone = later.groupBy("number").agg(F.sort_array(F.collect_list("line")).alias("starts"))
     covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1)))))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
-    placed = docs.join(gone, "number", "left").withColumn(
+    placed = docs.drop("digests").join(gone, "number", "left").withColumn(
         "covered", F.coalesce(covered, F.array().cast("array<int>"))
     )
     stays = F.transform(F.array_except(every, F.col("covered")), lambda at: F.get("lines", at))
