@@ -208,6 +208,27 @@ def test_a_group_beyond_a_shard_fills_shards_side_by_side(spark):
     assert len({r.shard for r in found if r.id < 500}) <= 4
 
 
+@pytest.mark.parametrize("sizes", [[100, 300, 1_000], [1_000] * 7 + [300, 100], [20] * 30 + [1_100]])
+def test_groups_that_fit_a_shard_stay_whole(spark, sizes):
+    rows = [f"group {g}" for g, size in enumerate(sizes) for _ in range(size)]
+    rows += [f"own {i}" for i in range(9_600 - len(rows))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    found = sharding.shard_documents(docs, 8).collect()
+    assert set(Counter(r.shard for r in found).values()) == {1_200}
+    shards = defaultdict(set)
+    for r in found:
+        shards[rows[r.id]].add(r.shard)
+    assert {len(s) for s in shards.values()} == {1}
+
+
+def test_upper_links_weigh_their_parts(spark):
+    nodes = spark.createDataFrame([(i, "same") for i in range(1_000)], "node long, group string")
+    links = sharding.group_links(nodes, 8).collect()
+    parts = Counter(r.v for r in links if r.weight == 1)
+    assert len(links) == 999 and sum(r.weight > 1 for r in links) == 7
+    assert all(r.weight == parts[r.u] + 1 for r in links if r.weight > 1)
+
+
 def test_propagation_moves_nodes_to_their_neighbours(spark):
     # two cliques, a path between them
     edges = [(a, b) for base in (0, 100) for a in range(base, base + 12) for b in range(base, a)] + [(11, 100)]
