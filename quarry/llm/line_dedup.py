@@ -11,7 +11,11 @@ same document too, whatever its length from ``window`` lines on.
 Everything is DataFrame functions. Windows and fingerprints are compared by 128 and 64 bit digests of their lines.
 Equal windows meet in partial aggregates and in joins that adaptive execution splits where one key is frequent.
 
-Lines end at line feeds; a null text counts as empty (one empty line). A text of fewer lines than the window stays.
+With ``passage_words`` a repeated passage is found by its length too, whatever its neighbours: every single line of so
+many words is a window of its own, and so is a whole text of fewer lines than the window, if it is not empty.
+
+Lines end at line feeds; a null text counts as empty (one empty line). Without ``passage_words`` a text of fewer lines
+than the window stays.
 Null ids come last. Repeated rows are copies of each other. Empty tables give empty results.
 """
 
@@ -42,7 +46,26 @@ def _windows(lines: Column, size: int) -> Column:
     return F.transform(starts, window)
 
 
-def dedup_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
+def _passages(lines: Column, long: Column, size: int) -> Column:
+    """Long single lines, and the whole of a text of fewer lines than a window, in the form of windows, with their span."""
+
+    def passage(at: Column, span: Column, kind: str, text: Column) -> Column:
+        digest = F.md5(F.concat(F.lit(kind), text))
+        return F.struct(
+            at.alias("line"), F.xxhash64(digest).alias("print"), F.lit(0).alias("place"), digest.alias("digest"), span.alias("span")
+        )
+
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    single = F.filter(every, lambda at: F.get(long, at))
+    single = F.transform(single, lambda at: passage(at, F.lit(1), "line", F.get(lines, at)))
+    whole = F.array(passage(F.lit(0), F.size(lines), "text", F.array_join(lines, "")))
+    empty = (F.size(lines) == 1) & (F.get(lines, F.lit(0)) == F.md5(F.lit("")))
+    return F.when((F.size(lines) < size) & ~empty, F.concat(single, whole)).otherwise(single)
+
+
+def dedup_lines(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, passage_words: int | None = None
+) -> DataFrame:
     """``carried`` (the input's row), the remaining ``text``, ``n_lines``, ``n_removed`` and ``n_runs`` removed."""
     lines = F.split(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")), "\n", -1)
     docs = materialise(
@@ -52,11 +75,16 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
             lines.alias("lines"),
             # a column of the table, so that each line is digested once
             F.transform(lines, lambda line: F.md5(line)).alias("digests"),
+            *([F.transform(lines, lambda line: F.size(F.split(F.trim(line), r"\s+")) >= passage_words).alias("long")] if passage_words else []),
             carried(df, [c for c in df.columns if c != text_column]).alias("carried"),
         ),
         "lines",
     )
-    found = docs.select("number", "id", F.inline(_windows(F.col("digests"), window)))
+    windows, span = _windows(F.col("digests"), window), F.lit(window)
+    if passage_words:
+        windows = F.transform(windows, lambda w: F.struct(*[w[c].alias(c) for c in ("line", "print", "place", "digest")], span.alias("span")))
+        windows, span = F.concat(windows, _passages(F.col("digests"), F.col("long"), window)), F.col("span")
+    found = docs.select("number", "id", F.inline(windows))
     found = materialise(found, "lines")
     # a fingerprint that several windows in a row share is one
     selected = found.select("print", "number", (F.col("line") + F.col("place")).alias("at"))
@@ -71,10 +99,10 @@ def dedup_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
     key = ["print", "place", "digest"]
     first = matched.groupBy(*key).agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = matched.join(first, key).filter(order != F.col("first"))
-    gone = later.groupBy("number").agg(F.sort_array(F.collect_list("line")).alias("starts"))
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (window - 1)))))
+    gone = later.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("line", span.alias("span")))).alias("starts"))
+    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s["line"], s["line"] + s["span"] - 1))))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
-    placed = docs.drop("digests").join(gone, "number", "left").withColumn(
+    placed = docs.drop("digests", "long").join(gone, "number", "left").withColumn(
         "covered", F.coalesce(covered, F.array().cast("array<int>"))
     )
     stays = F.transform(F.array_except(every, F.col("covered")), lambda at: F.get("lines", at))

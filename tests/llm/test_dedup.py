@@ -168,6 +168,19 @@ def test_lines_equal_brute_force(documents, collected, size):
     assert all(r.n_runs <= r.n_removed <= r.n_lines for r in found)
 
 
+def test_long_passages_are_found_between_other_lines(spark):
+    passage, short = " ".join(f"word{i}" for i in range(60)), "a line of few words"
+    texts = [f"one\n{passage}\ntwo", f"three\n{passage}\n{short}\nfour", f"five\n{short}\nsix", passage, short, short, "", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.carried.doc_id: (r.text, r.n_removed, r.n_runs) for r in line_dedup.dedup_lines(docs, passage_words=50).collect()}
+    assert found[0] == (texts[0], 0, 0)
+    assert found[1] == (f"three\n{short}\nfour", 1, 1)
+    assert found[2] == (texts[2], 0, 0)
+    assert found[3] == ("", 1, 1)
+    assert found[4] == (short, 0, 0) and found[5] == ("", 1, 1)
+    assert found[6] == found[7] == ("", 0, 0)
+
+
 def test_lines_of_odd_tables(documents, clashing, nothing):
     assert line_dedup.dedup_lines(documents).count() == documents.count()
     assert line_dedup.dedup_lines(nothing).count() == 0
