@@ -5,12 +5,15 @@ and the deadline ceil((j + 1) / w). One block is taken in each slot: of the rele
 deadline. As the weights sum to one, every block meets its deadline, and at each slot t every source has had
 t * w blocks with a deviation of less than one.
 
-Weights are whole numbers that sum to about ``RESOLUTION``, so the schedule repeats after their sum, and one period
-is computed for all. When a source has no block left, the others share on in the proportion of their weights: a new
-phase begins, with the same guarantee from its first slot. No document is left out or repeated.
+Weights are exact: whole numbers in the very proportion of the target weights, however large, so the deviation does not
+grow with the data. When a source has no block left, the others share on in the proportion of their weights: a new phase
+begins, with the same guarantee from its first slot. A source of weight 0 comes when all others have ended. No document
+is left out or repeated.
 
-The driver sees one count for each source and at most (sources x period) slots; this plan is broadcast. Documents
-are numbered in their source by a hash of their id over as many tasks as there are; a source of any size is spread.
+Each choice depends on those before it, so one task runs the schedule, block by block (not row by row); it holds one
+entry for each source and writes the slots to a table, which is joined with the rows. The driver sees one count for each
+source. Documents are numbered in their source by a hash of their id over as many tasks as there are; a source of any
+size is spread.
 
 A null source is a source of its own. Null ids come first in their source. Empty tables give an empty result.
 """
@@ -18,27 +21,61 @@ A null source is a source of its own. Null ids come first in their source. Empty
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from heapq import heappop, heappush
+from fractions import Fraction
+from heapq import heapify, heappop, heappush
+from itertools import islice
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import carried
-from quarry.llm.ranks import ranked
+from quarry.llm.common import arrow_map, carried
+from quarry.llm.ranks import BROADCAST_ROWS, ranked
+from quarry.session import materialise
 
-RESOLUTION = 1000  # the sum of the whole-number weights, about; more if there are many sources
 BLOCK_ROWS = 16
-
-
-def whole_weights(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
-    """Whole numbers in the proportion of the weights, at least 1."""
-    total, resolution = sum(weights.values()), max(resolution, 10 * len(weights))
-    return {s: max(1, round(w / total * resolution)) for s, w in weights.items()}
+SLOTS = 10_000  # of a batch
+
+
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportion of the weights as they are written."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    if any(w < 0 for w in exact.values()):
+        raise ValueError("weights below 0")
+    scale = lcm(*[w.denominator for w in exact.values()])
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+def schedule(weights: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """Source, block, slot, release and deadline of all blocks, slot after slot; holds one entry for each source."""
+    done, first = dict.fromkeys(blocks, 0), 0
+    left = {s for s in blocks if blocks[s]}
+    while left:
+        # sources of weight 0 wait for the others, then share alike
+        active = {s: weights[s] for s in left if weights[s]} or dict.fromkeys(left, 1)
+        total, start = sum(active.values()), {s: done[s] for s in active}
+        waiting: list[tuple] = []  # by release
+        ready = [(-(-total // weight), source, 0, 0) for source, weight in active.items()]  # by deadline
+        heapify(ready)
+        for slot in range(sum(blocks[s] - done[s] for s in active)):
+            while waiting and waiting[0][0] <= slot:
+                release, source, j = heappop(waiting)
+                heappush(ready, (-(-(j + 1) * total // active[source]), source, j, release))
+            deadline, source, j, release = heappop(ready)
+            yield source, start[source] + j, first + slot, first + release, first + deadline
+            done[source] += 1
+            if done[source] == blocks[source]:
+                left.remove(source)
+                first += slot + 1
+                break
+            heappush(waiting, ((j + 1) * total // active[source], source, j + 1))
 
 
 def period(weights: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period, whose length is the sum of the weights."""
+    """The slots of each source in one period, whose length is the sum of the weights (for weights of a small sum)."""
     total = sum(weights.values())
     waiting: list[tuple] = []  # by release
     ready: list[tuple] = []  # by deadline
@@ -67,7 +104,7 @@ class Phase:
 
 
 def phases(weights: dict[str, int], blocks: dict[str, int]) -> list[Phase]:
-    """One phase until the first source ends, then one until the next ends, and so on."""
+    """The schedule of weights of a small sum: one phase until the first source ends, then until the next ends."""
     done, found, first = dict.fromkeys(blocks, 0), [], 0
     while active := {s: weights[s] for s in blocks if done[s] < blocks[s]}:
         slots, total = period(active), sum(active.values())
@@ -113,28 +150,28 @@ def mix(
     else:
         named = {"n" if s is None else f"s{s}": w for s, w in weights.items()}
         wanted = {s: named.get(s, min(named.values())) for s in supply}
-    plan = phases(whole_weights(wanted), {s: -(-n // block_rows) for s, n in supply.items()}) if supply else []
-    schema = "key string, phases array<struct<first: long, period: long, start: long, count: long, slots: array<int>>>"
-    table = df.sparkSession.createDataFrame(
-        [
-            (s, [(p.first, p.period, p.start[s], p.count[s], p.slots[s]) for p in plan if p.count.get(s)])
-            for s in sorted(supply)
-        ],
-        schema,
-    )
-    block = F.floor(F.col("rank") / block_rows)
-    phase = F.filter("phases", lambda p: (F.col("block") >= p["start"]) & (F.col("block") < p["start"] + p["count"]))[0]
-    own, weight = F.col("block") - F.col("p.start"), F.size("p.slots")
-    # the plan is bounded by sources x period, whatever the number of rows
-    placed = numbered.withColumn("block", block).join(F.broadcast(table), "key").withColumn("p", phase)
-    return placed.select(
-        "carried",
-        "block",
-        (F.col("p.first") + F.floor(own / weight) * F.col("p.period") + F.element_at("p.slots", (own % weight + 1).cast("int"))).alias("slot"),
-        (F.col("p.first") + F.floor(own * F.col("p.period") / weight)).alias("release"),
-        (F.col("p.first") + F.ceil((own + 1) * F.col("p.period") / weight)).alias("deadline"),
-        (F.col("rank") % block_rows).cast("int").alias("place"),
-    )
+    exact, blocks = whole_weights(wanted), {s: -(-n // block_rows) for s, n in supply.items()}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                taken = schedule(exact, blocks)
+                while part := list(islice(taken, SLOTS)):
+                    key, *numbers = zip(*part, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key, pa.string()), *[pa.array(n, pa.int64()) for n in numbers]],
+                        names=["key", "block", "slot", "release", "deadline"],
+                    )
+
+    one = df.sparkSession.range(0, 1, 1, 1)
+    plan = one.transform(arrow_map, run, "key string, block long, slot long, release long, deadline long")
+    plan = materialise(plan, "schedule")
+    # one row for each block: their number is known before it is broadcast
+    if sum(blocks.values()) <= BROADCAST_ROWS:
+        plan = F.broadcast(plan)
+    placed = numbered.withColumn("block", F.floor(F.col("rank") / block_rows)).join(plan, ["key", "block"])
+    place = (F.col("rank") % block_rows).cast("int").alias("place")
+    return placed.select("carried", "block", "slot", "release", "deadline", place)
 
 
 def in_mixed_order(df: DataFrame, **options) -> DataFrame:

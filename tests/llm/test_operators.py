@@ -316,6 +316,33 @@ def test_mix_keeps_every_row_in_its_window(documents, collected, clashing, nothi
     assert {r.carried["key"] for r in mixing.mix(clashing).collect()} == {"own key"}
 
 
+def test_deviation_from_the_targets_stays_small_over_many_slots():
+    rows = {"hot": 100_000 * 20} | {f"s{i}": (4_900 + 11 * i) * 20 for i in range(20)}
+    targets = {s: math.sqrt(n) for s, n in rows.items()} | {"rare": 0.002}
+    blocks = {s: -(-n // 16) for s, n in rows.items()} | {"rare": 100}
+    total, worst, ended, slots = sum(targets.values()), 0, False, 0
+    for source, block, slot, release, deadline in mixing.schedule(mixing.whole_weights(targets), blocks):
+        share = targets[source] / total
+        assert release <= slot < deadline
+        worst = max(worst, slot * share - block, block + 1 - (slot + 1) * share)
+        slots += 1
+        if block + 1 == blocks[source]:
+            break
+    assert slots > 100_000 and worst < 1
+
+
+def test_rare_sources_keep_their_target(spark):
+    docs = spark.range(6_010).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 6_000, "common").otherwise("rare").alias("source"))
+    found = mixing.mix(docs, weights={"common": 0.9995, "rare": 0.0005}, block_rows=1)
+    rare = sorted(r.slot for r in found.filter("carried.source = 'rare'").collect())
+    assert all(2_000 * j <= slot < 2_000 * (j + 1) for j, slot in enumerate(rare[:3]))
+
+
+def test_sources_of_weight_zero_come_last():
+    found = list(mixing.schedule(mixing.whole_weights({"a": 0.5, "b": 0, "c": 0.25}), {"a": 3, "b": 2, "c": 1}))
+    assert [r[2] for r in found] == list(range(6)) and [r[0] for r in found[-2:]] == ["b", "b"]
+
+
 def test_named_weights(documents):
     found = mixing.mix(documents, weights={"src0": 3, "src1": 1}, block_rows=1).filter("slot < 4").collect()
     assert len(found) == 4
