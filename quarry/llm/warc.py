@@ -7,7 +7,9 @@ writes one index file, and beside it a sparse directory with the first key of ea
 
 A lookup finds the index files whose range holds the key, finds the blocks in their directory by binary search, reads
 the blocks' byte ranges, finds the captures in them by binary search, and reads the records' byte ranges. Keys are dealt
-by index file, so each task holds one directory at a time; what the driver holds is one row for each index file.
+by index file, so each task holds one directory at a time, and then by block, so the captures of one key, however many,
+are read by many tasks; each gives its records on at a bound of rows and bytes. What the driver holds is one row for each
+index file.
 
 Files are written and read through ``pyarrow.fs``, by the scheme of the folder. Each task writes under a new name, and
 only files that its finished rows name are ever read, so a task that is lost or run twice leaves no wrong record.
@@ -34,12 +36,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import arrow_map
+from quarry.llm.common import BATCH_BYTES, arrow_map
 from quarry.session import materialise, scratch_path
 
 REVISIT_BYTES = 1000
 BLOCK_LINES = 256
 OPEN_FILES = 16
+FOUND_ROWS = 512  # of a lookup's batch
 DATE = "2000-01-01T00:00:00Z"  # pages carry no date of capture
 
 
@@ -97,7 +100,7 @@ def _header(data: bytes) -> tuple[str, dict[str, str], bytes]:
     return first, dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines), body
 
 
-def parse(data: bytes) -> dict:
+def parse(data: bytes, with_payload: bool = True) -> dict:
     """What a record says; its payload must have the digest that it names."""
     version, fields, rest = _header(data)
     block = rest[: int(fields["Content-Length"])]
@@ -109,15 +112,30 @@ def parse(data: bytes) -> dict:
     if kind == "response" and (hashlib.sha1(payload).hexdigest() != digest or len(payload) != int(http["Content-Length"])):
         raise ValueError("the payload differs from its digest")
     number = lambda text: int(text) if text else None
-    return {
+    found = {
         "page_id": number(fields["X-Page-Id"]),
         "url": fields["WARC-Target-URI"],
         "record_type": kind,
         "payload_bytes": int(http["Content-Length"]),
         "payload_digest": digest,
         "refers_to": number(fields.get("X-Refers-To-Page-Id", "")),
-        "payload": payload if kind == "response" else None,
     }
+    if with_payload:
+        found["payload"] = payload if kind == "response" else None
+    return found
+
+
+def gathered(records: Iterable[dict], rows: int = FOUND_ROWS, size: int = BATCH_BYTES) -> Iterator[list[dict]]:
+    """The records in lists that end at so many rows, or when their payloads have so many bytes."""
+    found, held = [], 0
+    for one in records:
+        found.append(one)
+        held += len(one.get("payload") or b"")
+        if len(found) >= rows or held >= size:
+            yield found
+            found, held = [], 0
+    if found:
+        yield found
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
@@ -211,10 +229,29 @@ def lookup(keys: DataFrame, index: list[dict], folder: str, with_payload: bool =
         + [("payload", pa.binary())] * with_payload
     )
 
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, _ = pafs.FileSystem.from_uri(folder)
+        part, directory, starts = None, [], []
+
+        def places(batch: pa.RecordBatch) -> Iterator[dict]:
+            nonlocal part, directory, starts
+            for at, wanted in zip(batch.column("part").to_pylist(), batch.column("key").to_pylist(), strict=True):
+                if at != part:
+                    with files.open_input_stream(f"{paths[at]}.directory.gz", compression="gzip") as source:
+                        directory = json.loads(source.read())
+                    part, starts = at, [entry[0] for entry in directory]
+                # a key may begin in the block before the first that starts with it
+                for number in range(max(0, bisect_left(starts, wanted) - 1), bisect_right(starts, wanted)):
+                    yield {"part": at, "at": directory[number][1], "length": directory[number][2], "key": wanted}
+
+        for batch in batches:
+            for found in gathered(places(batch)):
+                yield pa.RecordBatch.from_pylist(found, schema=placed)
+
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, _ = pafs.FileSystem.from_uri(folder)
         handles: dict[str, pa.NativeFile] = {}
-        part, directory, block_no, block = None, [], None, []
+        last, block, own = None, [], []
 
         def piece(path: str, offset: int, length: int) -> bytes:
             if path not in handles:
@@ -223,31 +260,30 @@ def lookup(keys: DataFrame, index: list[dict], folder: str, with_payload: bool =
                 handles[path] = files.open_input_file(path)
             return gzip.decompress(handles[path].read_at(length, offset))
 
-        for batch in batches:
-            found: list[dict] = []
-            for at, wanted in zip(batch.column("part").to_pylist(), batch.column("key").to_pylist(), strict=True):
-                if at != part:
-                    with files.open_input_stream(f"{paths[at]}.directory.gz", compression="gzip") as source:
-                        directory = json.loads(source.read())
-                    part, block_no = at, None
-                    starts = [entry[0] for entry in directory]
-                # a key may begin in the block before the first that starts with it
-                for number in range(max(0, bisect_left(starts, wanted) - 1), bisect_right(starts, wanted)):
-                    if number != block_no:
-                        text = piece(f"{paths[at]}.gz", directory[number][1], directory[number][2]).decode()
-                        block, block_no = [json.loads(line) for line in text.split("\n")], number
+        def records(batch: pa.RecordBatch) -> Iterator[dict]:
+            nonlocal last, block, own
+            for part, at, length, wanted in zip(*[batch.column(c).to_pylist() for c in placed.names], strict=True):
+                if (part, at) != last:
+                    text = piece(f"{paths[part]}.gz", at, length).decode()
+                    last, block = (part, at), [json.loads(line) for line in text.split("\n")]
                     own = [line[0] for line in block]
-                    for line in block[bisect_left(own, wanted) : bisect_right(own, wanted)]:
-                        found.append(parse(piece(*line[2:])))
-                if len(found) >= 512:
-                    yield pa.RecordBatch.from_pylist([{n: f[n] for n in names} for f in found], schema=arrow)
-                    found = []
-            yield pa.RecordBatch.from_pylist([{n: f[n] for n in names} for f in found], schema=arrow)
+                for line in block[bisect_left(own, wanted) : bisect_right(own, wanted)]:
+                    yield parse(piece(*line[2:]), with_payload)
+
+        for batch in batches:
+            for found in gathered(records(batch)):
+                yield pa.RecordBatch.from_pylist([{n: f[n] for n in names} for f in found], schema=arrow)
         for handle in handles.values():
             handle.close()
 
+    placed = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("length", pa.int64()), ("key", pa.string())])
     dealt = keys.select("key").distinct().transform(arrow_map, route, "part int, key string")
-    return dealt.repartitionByRange("part", "key").sortWithinPartitions("part", "key").transform(arrow_map, read, schema)
+    dealt = dealt.repartitionByRange("part", "key").sortWithinPartitions("part", "key")
+    dealt = dealt.transform(arrow_map, blocks, "part int, at long, length long, key string")
+    # a number of partitions, as adaptive execution would put the small rows of many blocks into one
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartitionByRange(tasks, "part", "at", "key").sortWithinPartitions("part", "at", "key")
+    return dealt.transform(arrow_map, read, schema)
 
 
 def archive(

@@ -389,6 +389,21 @@ def test_lookup_of_some_keys(spark, pages):
     assert sorted((r.page_id or 0) for r in warc.lookup(keys, index, folder).collect()) == [0, 3, 104]
 
 
+def test_captures_of_one_key_are_read_by_many_tasks(spark):
+    rows = [(i, "http://hot.example.org/", f"<p>{i}", i, "own") for i in range(3_000)]
+    captures, index, folder = warc.archive(spark.createDataFrame(rows, PAGES).repartition(3))
+    found = warc.lookup(captures.limit(1), index, folder).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.page_id for r in found) == list(range(3_000))
+    assert len({r.task for r in found}) > 2
+
+
+def test_records_are_given_on_at_a_bound():
+    records = ({"payload": b"x" * n} for n in (10, 200, 5, 5, 5, 5))
+    assert [len(part) for part in warc.gathered(records, rows=3, size=100)] == [2, 3, 1]
+    data = warc.record(1, "http://a.b/", b"text", hashlib.sha1(b"text").hexdigest(), None, False)
+    assert warc.parse(data)["payload"] == b"text" and "payload" not in warc.parse(data, with_payload=False)
+
+
 def test_url_keys(spark):
     urls = ["https://www.Example.com:80/a?q=1#x", "http://u:p@b.org", None, "plain", "http://a.b.c/x\ty"]
     found = spark.createDataFrame([(u,) for u in urls], "url string").select(warc.url_key(F.col("url")).alias("k")).collect()
