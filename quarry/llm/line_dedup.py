@@ -2,9 +2,9 @@
 
 Every ``window`` consecutive lines have a fingerprint: the smallest of their line hashes, the last one of equals. Equal
 windows have equal fingerprints at the same place in them, so each run of ``window`` or more lines that two places
-share has a fingerprint in common. Fingerprints are few (about two in window + 1 lines) and are joined with each
-other first; only the windows around those that occur more than once are compared, which extends each match to the
-lines before and after its fingerprint. Of equal windows the first (by id, then row, then line) keeps its lines; all
+share has a fingerprint in common. Fingerprints are a filter: only windows whose fingerprint occurs at several places are
+compared. A row is written for every window, and equal windows are found by grouping their digests; positions are not
+joined and no match is extended, as overlapping windows cover a longer run by themselves. Of equal windows the first (by id, then row, then line) keeps its lines; all
 lines of the later ones are deleted. So the first occurrence of every run stays, and each later copy goes, in the
 same document too, whatever its length from ``window`` lines on.
 
