@@ -14,9 +14,12 @@ from quarry.llm.fingerprints import edited_fingerprints
 from quarry.llm.language_id import held_out, identify, network_of
 from quarry.llm.line_dedup import dedup_lines
 from quarry.llm.mixing import mix
+from quarry.llm.prefix_trie import prefix_trie, shared_starts, turns_of
 from quarry.llm.sharding import shard_documents
 from quarry.llm.simhash import simhash_groups
+from quarry.llm.spelling_variants import spelling_variants, vocabulary
 from quarry.llm.suffix_dedup import remove_repeats
+from quarry.llm.threshold_search import top_k
 from quarry.llm.tokens import decode, encode
 from quarry.llm.warc import archive, lookup
 
@@ -143,3 +146,31 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("""
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM usable q, usable c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+""")
+def op11_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary(table(spark, sf_dir, "documents"), "doc_id", "text", least=7, occurrences=2, every=31)
+    return spelling_variants(words, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query()
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = turns_of(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return prefix_trie(*shared_starts(turns, hundred=100, most=6))
