@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,25 +145,32 @@ def nested_to_json(df: DataFrame) -> DataFrame:
     )
 
 
-def union_promoted(parts: list[DataFrame]) -> DataFrame:
-    """Union by name: columns in order of first appearance, types promoted, gaps NULL."""
+def merged_types(schemas: list[T.StructType]) -> dict[str, T.DataType]:
+    """Columns of all schemas in order of first appearance, with types that hold all values.
+
+    A column that is nothing but NULL so far has no type and is left out.
+    """
     found: dict[str, set[T.DataType]] = {}
-    for part in parts:
-        for field in part.schema:
+    for schema in schemas:
+        for field in schema:
             found.setdefault(field.name, set()).add(field.dataType)
     types = {name: common_type(kinds) for name, kinds in found.items()}
-    aligned = [
-        part.select(
-            *[
-                (F.col(f"`{name}`") if name in part.columns else F.lit(None)).cast(kind).alias(name)
-                for name, kind in types.items()
-            ]
-        )
-        for part in parts
-    ]
-    result = aligned[0]
-    for part in aligned[1:]:
-        result = result.unionAll(part)
+    return {name: kind for name, kind in types.items() if kind != T.NullType()}
+
+
+def aligned(df: DataFrame, types: dict[str, T.DataType], more: list[Column] = ()) -> DataFrame:
+    """The columns in these types, NULL where the table lacks one, and ``more`` columns after them."""
+    return df.select(
+        *[(F.col(f"`{n}`") if n in df.columns else F.lit(None)).cast(kind).alias(n) for n, kind in types.items()], *more
+    )
+
+
+def union_promoted(parts: list[DataFrame]) -> DataFrame:
+    """Union by name: columns in order of first appearance, types promoted, gaps NULL."""
+    types = merged_types([part.schema for part in parts])
+    result = aligned(parts[0], types)
+    for part in parts[1:]:
+        result = result.unionAll(aligned(part, types))
     return result
 
 

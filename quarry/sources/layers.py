@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.sources.folder import all_columns, has_files, read_folder
+from quarry.sources.generations import BATCH, GENERATION, read_generations, schemas
 from quarry.sources.registry import with_lineage
 
 PARTITIONS = ["year", "month", "day"]
@@ -61,6 +62,8 @@ class Lake:
             }
         )
         path = self.raw_path(source, table)
+        if schemas(df.sparkSession, path):
+            raise ValueError(f"{source}.{table} is fed by a stream; its batches are written by ingest_new_files")
         if mode == "append":
             return _write(dated, path, "append", PARTITIONS, measures)
         if mode == "replace_day":
@@ -82,10 +85,15 @@ class Lake:
 
         The bounds are also put on the partition columns, so other days are not listed for
         reading. Columns of all batches are read; ``lenient`` also takes columns whose types
-        differ between batches, which are an error otherwise.
+        differ between batches, which are an error otherwise. A streamed table has its schemas
+        recorded, so neither needs a footer.
         """
         path = self.raw_path(source, table)
-        df = read_folder(spark, path, base_path=path) if lenient else all_columns(spark).parquet(path)
+        df = read_generations(spark, path, PARTITIONS)
+        if df is not None:
+            df = df.drop(GENERATION, BATCH)
+        else:
+            df = read_folder(spark, path, base_path=path) if lenient else all_columns(spark).parquet(path)
         if df is None:
             raise FileNotFoundError(f"no raw files for {source}.{table}")
         day = F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])

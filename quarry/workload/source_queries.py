@@ -192,8 +192,29 @@ def raw_ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The stream is run twice; the second run finds nothing new."""
     lake, checkpoint = Lake(scratch_path(spark, "stream")), scratch_path(spark, "stream-state")
     for _ in range(2):
-        path = ingest_new_files(spark, sf, lake, "tpch", "events", checkpoint, pattern="events.parquet")
-    return spark.read.parquet(path).drop("_ingestion_timestamp", "_source_name", "year", "month", "day")
+        ingest_new_files(spark, sf, lake, "tpch", "events", checkpoint, pattern="events.parquet")
+    return lake.read_raw(spark, "tpch", "events").drop("_ingestion_timestamp", "_source_name", "year", "month", "day")
+
+
+@query(
+    "raw_ingest_types",
+    """SELECT event_id, ts, CASE WHEN event_id % 3 = 1 THEN 'u' ELSE '' END || CAST(user_id AS VARCHAR) AS user_id,
+        CAST(CASE WHEN event_id % 3 = 0 THEN CAST(floor(value) AS BIGINT) ELSE value END AS DOUBLE) AS value,
+        CASE WHEN event_id % 3 = 2 THEN event_type END AS event_type FROM events""",
+)
+def raw_ingest_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that arrive with whole numbers, then with text and fractions, then with one more column."""
+    lake, checkpoint = Lake(scratch_path(spark, "types")), scratch_path(spark, "types-state")
+    folder, events = scratch_path(spark, "types-in"), table(spark, sf, "events")
+    runs = [
+        ["event_id", "ts", "user_id", F.floor("value").cast("long").alias("value")],
+        ["event_id", "ts", F.concat(F.lit("u"), "user_id").alias("user_id"), "value"],
+        ["event_id", "ts", "user_id", "value", "event_type"],
+    ]
+    for number, columns in enumerate(runs):
+        events.where(F.col("event_id") % 3 == number).select(*columns).write.mode("append").parquet(folder)
+        ingest_new_files(spark, folder, lake, "tpch", "events", checkpoint)
+    return business(lake.read_raw(spark, "tpch", "events"))
 
 
 @query("register_source", "SELECT o_orderstatus, count(*) AS orders, 'tpch' AS _source_name FROM orders GROUP BY 1")

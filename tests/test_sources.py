@@ -5,6 +5,7 @@ import datetime as dt
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,9 +15,11 @@ from quarry.sources import files, mirror
 from quarry.sources.csv import csv_schema, read_csv
 from quarry.sources.files import compact_files
 from quarry.sources.folder import common_type, nested_to_json, read_folder
+from quarry.sources.generations import schemas
 from quarry.sources.jdbc import jdbc_options, newer_than
 from quarry.sources.layers import Lake, ingest_folders
 from quarry.sources.registry import read_source, register_source, table_names
+from quarry.streaming import raw_ingest
 from quarry.streaming.raw_ingest import ingest_new_files
 
 
@@ -208,6 +211,75 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     assert spark.read.parquet(path).select("id").distinct().count() == spark.read.parquet(path).count() == 15
 
 
+def test_stream_promotes_types_and_adds_columns(spark, rows, tmp_path):
+    source, lake, state = str(tmp_path / "in"), Lake(str(tmp_path / "lake")), str(tmp_path / "state")
+    for sql in (
+        "SELECT 1L AS id, 10 AS v, NULL AS nothing",
+        "SELECT 2L AS id, 'text' AS v",
+        "SELECT 3L AS id, 2.5D AS v, named_struct('a', 1) AS more",
+    ):
+        spark.sql(sql).write.mode("append").option("compression", "none").parquet(source)
+        ingest_new_files(spark, source, lake, "s", "t", state)
+    df = lake.read_raw(spark, "s", "t")
+    assert dict(df.dtypes)["v"] == "string" and "_schema" not in df.columns
+    assert rows(df, "id", "v", "more") == [(1, "10", None), (2, "text", None), (3, "2.5", '{"a":1}')]
+    assert len(schemas(spark, lake.raw_path("s", "t"))) == 3
+    # an older reader's way, by the footers, still sees the same values
+    assert rows(read_folder(spark, lake.raw_path("s", "t"), base_path=lake.raw_path("s", "t")), "id", "v") == [
+        (1, "10"), (2, "text"), (3, "2.5"),
+    ]
+    with pytest.raises(ValueError, match="fed by a stream"):
+        lake.write_raw(df, "s", "t")
+
+
+def test_stream_types_in_one_batch_and_few_files_at_once(spark, rows, tmp_path):
+    source, lake = str(tmp_path / "in"), Lake(str(tmp_path / "lake"))
+    spark.sql("SELECT 1L AS id, 10 AS v").write.mode("append").parquet(source)
+    spark.sql("SELECT 2L AS id, 0.5D AS v").write.mode("append").parquet(source)
+    spark.sql("SELECT 3L AS id, 7L AS v, 'x' AS w").write.mode("append").parquet(source)
+    ingest_new_files(spark, source, lake, "s", "all", str(tmp_path / "a"))
+    ingest_new_files(spark, source, lake, "s", "each", str(tmp_path / "b"), max_files=1)
+    for table in ("all", "each"):
+        df = lake.read_raw(spark, "s", table)
+        assert rows(df, "id", "v", "w") == [(1, 10.0, None), (2, 0.5, None), (3, 7.0, "x")]
+    given = "w string, v int, other date"
+    ingest_new_files(spark, source, lake, "s", "given", str(tmp_path / "c"), schema=given)
+    df = lake.read_raw(spark, "s", "given")
+    assert rows(df, "w", "v", "other") == [(None, 0, None), (None, 10, None), ("x", 7, None)]
+
+
+def test_a_repeated_batch_adds_nothing(spark, rows, tmp_path, monkeypatch):
+    """The job is lost after the batch was written, before the stream noted it."""
+    source, lake, state = str(tmp_path / "in"), Lake(str(tmp_path / "lake")), str(tmp_path / "state")
+    spark.range(5).write.parquet(source)
+    write = raw_ingest.write_generation
+
+    def lost(*args):
+        write(*args)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(raw_ingest, "write_generation", lost)
+    with pytest.raises(StreamingQueryException):
+        ingest_new_files(spark, source, lake, "s", "t", state)
+    before = rows(lake.read_raw(spark, "s", "t"))
+    assert len(before) == 5
+    monkeypatch.setattr(raw_ingest, "write_generation", write)
+    spark.range(5, 7).write.mode("append").parquet(source)
+    ingest_new_files(spark, source, lake, "s", "t", state)
+    after = rows(lake.read_raw(spark, "s", "t"))
+    assert set(before) < set(after) and len(after) == 7
+    # another stream into the same table is another set of batches
+    ingest_new_files(spark, source, lake, "s", "t", str(tmp_path / "second"))
+    assert lake.read_raw(spark, "s", "t").count() == 14
+
+
+def test_stream_over_an_empty_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lake = Lake(str(tmp_path / "lake"))
+    ingest_new_files(spark, str(tmp_path / "in"), lake, "s", "t", str(tmp_path / "state"))
+    assert schemas(spark, lake.raw_path("s", "t")) == []
+
+
 def test_files(spark, tmp_path):
     path = files.write_parquet(spark.range(100).repartition(5), str(tmp_path / "raw/s/t"), "zstd")
     profile = files.file_profile(spark, path).collect()
