@@ -1,172 +1,125 @@
 """Exact ranks and percentiles that never put a whole group into one task.
 
-Values are first reduced to distinct values with counts. Splitters - a hash-chosen sample of
-those values, the same on every run - cut each group into ranges; ranges are sorted
-independently and joined with the number of rows that lie in the ranges before them. There are
-several times as many ranges as shuffle partitions, so their number grows with the cluster.
+Rows (or distinct values with counts) are dealt by ranges of (group, value) in one exchange and written in that
+order. A row then has a place: its task and its number in it. Tasks hold consecutive ranges, so the rows of the
+tasks before - one number for each task - turn places into positions in the whole order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-
-LEAST_RANGES = 64
+from quarry.session import materialise
 
 
-def _ranges(df: DataFrame, splitters: int | None) -> int:
-    return splitters or max(LEAST_RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _task() -> Column:
+    return F.shiftright("__place", 33).alias("__task")
 
 
-def value_ranks(
-    df: DataFrame, groups: list[str], value: str, rank: str, splitters: int | None = None
-) -> DataFrame:
-    """RANK() by descending value per group: one row (groups, value, rank) per distinct value."""
-    splitters = _ranges(df, splitters)
-    # the filter keeps the count in every use, so that all uses share one shuffle
-    counts = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("__n")).where("__n > 0")
-    digest = F.xxhash64(*groups, value)
-    cuts = (
-        counts.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.pmod(digest, F.lit(splitters)).alias("__class"))
-        .agg(F.min_by(value, digest).alias("__cut"))
-        .groupBy(*[F.col(g).alias(f"__g_{g}") for g in groups])
-        .agg(F.sort_array(F.collect_list("__cut")).alias("__cuts"))
-    )
-    same_group = _all([F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups])
-    at_most = _cuts_passed("__cuts", value, splitters, inclusive=True)
-    above = F.coalesce(F.size("__cuts"), F.lit(0)) - at_most
-    ranged = counts.join(cuts, same_group, "left").select(
-        *groups,
-        value,
-        "__n",
-        F.when(F.col(value).isNull(), F.lit(splitters + 1)).otherwise(above).alias("__range"),
-    )
-    # at most splitters + 2 rows per group
-    totals = ranged.groupBy(*groups, "__range").agg(F.sum("__n").alias("__total"))
-    before = Window.partitionBy(*groups).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(g).alias(f"__o_{g}") for g in groups],
-        F.col("__range").alias("__o_range"),
-        F.coalesce(F.sum("__total").over(before), F.lit(0)).alias("__offset"),
-    )
-    same_range = _all(
-        [F.col(g).eqNullSafe(F.col(f"__o_{g}")) for g in groups]
-        + [F.col("__range") == F.col("__o_range")]
-    )
-    inside = (
-        Window.partitionBy(*groups, "__range")
-        .orderBy(F.col(value).desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        ranged.withColumn("__before", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
-        .join(offsets, same_range)
-        .select(*groups, value, (F.col("__offset") + F.col("__before") + 1).alias(rank))
-    )
+def _placed(df: DataFrame, order: list[str | Column], ranges: int | None) -> DataFrame:
+    """The rows written in this order, with ``__place``: the task's number in the high bits, the row's in the low ones."""
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id())
 
 
 def with_ranks(
-    df: DataFrame, groups: list[str], ranks: dict[str, str], splitters: int | None = None
+    df: DataFrame, groups: list[str], ranks: dict[str, str], ranges: int | None = None
 ) -> DataFrame:
     """Add RANK() OVER (PARTITION BY groups ORDER BY value DESC NULLS LAST) per {value: name}.
 
-    The input is read several times; hand in a table or a checkpoint when it is costly.
+    Each rank deals the rows once by ranges of (groups, value, hash of the row), so neither a large group nor a
+    value that many rows share is one task's; only rows that are equal in all columns stay together. The rank is the
+    position of the first row of a value, less that of the first row of its group.
     """
-    result = df
     for value, rank in ranks.items():
-        keys = [*groups, value]
-        found = value_ranks(df, groups, value, rank, splitters)
-        renamed = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys], rank)
-        same = _all([F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
-        result = result.join(renamed, same).drop(*[f"__k_{k}" for k in keys])
-    return result
+        df = _ranked(df, groups, value, rank, ranges)
+    return df
+
+
+def _ranked(df: DataFrame, groups: list[str], value: str, rank: str, ranges: int | None) -> DataFrame:
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [*[F.col(g) for g in groups], F.col(value).desc_nulls_last(), F.xxhash64(*hashed)]
+    placed = materialise(_placed(df, order, ranges), "ranks")
+    # a row for each task
+    tasks = placed.groupBy(_task()).agg(F.count(F.lit(1)).alias("rows")).orderBy("__task").collect()
+    before = dict(zip([t["__task"] for t in tasks], accumulate([0, *[t["rows"] for t in tasks]]), strict=False))
+    # a local relation, whose size the planner knows
+    offsets = df.sparkSession.createDataFrame(
+        pa.table({"__task": pa.array(before.keys(), pa.int64()), "__before": pa.array(before.values(), pa.int64())})
+    )
+    firsts = placed.groupBy(*groups, value).agg(F.min("__place").alias("__place")).withColumn("__task", _task())
+    firsts = firsts.join(offsets, "__task").select(
+        *[F.col(c).alias(f"__k_{c}") for c in (*groups, value)],
+        (F.col("__before") + F.col("__place").bitwiseAND((1 << 33) - 1)).alias("__position"),
+    )
+    starts = firsts.groupBy(*[F.col(f"__k_{g}").alias(f"__g_{g}") for g in groups]).agg(F.min("__position").alias("__start"))
+    known = firsts.join(starts, _same({f"__k_{g}": f"__g_{g}" for g in groups}))
+    joined = placed.join(known, _same({c: f"__k_{c}" for c in (*groups, value)}))
+    return joined.select(*df.columns, (F.col("__position") - F.col("__start") + 1).alias(rank))
 
 
 def exact_percentiles(
-    df: DataFrame, value: str, points: dict[str, float], splitters: int | None = None
+    df: DataFrame, value: str, points: dict[str, float], ranges: int | None = None
 ) -> DataFrame:
-    """One row with the linearly interpolated percentile of every named point.
+    """One row with the linearly interpolated percentile of every named point."""
+    return percentiles_of(df, {value: points}, ranges)
+
 
-    Only the ranges that hold a wanted position are sorted.
+def percentiles_of(
+    df: DataFrame, points: dict[str, dict[str, float]], ranges: int | None = None
+) -> DataFrame:
+    """One row with the percentiles {column: {name: point}} of several columns, from one pass over them.
+
+    (column, value, count) is dealt by ranges once. The sum of counts of each task says which tasks hold the wanted
+    positions; only these are read again.
     """
-    splitters = _ranges(df, splitters)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 0")  # keeps the count in every use, so that all uses share one shuffle
-    )
-    digest = F.xxhash64("v")
-    cuts = (
-        counts.groupBy(F.pmod(digest, F.lit(splitters)))
-        .agg(F.min_by("v", digest).alias("cut"))
-        .agg(F.sort_array(F.collect_list("cut")))  # at most `splitters` values
-        .scalar()
-    )
-    below = _cuts_passed("cuts", "v", splitters, inclusive=False)
-    ranged = counts.withColumn("cuts", cuts).select("v", "n", below.alias("range"))
-    # at most splitters + 1 rows from here to `wanted`
-    totals = ranged.groupBy("range").agg(F.sum("n").alias("total"))
-    running = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy("range").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    bounds = totals.select(
-        F.col("range").alias("at"),
-        (F.sum("total").over(running) - F.col("total")).alias("start"),
-        F.sum("total").over(running).alias("stop"),
-        F.sum("total").over(everything).alias("rows"),
+    columns = list(points)
+    pairs = F.array(
+        *[F.struct(F.lit(i).alias("c"), F.col(column).cast("double").alias("v")) for i, column in enumerate(columns)]
     )
-    positions = {
-        name: F.lit(float(p)) * (F.col("rows") - F.lit(1)) for name, p in points.items()
-    }
-    hit = F.lit(False)
-    for position in positions.values():
-        for edge in (F.floor(position), F.ceil(position)):
-            hit = hit | ((F.col("start") <= edge) & (edge < F.col("stop")))
-    wanted = bounds.where(hit)
-    inside = (
-        Window.partitionBy("range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    counts = (
+        df.select(F.inline(pairs)).where("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
     )
-    cumulated = ranged.join(wanted, F.col("range") == F.col("at")).withColumn(
-        "reach", F.col("start") + F.sum("n").over(inside)
+    placed = materialise(_placed(counts, ["c", "v"], ranges), "percentiles")
+    # a row for each task and column
+    totals = placed.groupBy(_task(), "c").agg(F.sum("n").alias("rows")).orderBy("c", "__task").collect()
+    wanted, picks = [], []
+    for i, column in enumerate(columns):
+        sizes = [(t["__task"], t["rows"]) for t in totals if t["c"] == i]
+        ends = list(accumulate(n for _, n in sizes))
+        rows = ends[-1] if ends else 0
+        edges = set()
+        for name, point in points[column].items():
+            position = point * (rows - 1)
+            low, high = int(position // 1), int(-(-position // 1))
+            edges |= {low, high}
+            # the value at position k is the smallest one with more than k rows up to it
+            at = lambda k: F.min(F.when((F.col("c") == i) & (F.col("reach") > k), F.col("v")))  # noqa: B023, E731
+            picks.append((at(low) + (at(high) - at(low)) * F.lit(position - low)).alias(name))
+        for (task, n), end in zip(sizes, ends, strict=True):
+            if any(end - n <= k < end for k in edges):
+                wanted.append((i, task, end - n))
+    if not wanted:
+        wanted = [(-1, -1, 0)]
+    held = reduce(
+        lambda a, b: a | b,
+        [(F.col("c") == c) & F.col("__place").between(task << 33, ((task + 1) << 33) - 1) for c, task, _ in wanted],
     )
-    # the value at 0-based position k is the smallest one whose reach exceeds k
-    picks = []
-    for name, position in positions.items():
-        picks.append(F.min(F.when(F.col("reach") > F.floor(position), F.col("v"))).alias(f"lo_{name}"))
-        picks.append(F.min(F.when(F.col("reach") > F.ceil(position), F.col("v"))).alias(f"hi_{name}"))
-        picks.append(F.max(position - F.floor(position)).alias(f"part_{name}"))
-    ends = cumulated.agg(*picks)
-    return ends.select(
-        *[
-            (
-                F.col(f"lo_{name}")
-                + (F.col(f"hi_{name}") - F.col(f"lo_{name}")) * F.col(f"part_{name}")
-            ).alias(name)
-            for name in points
-        ]
+    start = reduce(
+        lambda rest, w: F.when((F.col("c") == w[0]) & (F.col("__task") == w[1]), F.lit(w[2])).otherwise(rest),
+        wanted,
+        F.lit(0),
     )
+    inside = Window.partitionBy("c", "__task").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    cumulated = placed.where(held).withColumn("__task", _task()).withColumn("reach", start + F.sum("n").over(inside))
+    return cumulated.agg(*picks)
 
 
-def _cuts_passed(cuts: str, value: str, most: int, inclusive: bool) -> Column:
-    """How many of the sorted cuts lie below the value (or at most at it), by bisection."""
-    steps = [1]
-    while steps[0] * 2 <= most:
-        steps.insert(0, steps[0] * 2)
-
-    def advance(passed: Column, step: Column) -> Column:
-        cut = F.get(cuts, passed + step - 1)
-        beyond = cut <= F.col(value) if inclusive else cut < F.col(value)
-        return F.when(beyond, passed + step).otherwise(passed)
-
-    return F.coalesce(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance), F.lit(0))
-
-
-def _all(conditions: list[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result & condition
-    return result
+def _same(pairs: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs.items()])

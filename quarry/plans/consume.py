@@ -19,7 +19,7 @@ from quarry.functions.geo import CENTRE_LATITUDE, CENTRE_LONGITUDE, geo_point, h
 from quarry.functions.text import accent_fold, city_key
 from quarry.operators.dedup import best_row
 from quarry.operators.joins import keep_matching, with_scalars
-from quarry.operators.ordered import exact_percentiles, with_ranks
+from quarry.operators.ordered import percentiles_of, with_ranks
 
 PLACE = ["ciudad", "provincia", "pais_codigo"]
 
@@ -313,8 +313,8 @@ def penetracion_mercado(ventas_por_ubicacion: DataFrame) -> DataFrame:
         kpi.ratio(F.sum("revenue_total"), F.sum("total_pedidos")).alias("national_ticket"),
     )
     known = with_scalars(cities, baseline)
-    known = with_scalars(known, exact_percentiles(cities, "rate", {"p25": 0.25, "p75": 0.75}))
-    known = with_scalars(known, exact_percentiles(cities, "population", {"median_population": 0.5}))
+    cuts = {"rate": {"p25": 0.25, "p75": 0.75}, "population": {"median_population": 0.5}}
+    known = with_scalars(known, percentiles_of(cities, cuts))
     return known.select(
         "ciudad", "provincia", "pais", "latitud", "longitud", "population", "total_pedidos",
         "clientes_unicos", "revenue_total", "ticket_promedio",

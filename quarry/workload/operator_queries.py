@@ -13,7 +13,7 @@ from quarry.operators.dedup import best_row, latest_version, mark_duplicates
 from quarry.operators.joins import (
     keep_matching, keep_unmatched, left_join_many, with_group_totals, with_scalars,
 )
-from quarry.operators.ordered import exact_percentiles, with_ranks
+from quarry.operators.ordered import exact_percentiles, percentiles_of, with_ranks
 from quarry.operators.quality import column_stats as stats_of
 from quarry.plans.consume import principal_location as principal_place
 from quarry.session import materialise
@@ -723,8 +723,7 @@ def rank_partition(spark: SparkSession, sf: str) -> DataFrame:
         F.sum("l_quantity").cast("bigint").alias("units"),
         F.sum(money("l_extendedprice")).cast("double").alias("revenue"),
     )
-    written = materialise(sales, "part-sales")  # read once per rank
-    return with_ranks(written, ["l_returnflag"], {"revenue": "rank_revenue", "units": "rank_units"})
+    return with_ranks(sales, ["l_returnflag"], {"revenue": "rank_revenue", "units": "rank_units"})
 
 
 @query(
@@ -996,10 +995,9 @@ def _rated_parts(spark: SparkSession, sf: str) -> DataFrame:
         ELSE 'Sin foco' END AS quadrant FROM rated, cuts""",
 )
 def quadrant(spark: SparkSession, sf: str) -> DataFrame:
-    parts = materialise(_rated_parts(spark, sf), "rated-parts")  # read once per percentile
-    rates = exact_percentiles(parts, "rate", {"p25": 0.25, "p75": 0.75})
-    middle = exact_percentiles(parts, "population", {"middle": 0.5})
-    known = with_scalars(with_scalars(parts, rates), middle)
+    parts = materialise(_rated_parts(spark, sf), "rated-parts")  # read for the percentiles and the rows
+    cuts = {"rate": {"p25": 0.25, "p75": 0.75}, "population": {"middle": 0.5}}
+    known = with_scalars(parts, percentiles_of(parts, cuts))
     return known.select(
         "p_partkey",
         kpi.market_quadrant(
