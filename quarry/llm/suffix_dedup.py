@@ -7,12 +7,16 @@ are equal as a whole are repeated as a whole. What is left of a bucket, its diff
 suffixes are ranked by their first eight bytes, and each bucket of equal ranks is sorted by the rank of the suffix
 eight bytes later, the ranks that come out serve as pointers for sixteen bytes, and so on to the full length. A suffix
 that is alone in its bucket keeps its rank and is not sorted again. Ranks are of the bytes themselves, so strings are
-found equal only if they are. Whole stretches are compared by 96 bits of two hashes.
+found equal only if they are. Whole stretches of one bucket are compared by 64 bits of a hash of them.
 
 Spark deals the stretches to their buckets in packed blocks of one row for each task and part. Stretches that are equal
 within a task are sent once, so copies that are a third of all rows come as one stretch from each task. A bucket with
 many different stretches is refined in chunks, and strings that are alone in their chunk are compared across chunks by
-a distributed aggregate of their digests.
+a distributed aggregate of 128 bits of two hashes of them.
+
+Texts of any length are looked at in pieces of ``PIECE`` strings, about 40 bytes of memory for each byte of a piece. A
+chunk that is refined takes about 35 bytes for each of its bytes, and is closed before a further bucket exceeds its
+bound.
 
 Strings never go across documents. Null texts count as empty. Repeated rows are copies of each other; a null id is an
 id. Empty tables give an empty result.
@@ -35,6 +39,8 @@ from quarry.session import materialise
 LENGTH = 200  # bytes of a repeated string
 GRAM = 64  # bytes of an initial bucket
 CHUNK_BYTES = 4 << 20  # refined at once
+PIECE = 1 << 20  # strings of a text that are looked at together
+PLACE_BITS = np.uint64(21)  # of the place of a gram in a piece
 CHUNK_STRETCHES = 8192  # of one bucket
 TASK_BYTES = 24 << 20  # of texts whose stretches are packed together
 ROWS = 1 << 15  # of a packed block; a row number in it fits 16 bits
@@ -47,9 +53,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def gram_hashes(codes: np.ndarray, size: int) -> np.ndarray:
+def gram_hashes(codes: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
     """The hash of the gram at each position: hashes of halves are joined, by the binary digits of the size."""
-    level, span, whole, done = _mixed(codes.astype(np.uint64) + np.uint64(1)), 1, None, 0
+    level, span, whole, done = _mixed(codes.astype(np.uint64) + np.uint64(seed)), 1, None, 0
     while True:
         if size & span:
             if whole is None:
@@ -75,56 +81,70 @@ def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
 
     The strings of a stretch have their smallest gram at one place (the first of equals), so no two of them are equal.
     """
-    if len(data) < length:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64)
-    hashes = gram_hashes(np.frombuffer(data, np.uint8), gram)
-    low = np.uint64(len(hashes).bit_length())
-    placed = hashes >> low << low | np.arange(len(hashes), dtype=np.uint64)
-    place = window_minima(placed, length - gram + 1) & ((np.uint64(1) << low) - np.uint64(1))
-    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return starts, np.diff(np.r_[starts, len(place)]), hashes[place[starts].astype(np.int64)]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for begin in range(0, len(data) - length + 1, PIECE):
+        hashes = gram_hashes(np.frombuffer(data, np.uint8)[begin : begin + PIECE + length - 1], gram)
+        # as many bits for the place in any text: the choice depends on nothing but the string
+        placed = hashes >> PLACE_BITS << PLACE_BITS | np.arange(len(hashes), dtype=np.uint64)
+        place = window_minima(placed, length - gram + 1) & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))
+        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        found.append((starts + begin, np.diff(np.r_[starts, len(place)]), hashes[place[starts].astype(np.int64)]))
+    return tuple(np.concatenate(columns) for columns in zip(*found, strict=True))
 
 
 def repeated_strings(texts: list[bytes], length: int = LENGTH) -> np.ndarray:
     """For each byte of the joined texts, whether the string that begins there begins elsewhere too, within a text.
 
-    Bucket-pointer refinement: see the module's text.
+    Bucket-pointer refinement: see the module's text. Positions and ranks have 32 bits; a round's keys are sorted by one
+    index array and freed before the next ones are made.
     """
-    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+    total = int(ends[-1]) if texts else 0
+    found = np.zeros(total, bool)
+    if not total:
+        return found
     codes = np.frombuffer(b"".join(texts) + bytes(length + 8), np.uint8)
-    total = int(sizes.sum())
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(total)  # bytes to the end of the text
-    depth = 8
-    grams = np.zeros(total, np.uint64)
+    depth, top = 8, 0
+    keys = np.zeros(total, np.uint64)
     for at in range(depth):
-        grams = grams << np.uint64(8) | codes[at : at + total]
-    ranks = np.zeros(total + length, np.uint64)
-    active, keys, top = np.arange(total), grams, 0
-    while True:
-        _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        ranks[active] = inverse.astype(np.uint64) + np.uint64(top + 1)
-        top += len(counts)
-        active = active[counts[inverse] > 1]
+        keys <<= np.uint64(8)
+        keys |= codes[at : at + total]
+    del codes
+    ranks = np.zeros(total + length, np.uint32)
+    active = np.arange(total, dtype=np.uint32)
+    while len(active):
+        order = np.argsort(keys)
+        keys, active = keys[order], active[order]
+        del order
+        new = np.ones(len(keys) + 1, bool)  # with an end
+        np.not_equal(keys[1:], keys[:-1], out=new[1:-1])
+        del keys
+        bucket = np.cumsum(new[:-1], dtype=np.uint32)
+        bucket += np.uint32(top)
+        ranks[active] = bucket
+        top = int(bucket[-1])
+        del bucket
+        active = active[~(new[:-1] & new[1:])]
         if depth == length:
             break
         step = min(depth, length - depth)
         depth += step
         if depth == length:
-            active = active[left[active] >= length]
-        keys = ranks[active] << np.uint64(32) | ranks[active + step]
-    found = np.zeros(total, bool)
+            active = active[ends[np.searchsorted(ends, active, side="right")] - active >= length]
+        keys = ranks[active].astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= ranks[active + np.uint32(step)]
     found[active] = True
     return found
 
 
-PACKED = (("bucket", 6), ("whole", 6), ("row", 2), ("first", 4), ("count", 1))
+PACKED = (("bucket", 6), ("whole", 8), ("row", 2), ("first", 4), ("local", 1), ("count", 1))
 
 
-def _pack(bucket, whole, row, first, count) -> bytes:
-    """Stretches by column; ``whole`` has 47 bits of the stretch's hash and one for copies in the task."""
+def _pack(bucket, whole, row, first, local, count) -> bytes:
+    """Stretches by column; ``local`` says that the stretch has copies in its task."""
     cut = lambda values, size: np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
-    return b"".join(cut(v, size) for v, (_, size) in zip((bucket, whole, row, first, count - 1), PACKED, strict=True))
+    return b"".join(cut(v, size) for v, (_, size) in zip((bucket, whole, row, first, local, count - 1), PACKED, strict=True))
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -183,7 +203,7 @@ def _sample(parts: int):
                 whole = np.array(
                     [digest(texts[r][a:b]) for r, a, b in zip(row.tolist(), first.tolist(), ends.tolist(), strict=True)], np.uint64
                 )
-                bucket, whole = bucket & LOW48, whole & (LOW48 >> np.uint64(1))
+                bucket = bucket & LOW48
                 order = np.lexsort((whole, bucket))
                 row, first, count, bucket, whole = (x[order] for x in (row, first, count, bucket, whole))
                 new = np.r_[True, (bucket[1:] != bucket[:-1]) | (whole[1:] != whole[:-1])]
@@ -192,15 +212,14 @@ def _sample(parts: int):
                 if again.any():
                     yield rows(
                         part=[-1], number=[own[0]],
-                        data=[_pack(bucket[again], whole[again], row[again], first[again], count[again])],
+                        data=[_pack(bucket[again], whole[again], row[again], first[again], again[again], count[again])],
                     )
-                whole = whole | again.astype(np.uint64) << np.uint64(47)
-                row, first, count, bucket, whole = (x[new] for x in (row, first, count, bucket, whole))
+                row, first, count, bucket, whole, again = (x[new] for x in (row, first, count, bucket, whole, again))
                 to = (bucket % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(to, kind="stable")
                 cuts = np.flatnonzero(np.r_[True, np.diff(to[order]) > 0])
                 packed = [
-                    _pack(*(x[o] for x in (bucket, whole, row, first, count))) for o in np.split(order, cuts[1:])
+                    _pack(*(x[o] for x in (bucket, whole, row, first, again, count))) for o in np.split(order, cuts[1:])
                 ]
                 yield rows(part=to[order][cuts], number=[own[0]] * len(packed), data=packed)
 
@@ -226,8 +245,8 @@ def _actions(chunk_stretches: int):
     def result(held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         blocks = [_unpack(data) for _, data in held]
         number = np.concatenate([base + b[2].astype(np.int64) for (base, _), b in zip(held, blocks, strict=True)])
-        bucket, whole, _, first, count = (np.concatenate([b[i] for b in blocks]) for i in range(5))
-        local, whole = whole >> np.uint64(47) > 0, whole & (LOW48 >> np.uint64(1))
+        bucket, whole, first, local, count = (np.concatenate([b[i] for b in blocks]) for i in (0, 1, 3, 4, 5))
+        local = local > 0
         order = np.lexsort((whole, bucket))
         number, bucket, whole, first, count, local = (x[order] for x in (number, bucket, whole, first, count, local))
         edge = np.r_[True, bucket[1:] != bucket[:-1]]
@@ -247,7 +266,7 @@ def _actions(chunk_stretches: int):
         for batch in batches:
             for to, base, data in zip(*(batch.column(c).to_pylist() for c in ("part", "number", "data")), strict=True):
                 if to == -1:
-                    bucket, _, row, first, count = _unpack(data)
+                    bucket, _, row, first, _, count = _unpack(data)
                     yield from rows(base + row.astype(np.int64), first, count, np.ones(len(row), bool), bucket, np.zeros(len(row)))
                     continue
                 if to != part and held:
@@ -297,59 +316,101 @@ def _refine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of whole buckets (or chunks of them): runs of repeated strings, and strings to compare across chunks."""
     names = ["id", "hash", "first", "count", "bucket", "one", "other"]
 
+    def rows(*columns) -> Iterator[pa.RecordBatch]:
+        n = len(columns[0])
+        arrays = [pa.nulls(n, pa.int64()) if c is None else pa.array(c.astype(np.int64), pa.int64()) for c in columns]
+        whole = pa.RecordBatch.from_arrays(arrays, names=names)
+        for at in range(0, n, 1 << 16):
+            yield whole.slice(at, 1 << 16)
+
+    def strings(some: list[tuple]) -> Iterator[pa.RecordBatch]:
+        """Two hashes of each string of these stretches."""
+        codes = np.frombuffer(b"".join(h[6] for h in some), np.uint8)
+        sizes = np.array([len(h[6]) for h in some])
+        counts, starts = sizes - LENGTH + 1, np.cumsum(sizes) - sizes
+        row = np.repeat(np.arange(len(some)), counts)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = starts[row] + inside
+        one, other = (gram_hashes(codes, LENGTH, seed)[at].view(np.int64) for seed in (1, 0x51ED27))
+        bucket, identity, hashed, first = (np.array([h[i] for h in some], np.int64)[row] for i in (0, 3, 4, 5))
+        yield from rows(identity, hashed, first + inside, np.ones(len(row), np.int64), bucket, one, other)
+
     def result(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        texts = [h[6] for h in held]
-        found = repeated_strings(texts)
-        starts = np.cumsum([0] + [len(t) for t in texts])
-        columns: list[list] = [[] for _ in names]
-        for at, (_, _, chunks, identity, hashed, first, text) in enumerate(held):
-            own = found[starts[at] : starts[at + 1] - LENGTH + 1]
-            edges = np.flatnonzero(np.diff(np.r_[False, own, False]))
-            for a, b in edges.reshape(-1, 2).tolist():
-                for column, value in zip(columns, (identity, hashed, first + a, b - a, None, None, None), strict=True):
-                    column.append(value)
-            if chunks > 1:
-                for a in range(len(own)):
-                    digest = hashlib.md5(text[a : a + LENGTH]).digest()
-                    halves = (int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True))
-                    for column, value in zip(columns, (identity, hashed, first + a, 1, held[at][0], *halves), strict=True):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-    held, size, group = [], 0, None
+        found = repeated_strings([h[6] for h in held])
+        starts = np.cumsum([0] + [len(h[6]) for h in held])
+        # no string begins in the last bytes of a stretch, so no run goes on into the next one
+        edges = np.flatnonzero(np.diff(np.r_[False, found, False]))
+        del found
+        a, b = edges[::2], edges[1::2]
+        row = np.searchsorted(starts, a, side="right") - 1
+        identity, hashed, first = (np.array([h[i] for h in held], np.int64)[row] for i in (3, 4, 5))
+        yield from rows(identity, hashed, first + a - starts[row], b - a, None, None, None)
+        some, size = [], 0
+        for h in held:
+            if h[2] > 1:
+                some.append(h)
+                size += len(h[6])
+                if size >= CHUNK_BYTES // 16:
+                    yield from strings(some)
+                    some, size = [], 0
+        if some:
+            yield from strings(some)
+
+    done, size, group, current, last = [], 0, None, 0, []
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("bucket", "chunk", "chunks", "id", "hash", "first", "stretch")]
         for row in zip(*columns, strict=True):
-            if row[:2] != group and size >= CHUNK_BYTES:
-                yield from result(held)
-                held, size = [], 0
-            group = row[:2]
-            held.append(row)
-            size += len(row[6])
-    if held:
-        yield from result(held)
+            if row[:2] != group:
+                done.extend(last)
+                size += current
+                group, last, current = row[:2], [], 0
+            last.append(row)
+            current += len(row[6])
+            if done and size + current > CHUNK_BYTES:
+                yield from result(done)
+                done, size = [], 0
+    done.extend(last)
+    if done:
+        yield from result(done)
+
+
+def merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the maximal runs of bytes that the spans (first string, number of strings) cover."""
+    if not len(spans):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    begins, ends = spans[:, 0], np.maximum.accumulate(spans[:, 0] + spans[:, 1] + LENGTH - 1)
+    new = np.r_[True, begins[1:] > ends[:-1]]
+    return begins[new], ends[np.r_[new[1:], True]]
+
+
+def _remove(with_kept: bool):
+    names = ["id", "hash", "n_removed", "n_spans", "kept_sha256", "kept"]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list] = [[] for _ in names]
+            rows = zip(*(batch.column(c).to_pylist() for c in ("id", "hash", "text", "spans", "found")), strict=True)
+            for identity, hashed, text, known, found in rows:
+                spans = np.frombuffer(known, "<i8").reshape(-1, 2)
+                if found:
+                    spans = np.concatenate([spans, np.array([(f["first"], f["count"]) for f in found], np.int64)])
+                begins, ends = merged(spans)
+                digest, kept, view = hashlib.sha256(), [], memoryview(text)
+                for a, b in zip([0, *ends.tolist()], [*begins.tolist(), len(text)], strict=True):
+                    digest.update(view[a:b])
+                    if with_kept:
+                        kept.append(view[a:b])
+                values = (
+                    identity, hashed, int((ends - begins).sum()), len(begins), digest.hexdigest(),
+                    b"".join(kept) if with_kept else None,
+                )
+                for column, value in zip(columns, values, strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
-def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "hash", "n_removed", "n_spans", "kept_sha256", "kept"]
-    for batch in batches:
-        columns: list[list] = [[] for _ in names]
-        rows = zip(*(batch.column(c).to_pylist() for c in ("id", "hash", "text", "spans", "found")), strict=True)
-        for identity, hashed, text, known, found in rows:
-            spans = np.frombuffer(known, "<i8").reshape(-1, 2)
-            if found:
-                spans = np.concatenate([spans, np.array([(f["first"], f["count"]) for f in found], np.int64)])
-            edges = np.zeros(len(text) + 1, np.int64)
-            np.add.at(edges, spans[:, 0], 1)
-            np.add.at(edges, spans[:, 0] + spans[:, 1] + LENGTH - 1, -1)
-            gone = np.cumsum(edges[:-1]) > 0
-            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            runs = int(np.count_nonzero(np.diff(np.r_[False, gone].astype(np.int8)) == 1))
-            values = (identity, hashed, int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept)
-            for column, value in zip(columns, values, strict=True):
-                column.append(value)
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+    return run
 
 
 def remove_repeats(
@@ -410,7 +471,7 @@ def remove_repeats(
     texts = cut.filter("text is not null").select("id", "hash", "text", "spans")
     removed = texts.join(found, ["id", "hash"], "left").transform(
         arrow_map,
-        _remove, "id long, hash long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        _remove(with_kept), "id long, hash long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     # repeated rows have one key and one result
     removed = (removed if with_kept else removed.drop("kept")).dropDuplicates(["id", "hash"])

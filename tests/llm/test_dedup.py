@@ -3,8 +3,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
@@ -214,6 +216,49 @@ def test_repeated_strings_equal_brute_force():
     assert suffix_dedup.repeated_strings(texts).tolist() == expected
 
 
+def test_memory_of_a_refined_chunk():
+    """Bytes held for each byte that is refined, also where most strings are repeated."""
+    random.seed(4)
+    text = bytes(random.choices(b"abcdefghij", k=1 << 19))
+    for texts in ([text, text[::-1]], [text, text]):
+        tracemalloc.start()
+        suffix_dedup.repeated_strings(texts)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert peak < 45 * (1 << 20)
+
+
+def test_memory_of_a_long_text(monkeypatch):
+    random.seed(5)
+    text = bytes(random.choices(b"abcdefghij ", k=1 << 20)) * 8
+    tracemalloc.start()
+    first, count, _ = suffix_dedup.stretches(text)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 100 << 20 and int(count.sum()) == len(text) - 199
+    # the pieces cut stretches, and change neither strings nor buckets
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1 << 12)
+    other, counts, _ = suffix_dedup.stretches(text[: 1 << 16])
+    assert set(first[first < (1 << 16) - 200].tolist()) <= set(other.tolist()) and int(counts.sum()) == (1 << 16) - 199
+
+
+def test_chunks_are_closed_before_the_bound(monkeypatch):
+    sizes = []
+    plain = suffix_dedup.repeated_strings
+    monkeypatch.setattr(suffix_dedup, "repeated_strings", lambda texts: sizes.append(sum(map(len, texts))) or plain(texts))
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 10_000)
+    rows = [(bucket, 0, 1, i, 0, 0, bytes(300)) for bucket in range(40) for i in range(bucket % 9 + 1)]
+    names = ["bucket", "chunk", "chunks", "id", "hash", "first", "stretch"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=names)
+    list(suffix_dedup._refine([batch]))
+    assert sum(sizes) == 300 * len(rows) and max(sizes) <= 10_000
+
+
+def test_merged_spans():
+    begins, ends = suffix_dedup.merged(np.array([(500, 1), (0, 1), (100, 5), (700, 1), (901, 1)]))
+    assert begins.tolist() == [0, 500, 901] and ends.tolist() == [304, 900, 1101]
+
+
 @pytest.mark.parametrize("chunk", [suffix_dedup.CHUNK_STRETCHES, 1])
 def test_repeats_equal_brute_force(spark, documents, collected, chunk):
     rows = collected
