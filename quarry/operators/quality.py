@@ -9,10 +9,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.joins import keep_unmatched
 
@@ -45,7 +47,7 @@ def failing_condition(df: DataFrame, check: dict) -> Column | None:
         # compared as the column's own type; a value that it cannot hold allows nothing
         column = F.col(check["column"])
         kind_of = df.select(column).schema[0].dataType
-        allowed = F.array_compact(F.array(*[F.lit(v).try_cast(kind_of) for v in check["values"]]))
+        allowed = F.array_compact(F.array(*[_as_type(v, kind_of) for v in check["values"]]))
         return ~F.array_contains(allowed, column)
     if kind == "range":
         tests = []
@@ -59,6 +61,14 @@ def failing_condition(df: DataFrame, check: dict) -> Column | None:
     return None
 
 
+def _as_type(value: object, kind: T.DataType) -> Column:
+    """The value in this type; NULL where the type has no such value (1.5 among whole numbers)."""
+    held = F.lit(value).try_cast(kind)
+    if isinstance(kind, T.NumericType) and isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return F.when(held == F.lit(value), held)
+    return held
+
+
 def run_checks(
     df: DataFrame, checks: list[dict], references: dict[str, DataFrame] | None = None
 ) -> DataFrame:

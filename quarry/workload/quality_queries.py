@@ -53,18 +53,20 @@ def check_valid_values(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "check_valid_values_typed",
-    """WITH o AS (SELECT l_discount AS d, CAST(l_quantity AS DECIMAL(9, 2)) AS m, l_quantity > 25 AS b FROM lineitem)
+    """WITH o AS (SELECT l_discount AS d, CAST(l_quantity AS DECIMAL(9, 2)) AS m, l_quantity > 25 AS b, l_linenumber AS n FROM lineitem)
     SELECT 0 AS "position", count(*) FILTER (d NOT IN (0, 0.05, 0.1)) AS failing_rows FROM o
     UNION ALL SELECT 1, count(*) FILTER (m NOT IN (1, 2.00, 50)) FROM o
-    UNION ALL SELECT 2, count(*) FILTER (NOT b) FROM o""",
+    UNION ALL SELECT 2, count(*) FILTER (NOT b) FROM o
+    UNION ALL SELECT 3, count(*) FILTER (n NOT IN (1.5, 2)) FROM o UNION ALL SELECT 4, count(*) FILTER (m NOT IN (1.005, 3)) FROM o""",
 )
 def check_valid_values_typed(spark: SparkSession, sf: str) -> DataFrame:
-    """Double, decimal and boolean columns."""
+    """Double, decimal, boolean and whole-number columns; 1.5 and 1.005 are values that two of them cannot have."""
     lines = table(spark, sf, "lineitem").select(
-        F.col("l_discount").alias("d"), F.col("l_quantity").cast("decimal(9,2)").alias("m"), (F.col("l_quantity") > 25).alias("b")
+        F.col("l_discount").alias("d"), F.col("l_quantity").cast("decimal(9,2)").alias("m"), (F.col("l_quantity") > 25).alias("b"),
+        F.col("l_linenumber").alias("n"),
     )
-    wanted = {"d": [0, 0.05, 0.1], "m": [1, 2.0, 50], "b": [True]}
-    checks = [{"type": "valid_values", "column": c, "values": v} for c, v in wanted.items()]
+    wanted = [("d", [0, 0.05, 0.1]), ("m", [1, 2.0, 50]), ("b", [True]), ("n", [1.5, 2]), ("m", [1.005, 3])]
+    checks = [{"type": "valid_values", "column": c, "values": v} for c, v in wanted]
     return quality.run_checks(lines, checks).select("position", "failing_rows")
 
 
@@ -96,8 +98,10 @@ def pipeline_relationships(spark: SparkSession, sf: str) -> DataFrame:
     if outcome["status"] != "success":
         raise RuntimeError(outcome["error"])
     stored = spark.read.parquet(f"{lake.root}/quarantine/{name}/0_relationships")
-    found = stored.agg(F.count(F.lit(1)).alias("quarantined")).withColumn("check", F.lit("relationships"))
-    return log.read("quality").select("check", "failing_rows").join(found, "check", "left")
+    found = stored.agg(F.count(F.lit(1))).scalar()
+    return log.read("quality").select(
+        "check", "failing_rows", F.when(F.col("check") == "relationships", found).alias("quarantined")
+    )
 
 
 @query(

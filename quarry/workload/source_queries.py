@@ -19,6 +19,7 @@ from quarry.sources import files, mirror
 from quarry.sources.csv import csv_schema
 from quarry.sources.folder import nested_to_json, read_folder
 from quarry.sources.layers import Lake, ingest_folders
+from quarry.sources.ranges import RangedFolder
 from quarry.sources.registry import read_source, register_source
 from quarry.streaming.raw_ingest import ingest_new_files
 from quarry.workload import staging_queries  # noqa: F401  (its SQL is counted below)
@@ -439,6 +440,33 @@ def mirror_actions(spark: SparkSession, sf: str) -> DataFrame:
     return actions.join(counts, "table_name")
 
 
+@query(
+    "mirror_ranges",
+    """SELECT o_orderstatus, count(*) AS orders, CAST(sum(CAST(o_totalprice + CASE WHEN o_orderkey = k THEN 1 ELSE 0 END AS DECIMAL(18, 2))) AS DOUBLE) AS total,
+        'create' AS first_action, 8 AS first_ranges, 'skip' AS second_action, 0 AS second_ranges, 'update' AS third_action, 1 AS third_ranges,
+        'update' AS fourth_action, 2 AS fourth_ranges
+    FROM (SELECT *, (SELECT min(o_orderkey) FROM orders) AS k, (SELECT max(o_orderkey) FROM orders) AS z FROM orders) q
+    WHERE o_orderkey <> z GROUP BY 1""",
+)
+def mirror_by_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders in eight key ranges: one changed row rewrites one range; then it changes back and another one goes."""
+    orders = table(spark, sf, "orders")
+    ends = orders.agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    target = RangedFolder(spark, scratch_path(spark, "ranges"), rows_per_range=-(-ends["n"] // 8))
+    dearer = F.when(F.col("o_orderkey") == ends["lo"], F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    changed = orders.withColumn("o_totalprice", dearer)
+    fewer = orders.where(F.col("o_orderkey") != ends["hi"])
+    runs = [mirror.mirror_tables({"orders": df}, target, keys={"orders": "o_orderkey"}) for df in (orders, orders, changed, fewer)]
+    # the content is that of the last run with the change of the third: both ends of the table were written
+    mirror.mirror_tables({"orders": changed.where(F.col("o_orderkey") != ends["hi"])}, target, keys={"orders": "o_orderkey"})
+    found = target.read("orders").groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")
+    )
+    for name, tally in zip(("first", "second", "third", "fourth"), runs, strict=True):
+        found = found.withColumn(f"{name}_action", F.lit(tally.actions["orders"])).withColumn(f"{name}_ranges", F.lit(tally.ranges["orders"]))
+    return found
+
+
 @query(
     "mirror_ddl",
     """SELECT column_name, CASE column_type WHEN 'VARCHAR' THEN 'TEXT' WHEN 'DOUBLE' THEN 'DOUBLE PRECISION' ELSE column_type END AS target_type
