@@ -6,6 +6,10 @@ not white space and a following space or line feed. No match of the pattern goes
 only begins a match or makes one up) and none looks behind it, so the parts' tokens together are the whole text's.
 A text without such a place stays in one part. Nothing is cut off.
 
+A run of white space before another character is one match without its last character, and one match at the end of a
+text. The library's regular expression gives up on runs of about a million, so runs of ``LONG_RUN`` and more are cut
+out of long texts and encoded by the ranks as the match that they are.
+
 Tokens are kept as little-endian unsigned 32-bit integers in one binary value, as training shards store them. Null
 texts count as empty and give no tokens; empty tables give empty results; other columns pass through in a struct.
 """
@@ -13,6 +17,7 @@ texts count as empty and give no tokens; empty tables give empty results; other
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -24,6 +29,10 @@ from pyspark.sql import functions as F
 from quarry.llm.common import arrow_map, carried, texts
 
 SPLIT_CHARS = 1 << 16
+LONG_RUN = 1 << 12
+#: The characters that the pattern's \s stands for (Unicode's White_Space).
+WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+RUNS = re.compile(f"{WHITE}{{{LONG_RUN},}}")
 
 
 @lru_cache(maxsize=4)
@@ -53,11 +62,27 @@ def parts(text: str, limit: int = SPLIT_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-def encode_text(text: str, tokenizer, limit: int = SPLIT_CHARS) -> bytes:
-    packed = b"".join(
-        tokenizer.encode_to_numpy(part, disallowed_special=()).astype("<u4").tobytes() for part in parts(text, limit)
-    )
-    return packed
+def pieces(text: str, limit: int = SPLIT_CHARS, runs: re.Pattern = RUNS) -> Iterator[tuple[str, bool]]:
+    """The text in parts, and whether each is one match that needs no splitting by the pattern."""
+    start = 0
+    if len(text) > limit:
+        for run in runs.finditer(text):
+            # the last character belongs to what follows
+            end = run.end() - (run.end() < len(text))
+            yield from ((part, False) for part in parts(text[start : run.start()], limit))
+            yield text[run.start() : end], True
+            start = end
+    yield from ((part, False) for part in parts(text[start:], limit))
+
+
+def encode_text(text: str, tokenizer, limit: int = SPLIT_CHARS, runs: re.Pattern = RUNS) -> bytes:
+    packed = []
+    for part, whole in pieces(text, limit, runs):
+        if whole:
+            packed.append(np.array(tokenizer._encode_single_piece(part), "<u4").tobytes())
+        else:
+            packed.append(tokenizer.encode_to_numpy(part, disallowed_special=()).astype("<u4").tobytes())
+    return b"".join(packed)
 
 
 def decode_tokens(packed: bytes, tokenizer) -> bytes:
