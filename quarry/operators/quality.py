@@ -23,6 +23,8 @@ log = logging.getLogger(__name__)
 KNOWN_CHECKS = (
     "not_null", "unique", "valid_values", "accepted_values", "range", "relationships", "expression",
 )
+#: Checks that look at one row at a time.
+ROW_CHECKS = ("not_null", "valid_values", "accepted_values", "range", "expression")
 RESULT_COLUMNS = ["position", "check", "columns", "failing_rows", "passed", "details", "severity"]
 
 

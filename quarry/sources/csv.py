@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator
-from functools import reduce
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.sources.csv_records import QUOTE, file_headers, has_broken_lines, read_by_header
+
 # Narrowest first; text is the fallback.
 CANDIDATES = ("int", "bigint", "double", "date", "timestamp_ntz", "boolean")
 
@@ -38,7 +35,7 @@ def read_csv_source(
         encoding=options.get("encoding", "utf-8"),
         skip_rows=options.get("skip_rows", 0),
         schema=options.get("schema"),
-        multi_line=options.get("multi_line", False),
+        multi_line=options.get("multi_line"),
     )
 
 
@@ -51,25 +48,40 @@ def read_csv(
     skip_rows: int = 0,
     schema: str | None = None,
     sampling_ratio: float = 1.0,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read CSV with inferred types, or with a DDL schema, which saves the inference pass.
 
-    With a header and several files, columns are matched by each file's own header. ``multi_line``
-    lets quoted values span lines (a file is then read by one task).
+    With a header, columns are matched by each file's own header, with a schema too: its columns are taken by name,
+    in its types, NULL where a file lacks one or a value has no such type. Without a header they go by position.
+    A quote within a quoted value is doubled. Quoted values may span lines; whether any does is found out by a pass over the lines, which ``multi_line``
+    (True or False) saves. Such files are read in splits like others. ``skip_rows`` leading lines of each file are dropped.
     """
     try:
-        if skip_rows > 0:
-            return _read_after_skipping(
-                spark, path, delimiter, header, encoding, skip_rows, schema, sampling_ratio
+        broken = has_broken_lines(spark, path, encoding) if multi_line is None else multi_line
+        reader = spark.read.options(sep=delimiter, header=header, encoding=encoding, escape=QUOTE)
+        kinds = []
+        if header and not skip_rows and not broken:
+            headers = file_headers(spark, path, delimiter, encoding)
+            kinds = headers.select("names").distinct().limit(2).collect()
+        if skip_rows or broken or len(kinds) > 1:
+            text = read_by_header(spark, path, delimiter, header, encoding, skip_rows, broken)
+            if schema:
+                return with_types(text, schema, header)
+            return narrow_text(text, sampling_ratio) if text.columns else text
+        if schema and header and kinds:
+            # the parser reads by position: types in the order of the header, then columns by name
+            wanted = {f.name: f for f in T.StructType.fromDDL(schema)}
+            stored = [wanted.get(n, T.StructField(n, T.StringType())) for n in kinds[0]["names"]]
+            found = reader.schema(T.StructType(stored)).csv(path)
+            return found.select(
+                *[
+                    F.col(f"`{n}`") if n in found.columns else F.lit(None).cast(f.dataType).alias(n)
+                    for n, f in wanted.items()
+                ]
             )
-        reader = spark.read.options(sep=delimiter, header=header, encoding=encoding, multiLine=multi_line)
         if schema:
             return reader.schema(schema).csv(path)
-        if header and (groups := _header_groups(spark, path, delimiter, encoding)):
-            parts = [reader.csv(paths) for paths in groups]
-            table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-            return narrow_text(table, sampling_ratio)
         return wall_clock(reader.options(inferSchema=True, samplingRatio=sampling_ratio).csv(path))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
@@ -77,14 +89,15 @@ def read_csv(
         raise
 
 
-def _header_groups(
-    spark: SparkSession, path: str | list[str], delimiter: str, encoding: str
-) -> list[list[str]] | None:
-    """Files by header line where headers differ; None where all files have one."""
-    from quarry.sources.folder import csv_headers, list_files, same_schema_groups
-
-    groups = same_schema_groups(csv_headers(list_files(spark, path, "*"), delimiter, encoding))
-    return None if groups == [None] else groups
+def with_types(text: DataFrame, schema: str, by_name: bool) -> DataFrame:
+    """Text columns in the types of a schema, by name or by position."""
+    fields = T.StructType.fromDDL(schema)
+    columns = []
+    for i, f in enumerate(fields):
+        source = f.name if by_name else f"_c{i}"
+        value = F.col(f"`{source}`").try_cast(f.dataType) if source in text.columns else F.lit(None).cast(f.dataType)
+        columns.append(value.alias(f.name))
+    return text.select(*columns)
 
 
 def wall_clock(df: DataFrame) -> DataFrame:
@@ -98,47 +111,6 @@ def csv_schema(spark: SparkSession, config: dict, table: str) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in df.schema}
 
 
-def _read_after_skipping(
-    spark: SparkSession,
-    path: str | list[str],
-    delimiter: str,
-    header: bool,
-    encoding: str,
-    skip_rows: int,
-    schema: str | None,
-    sampling_ratio: float,
-) -> DataFrame:
-    """Drop the leading lines of every file, then parse the rest in the JVM.
-
-    A file's first lines all lie in its first split, and a task reads a split in order, so a
-    per-file counter inside the task is enough. Records must not span lines.
-    """
-    lines = spark.read.option("encoding", encoding).text(path)
-    lines = lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
-    )
-    leading = lines.where("first_split").limit(skip_rows + 1).collect()  # skip_rows + 1 lines
-    first = next(csv.reader([leading[-1]["value"]], delimiter=delimiter))
-    names = first if header else [f"_c{i}" for i in range(len(first))]
-    dropped = skip_rows + (1 if header else 0)
-
-    def drop_leading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, int] = {}
-        for batch in batches:
-            number = batch.groupby("file").cumcount() + batch["file"].map(seen).fillna(0)
-            for file, count in batch["file"].value_counts().items():
-                seen[file] = seen.get(file, 0) + int(count)
-            yield batch.loc[~batch["first_split"] | (number >= dropped), ["value"]]
-
-    body = lines.mapInPandas(drop_leading, "value string").where("trim(value) <> ''")
-    fields = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    ddl = schema or ", ".join(f"`{f.name}` string" for f in fields)
-    parsed = body.select(F.from_csv("value", ddl, {"sep": delimiter}).alias("r")).select("r.*")
-    return parsed if schema else narrow_text(parsed, sampling_ratio)
-
-
 def narrow_text(df: DataFrame, sampling_ratio: float = 1.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """Give every text column the narrowest type that all its values fit, in one pass."""
     sample = df if sampling_ratio >= 1.0 else df.sample(sampling_ratio, seed=0)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,15 +64,20 @@ def compact_files(
 ) -> int:
     """Rewrite many files as few of about the target size; returns how many.
 
-    Columns are matched by name, those that only some files have are kept; a column with several
-    types is an error.
+    Whole files are packed into reads of the target size, and each read is written as one file: nothing is shuffled, and
+    the rows of a file keep their order. A file beyond the target is cut at its row groups. Columns are matched by
+    name, those that only some files have are kept; a column with several types is an error.
     """
-    total = list_files(spark, paths).agg(F.sum("length")).first()[0] or 0
-    files = max(1, math.ceil(total / target_bytes))
-    all_columns(spark).parquet(*paths).repartition(files).write.mode("overwrite").option(
-        "compression", compression
-    ).parquet(output)
-    return files
+    write_parquet(packed_reads(spark, paths, target_bytes), output, compression)
+    return list_files(spark, output).count()
+
+
+def packed_reads(spark: SparkSession, paths: list[str], target_bytes: int) -> DataFrame:
+    """The files in partitions of about the target size, with settings that hold for this read alone."""
+    session = spark.newSession()
+    for key, value in {"maxPartitionBytes": target_bytes, "openCostInBytes": 0, "minPartitionNum": 1}.items():
+        session.conf.set(f"spark.sql.files.{key}", str(value))
+    return all_columns(session).parquet(*paths)
 
 
 def lake_files(spark: SparkSession, root: str) -> DataFrame:

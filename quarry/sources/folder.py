@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 from collections.abc import Iterator
 
@@ -11,20 +12,18 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.sources.csv import narrow_text
-
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
 def list_files(spark: SparkSession, folder: str | list[str], pattern: str = "*.parquet") -> DataFrame:
-    """(path, length) of the files below a folder; contents are not read."""
+    """(path, length, file) of the files below a folder; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .select("path", "length")
+        .select("path", "length", F.col("_metadata.file_path").alias("file"))
     )
 
 
@@ -85,28 +84,46 @@ def parquet_footers(files: DataFrame) -> DataFrame:
     )
 
 
-def csv_headers(files: DataFrame, delimiter: str, encoding: str = "utf-8") -> DataFrame:
-    """The column names in each file's first line; nothing else is read."""
-    decoder = "utf-8-sig" if encoding.lower() in ("utf-8", "utf8") else encoding
+def csv_headers(files: DataFrame, delimiter: str, encoding: str = "utf-8", skip_rows: int = 0) -> DataFrame:
+    """The column names in each file's first record after the skipped lines; no more than that is read.
+
+    ``file`` is the name that ``_metadata.file_path`` has for the file.
+    """
+    kind = "utf-8-sig" if encoding.lower() in ("utf-8", "utf8") else encoding
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
-            for path in batch["path"]:
+            for path, file in zip(batch["path"], batch["file"]):
                 system, location = open_location(path)
                 with system.open_input_file(location) as stream:
-                    head = b""
-                    while b"\n" not in head:
+                    decode = codecs.getincrementaldecoder(kind)().decode
+                    head, line = "", None
+                    while line is None:
                         piece = stream.read(1 << 16)
-                        if not piece:
-                            break
-                        head += piece
-                line = head.split(b"\n", 1)[0].decode(decoder).strip("\r")
-                names = next(csv.reader([line], delimiter=delimiter), [])
-                found.append((path, "\n".join(names)))
-            yield pd.DataFrame(found, columns=["path", "fingerprint"])
-
-    return files.mapInPandas(read, "path string, fingerprint string")
+                        head += decode(piece, not piece)
+                        line = _record_after(head, skip_rows, not piece)
+                names = next(csv.reader([line], delimiter=delimiter), []) if line else []
+                found.append((path, file, "\n".join(n.replace("\n", " ") for n in names)))
+            yield pd.DataFrame(found, columns=["path", "file", "fingerprint"])
+
+    named = files.select("path", "file") if "file" in files.columns else files.select("path", F.col("path").alias("file"))
+    return named.mapInPandas(read, "path string, file string, fingerprint string")
+
+
+def _record_after(text: str, lines: int, complete: bool) -> str | None:
+    """The record after so many lines, without its line end; None where the text does not reach to its end."""
+    rest = text
+    for _ in range(lines):
+        _, found, rest = rest.partition("\n")
+        if not found:
+            return "" if complete else None
+    end = rest.find("\n")
+    while end >= 0 and rest.count('"', 0, end) % 2:
+        end = rest.find("\n", end + 1)
+    if end < 0:
+        return rest.strip("\r\n") if complete else None
+    return rest[:end].strip("\r")
 
 
 def same_schema_groups(described: DataFrame) -> list[list[str] | None]:
@@ -203,4 +220,6 @@ def read_folder(
         parts.append(nested_to_json(named))
     table = union_promoted(parts)
     # values as they stand in the files decide, not what one group of files looks like
+    from quarry.sources.csv import narrow_text  # reads headers by this module
+
     return table if file_format == "parquet" else narrow_text(table, keep=("_source_file",))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import quality
 from quarry.plans.runlog import RunLog
-from quarry.plans.runner import run_pipeline, store_failures
+from quarry.plans.runner import run_pipeline, store_failures, store_row_failures
 from quarry.session import scratch_path
 from quarry.sources.layers import Lake
 from quarry.workload.bindings import as_double, money
@@ -206,6 +206,23 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query(
+    "store_row_failures",
+    """SELECT '0_range' AS _check, o_orderkey, o_totalprice FROM orders WHERE o_totalprice < 20000
+    UNION ALL SELECT '1_not_null', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT '3_valid_values', o_orderkey, o_totalprice FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH')""",
+)
+def quarantine_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Three failing checks of a table, whose rows are written by one scan."""
+    checks = {
+        0: {"type": "range", "column": "o_totalprice", "min_value": 20000},
+        1: {"type": "not_null", "columns": ["o_orderstatus"]},
+        3: {"type": "valid_values", "column": "o_orderpriority", "values": ["1-URGENT", "2-HIGH"]},
+    }
+    path = store_row_failures(Lake(scratch_path(spark, "quarantine")), "pedidos", _orders(spark, sf), checks)
+    return spark.read.parquet(path).select("_check", "o_orderkey", "o_totalprice")
+
+
 @query(
     "store_failures_unique",
     """SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",

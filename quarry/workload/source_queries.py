@@ -99,6 +99,31 @@ def csv_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
     return business(read_source(spark, config, "pedidos"))
 
 
+@query(
+    "csv_skip_rows_by_name",
+    """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, 'first "half"' || chr(10) || o_orderpriority AS note,
+        CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END AS o_totalprice FROM orders""",
+)
+def csv_skip_rows_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Three kinds of files, each with a preamble and a header of its own, and quoted values that span lines."""
+    orders = table(spark, sf, "orders").withColumn("note", F.concat(F.lit('first "half"\n'), "o_orderpriority"))
+    folder = scratch_path(spark, "csv-by-name")
+    kinds = [["o_totalprice", "o_orderkey", "note", "o_orderstatus"], ["o_orderstatus", "note", "o_orderkey"], ["note", "o_orderkey", "o_orderstatus"]]
+    for number, columns in enumerate(kinds):
+
+        def with_preamble(batches: Iterator[pd.DataFrame], header: str = ",".join(columns)) -> Iterator[pd.DataFrame]:
+            yield pd.DataFrame({"value": ['a 5" report', header]})
+            yield from batches
+
+        lines = orders.where(F.col("o_orderkey") % 3 == number).select(
+            F.to_csv(F.struct(*columns), {"escape": '"', "quoteAll": "true"}).alias("value")
+        )
+        lines.mapInPandas(with_preamble, "value string").write.text(f"{folder}/{number}")
+    schema = "o_orderkey int, o_orderstatus string, note string, o_totalprice double"
+    config = {"name": "ventas", "type": "csv", "path": f"{folder}/*/*.txt", "connection": {"skip_rows": 1, "schema": schema}}
+    return business(read_source(spark, config, "pedidos"))
+
+
 @query(
     "csv_schema",
     """SELECT column_name, CASE WHEN column_type = 'BIGINT' THEN 'int' WHEN column_type = 'VARCHAR' THEN 'string'

@@ -1,9 +1,15 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from quarry.operators import quality as q
+from quarry.plans.runlog import RunLog
+from quarry.plans.runner import run_pipeline, store_row_failures
+from quarry.sources.layers import Lake
 
 
 def results(df, checks, references=None):
@@ -131,3 +137,52 @@ def test_event_before_parent(spark):
     orders = spark.sql("SELECT 7 AS oid, DATE '2024-01-05' AS od")
     bad = q.event_before_parent(claims, orders, "pid", "oid", "cd", "od").collect()
     assert [(r["c"], r["dias_de_diferencia"]) for r in bad] == [(1, 4)]
+
+
+def test_values_that_a_type_cannot_hold(spark):
+    df = spark.sql("SELECT explode(array(1, 2, 3)) AS n").withColumn("m", F.col("n").cast("decimal(5,1)"))
+    checks = [
+        {"type": "valid_values", "column": "n", "values": [1.5, 2]},
+        {"type": "valid_values", "column": "n", "values": ["1", "two", 3.0]},
+        {"type": "accepted_values", "column": "m", "values": [1.04, 2, Decimal("3.0")]},
+        {"type": "valid_values", "column": "n", "values": [2.5]},
+    ]
+    found = q.run_checks(df, checks).orderBy("position").collect()
+    assert [r["failing_rows"] for r in found] == [2, 1, 1, 3]
+
+
+def test_failing_rows_of_many_checks_in_one_scan(spark, tmp_path, rows):
+    path, lake = str(tmp_path / "t"), Lake(str(tmp_path / "lake"))
+    spark.range(10).select("id", F.when(F.col("id") != 3, "v").alias("v")).write.parquet(path)
+    checks = {
+        0: {"type": "range", "column": "id", "max_value": 7}, 2: {"type": "not_null", "columns": ["id", "v"]},
+        5: {"type": "expression", "condition": "id <> 9"},
+    }
+    scans = []
+    plain = DataFrameWriter.parquet
+    try:
+        DataFrameWriter.parquet = lambda self, *a, **k: (
+            scans.append(self._df._jdf.queryExecution().executedPlan().toString().count("FileScan")), plain(self, *a, **k)
+        )[1]
+        stored = store_row_failures(lake, "p", spark.read.parquet(path), checks)
+    finally:
+        DataFrameWriter.parquet = plain
+    assert scans == [1]
+    assert rows(spark.read.parquet(stored), "_check", "id") == [
+        ("0_range", 8), ("0_range", 9), ("2_not_null", 3), ("5_expression", 9),
+    ]
+    assert store_row_failures(lake, "p", spark.read.parquet(path), {}) is None
+
+
+def test_a_pipeline_quarantines_rows_by_check(spark, tmp_path, rows):
+    lake, log = Lake(str(tmp_path)), RunLog(spark, str(tmp_path))
+    lake.write_raw(spark.range(4).select("id", F.lit(None).cast("int").alias("v")), "s", "t")
+    config = {
+        "name": "p", "source": {"layer": "raw", "domain": "s", "table": "t"}, "destination": {"layer": "staging", "table": "t"},
+        "quality_checks": [
+            {"type": "not_null", "columns": ["v"]}, {"type": "range", "column": "id", "min_value": 1}, {"type": "unique", "columns": ["v"]},
+        ],
+    }
+    assert run_pipeline(spark, lake, log, config, quarantine=True)["status"] == "success"
+    kept = spark.read.parquet(str(tmp_path / "quarantine/p/rows"))
+    assert rows(kept, "_check", "id") == [("0_not_null", i) for i in range(4)] + [("1_range", 0)]

@@ -14,8 +14,9 @@ from quarry.plans.runner import run_extraction, run_pipeline
 from quarry.session import materialise
 from quarry.sources import files, mirror
 from quarry.sources.csv import csv_schema, read_csv
+from quarry.sources.csv_records import csv_lines
 from quarry.sources.files import compact_files
-from quarry.sources.folder import common_type, nested_to_json, read_folder
+from quarry.sources.folder import common_type, csv_headers, list_files, nested_to_json, read_folder
 from quarry.sources.generations import schemas
 from quarry.sources.jdbc import jdbc_options, newer_than
 from quarry.sources.layers import Lake, ingest_folders
@@ -92,6 +93,53 @@ def test_csv_columns_follow_each_header(spark, tmp_path, rows):
     assert rows(df, "a", "b", "c") == [(1, "two\nlines", None), (9, "w", "x")]
 
 
+@pytest.mark.parametrize("skip", [0, 2])
+@pytest.mark.parametrize("schema", [None, "b string, a int, missing date"])
+def test_csv_by_name_on_every_path(spark, tmp_path, rows, skip, schema):
+    lead = "title\na 5\" disk\n" if skip else ""
+    (tmp_path / "f 1.csv").write_text(lead + 'a,b\n1,"two\nlines"\n2,"say ""hi"", all"\n\n')
+    (tmp_path / "f2.csv").write_text(lead + "b,a\nw,9\n,10\nodd\n")
+    for multi_line in (None, True):
+        df = read_csv(spark, f"{tmp_path}/*.csv", skip_rows=skip, schema=schema, multi_line=multi_line)
+        assert rows(df, "a", "b") == [(None, "odd"), (1, "two\nlines"), (10, None), (2, 'say "hi", all'), (9, "w")]
+        if schema:
+            assert df.columns == ["b", "a", "missing"] and df.where("missing is not null").isEmpty()
+
+
+def test_csv_schema_goes_by_the_header_of_one_file(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("n,when,word\n1,2024-01-01,x\nno,,y\n")
+    df = read_csv(spark, str(tmp_path), schema="word string, n int, gone double")
+    assert rows(df) == [("x", 1, None), ("y", None, None)] and df.columns == ["word", "n", "gone"]
+    df = read_csv(spark, str(tmp_path), schema="x string, y string", header=False, skip_rows=1)
+    assert rows(df) == [("1", "2024-01-01"), ("no", None)]
+
+
+def test_csv_records_across_splits(spark, tmp_path, rows):
+    """Splits of a few hundred bytes: records span lines, and lines of one record lie in many splits."""
+    written = [(i, f"line {i}\n" * (i % 23) + f'"{i}"' + "," * (i % 3)) for i in range(400)]
+    escaped = [(i, text.replace('"', '""')) for i, text in written]
+    (tmp_path / "a.csv").write_text("preamble\nid,text\n" + "".join(f'{i},"{text}"\n' for i, text in escaped if i % 2))
+    (tmp_path / "b.csv").write_text("\ntext,id\n" + "".join(f'"{text}",{i}\n' for i, text in escaped if i % 2 == 0))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        df = read_csv(spark, f"{tmp_path}/*.csv", skip_rows=1)
+        assert df.columns == ["id", "text"]
+        assert sorted((r["id"], r["text"]) for r in df.collect()) == written
+        assert csv_lines(spark, f"{tmp_path}/*.csv", "utf-8").select("split").distinct().count() > 50
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_headers_in_other_encodings(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_bytes("año,b\n1,x\n".encode("utf-16"))
+    found = csv_headers(list_files(spark, str(tmp_path), "*"), ",", "utf-16").first()
+    assert found["fingerprint"] == "año\nb"
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("")
+    assert read_csv(spark, str(tmp_path / "empty"), skip_rows=1).count() == 0
+
+
 def test_columns_of_all_files_survive(spark, tmp_path, rows):
     lake = Lake(str(tmp_path / "lake"))
     lake.write_raw(spark.createDataFrame([(1,)], "id int"), "s", "t")
@@ -295,6 +343,24 @@ def test_files(spark, tmp_path):
     assert files.lake_tables(spark, str(tmp_path / "raw")).collect() == [("raw", "s", "t")]
 
 
+def test_compaction_packs_whole_files(spark, tmp_path):
+    path = str(tmp_path / "small")
+    spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).repartition(40).write.parquet(path)
+    sizes = [r["length"] for r in list_files(spark, path).collect()]
+    target = 8 * max(sizes)
+    packed = files.packed_reads(spark, [path], target)
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+    order = [r["id"] for r in spark.read.parquet(path).where(F.col("_metadata.file_name") != "").collect()]
+    count = files.compact_files(spark, [path], str(tmp_path / "few"), target_bytes=target)
+    assert 5 <= count <= 6
+    found = list_files(spark, str(tmp_path / "few")).collect()
+    assert sum(r["length"] > 0.6 * target for r in found) >= count - 1
+    # the rows of each small file stay together, in their order
+    after = {r["id"]: i for i, r in enumerate(spark.read.parquet(str(tmp_path / "few")).collect())}
+    breaks = sum(after[b] != after[a] + 1 for a, b in zip(order, order[1:], strict=False))
+    assert len(after) == 40_000 and breaks <= 2 * len(sizes)
+
+
 def test_mirror(spark, people, tmp_path):
     target = mirror.FolderTarget(spark, str(tmp_path))
     assert mirror.mirror_tables({"p": people}, target).summary() == {"exported": 1, "skipped": 0, "failed": 0}
