@@ -108,6 +108,36 @@ def test_parts_have_the_tokens_of_the_whole(limit):
         assert ids == library.encode_ordinary(text), text
 
 
+SHORT_RUNS = re.compile(f"{tokens.WHITE}{{3,}}")
+
+
+@pytest.mark.parametrize("run", [" " * 9, "\n" * 9, " \n\t \x85\u3000 \xa0", "\t \n" * 3, "\x1c" * 9, "\n\n\n "])
+def test_runs_cut_out_are_the_matches_of_the_whole(run):
+    library = plain_encoding()
+    for text in (run, f"a{run}", f"{run}b", f"a{run}b", f"a{run}'s {run}1{run}", f"é{run}漢 x{run}!?"):
+        assert "".join(part for part, _ in tokens.pieces(text, 1, SHORT_RUNS)) == text
+        ids = np.frombuffer(tokens.encode_text(text, library, 1, SHORT_RUNS), "<u4").tolist()
+        assert ids == library.encode_ordinary(text), text
+
+
+def test_runs_of_millions_are_encoded(spark):
+    """The library alone ends in an error on these; each run gives the tokens of its matches."""
+    long = 2_000_000
+    texts = [
+        " " * long, "\n" * long + "end", "start" + " \t" * long, "a" + " " * long + "b" + "\n" * long + "c",
+        "x" * long, "-" * long,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = tokens.encode(df, "text", RANKS, public_tokenizers.PATTERN)
+    decoded = tokens.decode(found.select("carried.doc_id", "carried.text", "ids"), "ids", RANKS, public_tokenizers.PATTERN)
+    checked = decoded.select("carried.doc_id", (F.col("decoded") == F.col("carried.text").cast("binary")).alias("same"))
+    assert sorted(tuple(r) for r in checked.collect()) == [(i, True) for i in range(len(texts))]
+    ids = {r.doc_id: np.frombuffer(r.ids, "<u4") for r in found.select("carried.doc_id", "ids").collect()}
+    library = plain_encoding()
+    assert ids[0].tolist() == library._encode_single_piece(" " * long)
+    assert ids[1].tolist() == library._encode_single_piece("\n" * (long - 1)) + library.encode_ordinary("\nend")
+
+
 def test_incomplete_characters_decode_to_bytes():
     library = plain_encoding()
     packed = tokens.encode_text("漢", library)
@@ -221,6 +251,42 @@ def test_groups_that_fit_a_shard_stay_whole(spark, sizes):
     assert {len(s) for s in shards.values()} == {1}
 
 
+@pytest.mark.parametrize("sizes, quota", [([100, 300, 1_000], 1_200), ([2] * 400 + [30] * 20, 1_200), ([3_000, 500, 2, 2], 1_200)])
+def test_rounds_move_documents_to_their_neighbours(spark, sizes, quota):
+    """Crossing links become fewer with each round, and without rounds most links cross."""
+    rows = [f"group {g}" for g, size in enumerate(sizes) for _ in range(size)]
+    rows += [f"own {i}" for i in range(8 * quota - len(rows))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+
+    def cut(found):
+        pairs = defaultdict(list)
+        for r in found.collect():
+            pairs[rows[r.id]].append(r.shard)
+        return sum(len(s) - max(Counter(s).values()) for s in pairs.values())
+
+    history = []
+    gathered = cut(sharding.shard_documents(docs, 8, history=history))
+    links = sum(size - 1 for size in sizes)
+    assert history[0] > 0.7 * links and len(history) > 2
+    assert all(a >= b for a, b in zip(history, history[1:], strict=False)) and history[-1] < history[0]
+    scattered = cut(sharding.shard_documents(docs, 8, rounds=0))
+    assert scattered > 0.5 * links
+    # only the group that no shard holds stays cut
+    assert gathered == max(0, max(sizes) - quota)
+    if max(sizes) <= quota:
+        assert history[-1] == 0
+
+
+def test_admission_equals_a_plain_one():
+    room = [10, 10, 4]
+    seats, shares = sharding.admit([(1, 0, 8), (2, 0, 9), (3, 0, 40), (4, 2, 3)], {(2, 0): 1, (0, 1): 2}, room)
+    # the largest first takes a whole shard; those whose wish is full go where most room is
+    assert seats == {3: (0, 10 / 40), 2: (1, 1.0), 1: (2, 4 / 8), 4: (1, 1 / 3)}
+    assert shares == {(0, 1): 0.0, (2, 0): 0.0}
+    seats, shares = sharding.admit([(1, 0, 8)], {(0, 0): 2, (0, 1): 4, (1, 3): 5}, [11, 10])
+    assert seats == {1: (0, 1.0)} and shares[1, 3] == 1.0 and shares[0, 1] == pytest.approx(0.95 * 3 / 4)
+
+
 def test_upper_links_weigh_their_parts(spark):
     nodes = spark.createDataFrame([(i, "same") for i in range(1_000)], "node long, group string")
     links = sharding.group_links(nodes, 8).collect()
