@@ -145,16 +145,21 @@ class Bound:
         )
         return materialise(staging.canal_producto(products, self.canal, items), "canal-producto")
 
-    def sales_by_location(self, decimals: int | None = None) -> DataFrame:
+    @cached_property
+    def published_bridge(self) -> DataFrame:
+        """The written table of customers and places, for queries that need it more than once."""
+        return materialise(self.cliente_ubicacion_geo, "customer-places")
+
+    def sales_by_location(self, decimals: int | None = None, bridge: DataFrame | None = None) -> DataFrame:
         return consume.ventas_por_ubicacion(
-            self.cliente_ubicacion_geo, self.ubicacion_geo, self.cliente_pedido, self.item_pedido,
+            bridge or self.cliente_ubicacion_geo, self.ubicacion_geo, self.cliente_pedido, self.item_pedido,
             self.direccion_geocodificada, decimals,
         )
 
     @cached_property
     def published_locations(self) -> DataFrame:
         """The written sales-by-location table, as later models find it; one row per city."""
-        return materialise(self.sales_by_location(), "sales-by-location")
+        return materialise(self.sales_by_location(bridge=self.__dict__.get("published_bridge")), "sales-by-location")
 
     def market(self) -> DataFrame:
         return consume.penetracion_mercado(self.published_locations)

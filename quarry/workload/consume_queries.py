@@ -175,7 +175,7 @@ def penetration_trend(spark: SparkSession, sf: str) -> DataFrame:
     b = Bound(spark, sf)
     return as_double(
         consume.penetracion_evolucion(
-            b.cliente_pedido, b.item_pedido, b.cliente_ubicacion_geo, b.ubicacion_geo, b.published_locations
+            b.cliente_pedido, b.item_pedido, b.published_bridge, b.ubicacion_geo, b.published_locations
         )
     )
 
@@ -252,7 +252,7 @@ def geo_retention(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_point(
         as_double(
             consume.retencion_geografica(
-                b.cliente_pedido, b.item_pedido, b.cliente_ubicacion_geo, b.ubicacion_geo, b.market()
+                b.cliente_pedido, b.item_pedido, b.published_bridge, b.ubicacion_geo, b.market()
             )
         )
     )

@@ -18,7 +18,7 @@ from quarry.session import scratch_path
 from quarry.sources.folder import has_files
 from quarry.workload.registry import table
 
-DOCUMENTS_PER_ORDER = 4  # an order's lines are dealt to so many documents by a hash
+STRETCH_BITS = 20  # an order's lines in so many (2 ** 20) neighbouring rows of a file make one document
 
 
 def text(c: str | Column) -> Column:
@@ -70,14 +70,15 @@ def line_documents(
 ) -> DataFrame:
     """(l_orderkey, elements) with the lines of an order as one JSON array.
 
-    The lines of every order are dealt to a few documents by a hash, whatever their number.
+    The lines that lie in one stretch of a file make one document, so that none has more lines than a stretch has
+    rows, however many the order has.
     """
     lines = table(spark, sf, "lineitem")
     if channel is not None:
         lines = lines.where(F.col("l_orderkey") % 3 == channel)
-    row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    stretch = F.xxhash64("_metadata.file_path", F.shiftright("_metadata.row_index", STRETCH_BITS))
     return (
-        lines.withColumn("document", F.pmod(row, F.lit(DOCUMENTS_PER_ORDER)))
+        lines.withColumn("document", stretch)
         .groupBy("l_orderkey", "document")
         .agg(F.to_json(F.collect_list(element)).alias("elements"))
         .drop("document")
