@@ -164,13 +164,80 @@ def op11_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
-@query()
+@query("""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS times FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+        FROM documents)
+    WHERE length(run) >= 7 GROUP BY doc_id, run
+), bytes AS (  -- UTF-8, after the register's first value
+    SELECT run, doc_id, times, list_prepend(4294967295, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+        lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, CAST(unicode(c) AS BIGINT) - 64] END))) AS bytes FROM runs
+), hashed AS (  -- crc32, bit by bit
+    SELECT run, times, xor(list_reduce(bytes, lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) AS h FROM bytes
+), vocabulary AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+        SELECT times, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), holes AS (
+    SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS hole
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM vocabulary)
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b USING (p, hole) WHERE a.word <> b.word
+    UNION SELECT holes.word, v.word, v.n FROM holes JOIN vocabulary v ON v.word = hole
+    UNION SELECT v.word, holes.word, holes.n FROM holes JOIN vocabulary v ON v.word = hole
+), best AS (
+    SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+    QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1
+), forms AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * v.n THEN other END AS form,
+           CASE WHEN b.n >= 10 * v.n THEN b.n END AS form_n FROM vocabulary v LEFT JOIN best b USING (word)
+), followed AS (
+    SELECT word, word AS root FROM forms
+    UNION ALL SELECT followed.word, forms.form FROM followed JOIN forms ON forms.word = root WHERE forms.form IS NOT NULL
+)
+SELECT forms.word, form, root, forms.n, n_near, form_n FROM forms JOIN followed USING (word)
+WHERE root IN (SELECT word FROM forms WHERE form IS NULL)
+""")
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = vocabulary(table(spark, sf_dir, "documents"), "doc_id", "text", least=7, occurrences=2, every=31)
     return spelling_variants(words, ratio=10).select("word", "form", "root", "n", "n_near", "form_n")
 
 
-@query()
+@query("""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+           coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY n) AS turns FROM turns GROUP BY conv_id
+), digits AS (  -- the bytes of the decimal id, after the register's first value
+    SELECT conv_id, list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))) AS bytes FROM own
+), shares AS (  -- crc32, bit by bit
+    SELECT conv_id, xor(list_reduce(bytes, lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 6 AS h FROM digits
+), rebuilt AS (
+    SELECT o.conv_id, list_concat(coalesce(list_slice(b.turns, 1, h), []), list_slice(o.turns, h + 1, len(o.turns))) AS turns
+    FROM own o JOIN shares USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), members AS (
+    SELECT conv_id, len(turns) AS n, depth, list_slice(turns, 1, depth) AS path
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, count(*) FILTER (n > depth) AS longer,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+    FROM members GROUP BY path, depth
+), children AS (
+    SELECT list_slice(path, 1, depth - 1) AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+), subtrees AS (
+    SELECT list_slice(path, 1, d) AS path, d AS depth, count(*) FILTER (longer = 0) AS n_leaves,
+           sum((n_convs - 1) * CASE WHEN depth > 0 THEN length(path[depth].text) ELSE 0 END) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM nodes) GROUP BY 1, 2
+)
+SELECT nodes.conv_id, nodes.depth, parents.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN subtrees USING (path, depth) LEFT JOIN children USING (path, depth)
+LEFT JOIN nodes parents ON nodes.depth > 0 AND parents.depth = nodes.depth - 1 AND parents.path = list_slice(nodes.path, 1, nodes.depth - 1)
+""")
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = turns_of(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     return prefix_trie(*shared_starts(turns, hundred=100, most=6))
