@@ -32,60 +32,91 @@ PRIMES = (2147483647, 2147483629)  # below 2^31, so that products fit 64 bits
 BASES = (1000003, 69069001)
 SPAN = 32  # bytes
 SKETCH = 64  # hashes kept
-STEP = 1 << 24  # products summed before they are reduced
+BLOCK = 1 << 16  # bytes between the entries of a prefix array that are kept
 
 
-@lru_cache(maxsize=2)
-def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the bases and of their inverses, 2 x count; count is a power of two."""
-    found = []
-    for invert in (False, True):
-        rows = []
-        for prime, base in zip(PRIMES, BASES, strict=True):
-            step = pow(base, -1, prime) if invert else base
-            row = np.ones(1, np.uint64)
-            while len(row) < count:  # doubled: the second half is the first times base ^ length
-                row = np.concatenate([row, row * np.uint64(pow(step, len(row), prime)) % np.uint64(prime)])
-            rows.append(row)
-        found.append(np.stack(rows))
-    return found[0], found[1]
+def _powers(invert: bool) -> np.ndarray:
+    """Powers of the bases, or of their inverses, as many as a block with a span needs."""
+    rows = []
+    for prime, base in zip(PRIMES, BASES, strict=True):
+        step, row = pow(base, -1, prime) if invert else base, np.ones(1, np.uint64)
+        while len(row) < BLOCK + SPAN + 1:  # doubled: the second half is the first times base ^ length
+            row = np.concatenate([row, row * np.uint64(pow(step, len(row), prime)) % np.uint64(prime)])
+        rows.append(row[: BLOCK + SPAN + 1])
+    return np.stack(rows)
 
 
-def powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(14, int(length).bit_length()))
+@lru_cache(maxsize=1)
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(False), _powers(True)
+
+
+MODULI = np.array(PRIMES, np.uint64)[:, None]
 
 
 class PrefixHashes:
-    """The prefix arrays of a byte string."""
+    """The prefix arrays of a byte string, from which the hash of any span follows.
+
+    Entry i is the hash of the first i bytes. Kept are the entries at the beginnings of blocks, the smallest span keys of
+    each block, and the entries of the blocks used last; others are computed again from their block's first entry. So
+    the arrays of a text of any length take the memory of two blocks.
+    """
 
     def __init__(self, data: bytes, kept: PrefixHashes | None = None, cut: int = 0):
-        """``kept`` and ``cut``: another one's arrays hold for the first cut bytes, which are the same."""
-        self.length = len(data)
-        codes = np.frombuffer(data, np.uint8)[cut:].astype(np.uint64) + np.uint64(1)
-        up, _ = powers(self.length)
-        self.sums = np.zeros((len(PRIMES), self.length + 1), np.uint64)
+        """``kept`` and ``cut``: another one's entries hold for the first cut bytes, which are the same."""
+        self.length, self.codes = len(data), np.frombuffer(data, np.uint8)
+        self.marks = [np.zeros((len(PRIMES), 1), np.uint64)]
+        self.sketches: list[np.ndarray] = []
+        self._blocks: dict[int, np.ndarray] = {}
         if kept is not None:
-            self.sums[:, : cut + 1] = kept.sums[:, : cut + 1]
-        for row, prime in zip(range(len(PRIMES)), PRIMES, strict=True):
-            for at in range(cut, self.length, STEP):
-                end = min(at + STEP, self.length)
-                total = np.cumsum(codes[at - cut : end - cut] * up[row, at:end])
-                self.sums[row, at + 1 : end + 1] = (total + self.sums[row, at]) % np.uint64(prime)
-
-    def spans(self, starts: np.ndarray | slice, length: int, row: int) -> np.ndarray:
-        """The hashes, modulo one prime, of the spans of a length that begin at the starts."""
-        prime, (_, down) = np.uint64(PRIMES[row]), powers(self.length)
-        ends = slice(starts.start + length, starts.stop + length) if isinstance(starts, slice) else starts + length
-        difference = self.sums[row][ends] + prime - self.sums[row][starts]
-        return difference % prime * down[row][starts] % prime
+            self.marks = kept.marks[: cut // BLOCK + 1]
+            # spans that begin in these blocks end within the bytes that are the same
+            same = max(0, (cut - SPAN + 1) // BLOCK)
+            self.sketches = kept.sketches[:same]
+            block = cut // BLOCK
+            if block in kept._blocks and block == same:
+                self._blocks[block] = kept._blocks[block][:, : cut - block * BLOCK + 1]
+        for block in range(len(self.sketches), max(1, -(-self.length // BLOCK))):
+            entries = self.entries(block)
+            if len(self.marks) == block + 1 and (block + 1) * BLOCK < self.length:
+                self.marks.append(entries[:, BLOCK : BLOCK + 1].copy())  # not a view that keeps the block
+            self.sketches.append(smallest(self._keys(block, entries)))
+
+    def entries(self, block: int) -> np.ndarray:
+        """The entries from the beginning of a block to its end and a span further, or to the end of the bytes."""
+        start = block * BLOCK
+        end = min(start + BLOCK + SPAN, self.length)
+        known = self._blocks.pop(block, None)
+        if known is None:
+            known = self.marks[block]
+        at = start + known.shape[1] - 1
+        if at < end:
+            up, down = powers()
+            n = end - at
+            codes = self.codes[at:end].astype(np.uint64) + np.uint64(1)
+            # below 2^31 each, at most 2^16 of products below 2^40, and then two products below 2^62
+            inner = np.cumsum(codes * down[:, :n], axis=1) % MODULI
+            known = np.concatenate([known, (known[:, -1:] * up[:, 1 : n + 1] + inner * up[:, :n]) % MODULI], axis=1)
+        while len(self._blocks) > 1:
+            self._blocks.pop(next(iter(self._blocks)))
+        self._blocks[block] = known
+        return known
+
+    @property
+    def sums(self) -> np.ndarray:
+        """All entries, for short texts."""
+        blocks = [self.entries(b)[:, : BLOCK if (b + 1) * BLOCK < self.length else None] for b in range(len(self.sketches))]
+        return np.concatenate(blocks, axis=1)
+
+    def entry(self, at: int) -> list[int]:
+        block = max(0, min(at // BLOCK, len(self.sketches) - 1))
+        return self.entries(block)[:, at - block * BLOCK].tolist()
 
     def span(self, start: int, length: int) -> int:
         """The hash of one span, 62 bits."""
-        found = 0
-        _, down = powers(self.length)
-        for row, prime in enumerate(PRIMES):
-            difference = (int(self.sums[row, start + length]) - int(self.sums[row, start])) % prime
-            found = found << 31 | difference * int(down[row, start]) % prime
+        found, begin, end = 0, self.entry(start), self.entry(start + length)
+        for row, (prime, base) in enumerate(zip(PRIMES, BASES, strict=True)):
+            found = found << 31 | (end[row] - begin[row] * pow(base, length, prime)) % prime
         return found
 
     def common(self, start: int, other: PrefixHashes, other_start: int) -> int:
@@ -99,21 +130,32 @@ class PrefixHashes:
                 high = middle - 1
         return low
 
-    def keys(self, first: int = 0) -> np.ndarray:
-        """The mixed hashes of all spans from a start on."""
+    def _keys(self, block: int, entries: np.ndarray) -> np.ndarray:
+        """The mixed hashes of the spans that begin in a block; of a text shorter than a span that of the text."""
         if self.length < SPAN:
             return np.array([self.span(0, self.length) & 0x7FFFFFFF], np.uint64) if self.length else np.zeros(0, np.uint64)
-        mixed = self.spans(slice(first, self.length - SPAN + 1), SPAN, 0) * np.uint64(0x9E3779B97F4A7C15)
-        return mixed >> np.uint64(32)
+        prime, row = np.uint64(PRIMES[0]), entries[0]
+        count = max(0, min(BLOCK, len(row) - SPAN))
+        factor = np.uint64(pow(BASES[0], SPAN, PRIMES[0]))
+        found = (row[SPAN : SPAN + count] + prime - row[:count] * factor % prime) % prime
+        return found * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+
+    def sketch(self) -> np.ndarray:
+        """The smallest distinct keys of all spans."""
+        if len(self.sketches) == 1:
+            return self.sketches[0]
+        return np.unique(np.concatenate(self.sketches))[:SKETCH]
 
 
 def smallest(keys: np.ndarray, count: int = SKETCH) -> np.ndarray:
     """The smallest distinct keys, ascending."""
+    if not len(keys):
+        return keys
     some = min(len(keys), 4 * count)
     while True:
         part = np.unique(np.partition(keys, some - 1)[:some]) if some < len(keys) else np.unique(keys)
         if len(part) >= count or some >= len(keys):
-            return part[:count]
+            return part[:count].copy()
         some = min(len(keys), 8 * some)
 
 
@@ -144,13 +186,8 @@ class Fingerprinted:
     def __init__(self, data: bytes, kept: Fingerprinted | None = None, cut: int = 0):
         self.data = data
         self.prefixes = PrefixHashes(data, kept and kept.prefixes, cut)
-        if kept is not None and cut >= SPAN and len(data) >= SPAN:
-            same = cut - SPAN + 1  # spans within the bytes that are the same
-            self.keys = np.concatenate([kept.keys[:same], self.prefixes.keys(same)])
-        else:
-            self.keys = self.prefixes.keys()
         whole = self.prefixes.span(0, len(data)) << 2 | min(len(data), 3) if data else 0
-        self.fingerprint = (whole, smallest(self.keys) if len(self.keys) else self.keys)
+        self.fingerprint = (whole, self.prefixes.sketch())
 
 
 def edited(text: str, following: str) -> str:

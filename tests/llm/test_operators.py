@@ -6,6 +6,7 @@ import math
 import re
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -204,6 +205,53 @@ def test_likeness_estimates_common_spans():
     assert abs(found - exact) < 0.2
 
 
+def test_long_texts_take_the_memory_of_blocks():
+    random = np.random.default_rng(8)
+    long = random.integers(97, 123, size=50 << 20, dtype=np.uint8).tobytes()
+    tracemalloc.start()
+    one = fingerprints.Fingerprinted(long)
+    cut = 33 << 20
+    two = fingerprints.Fingerprinted(long[:cut] + b"X" + long[cut + 1 :], one, cut)
+    common = one.prefixes.common(0, two.prefixes, 0)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # the changed text itself and its parts, and 40 MB of arrays
+    assert common == cut and peak < 4 * len(long)
+    assert fingerprints.likeness(one.fingerprint, two.fingerprint) > 0.9
+
+
+@pytest.mark.parametrize("block", [64, 100, 1 << 16])
+def test_blocks_change_no_fingerprint(monkeypatch, block):
+    random = np.random.default_rng(9)
+    texts = [random.integers(97, 101, size=n, dtype=np.uint8).tobytes() for n in (0, 1, 31, 32, 33, 64, 100, 128, 131, 1000, 1001)]
+    plain = []
+    for data in texts:
+        whole, keys = [0, 0], []
+        for row, (prime, base) in enumerate(zip(fingerprints.PRIMES, fingerprints.BASES, strict=True)):
+            for code in data:
+                whole[row] = (whole[row] * base + code + 1) % prime
+        for i in range(len(data) - 31):
+            h = 0
+            for code in data[i : i + 32]:
+                h = (h * fingerprints.BASES[0] + code + 1) % fingerprints.PRIMES[0]
+            keys.append(h * 0x9E3779B97F4A7C15 % (1 << 64) >> 32)
+        plain.append((whole[0] << 31 | whole[1], sorted(set(keys))[:64]))
+    monkeypatch.setattr(fingerprints, "BLOCK", block)
+    fingerprints.powers.cache_clear()
+    try:
+        for data, (whole, keys) in zip(texts, plain, strict=True):
+            found = fingerprints.Fingerprinted(data)
+            assert found.fingerprint[0] >> 2 == whole and (len(data) < 32 or found.fingerprint[1].tolist() == keys)
+            for cut in (0, 1, len(data) // 3, len(data) * 2 // 3, max(0, len(data) - 1)):
+                other = data[:cut] + b"q" * (len(data) - cut)
+                changed, alone = fingerprints.Fingerprinted(other, found, cut), fingerprints.Fingerprinted(other)
+                assert fingerprints.as_bytes(changed.fingerprint) == fingerprints.as_bytes(alone.fingerprint)
+                common = next((i for i, (a, b) in enumerate(zip(data, other, strict=True)) if a != b), len(data))
+                assert found.prefixes.common(0, changed.prefixes, 0) == common
+    finally:
+        fingerprints.powers.cache_clear()
+
+
 # --- sharding
 
 
