@@ -563,16 +563,21 @@ def test_each_operator_has_its_query():
     from __spark_entry__ import queries
 
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries()
 
 
-@pytest.mark.parametrize("name", ["op2_warc_index", "op3_line_dedup", "op10_exact_dedup"])
+SQL_QUERIES = [
+    "op2_warc_index", "op3_line_dedup", "op10_exact_dedup", "op11_threshold_search", "op12_spelling_variants", "op13_prefix_trie",
+]
+
+
+@pytest.mark.parametrize("name", SQL_QUERIES)
 def test_queries_equal_their_sql(spark, name):
     from quarry.llm.queries import ORACLES, QUERIES
 
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     cursor = con.execute(ORACLES[name])
     expected = comparable(cursor.fetchall(), [d[0] for d in cursor.description])
