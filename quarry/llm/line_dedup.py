@@ -1,18 +1,25 @@
 """Deletes runs of lines that appeared before, found by winnowing over line hashes.
 
-Every ``window`` consecutive lines have a fingerprint: the smallest of their line hashes, the last one of equals. Equal
-windows have equal fingerprints at the same place in them, so each run of ``window`` or more lines that two places
-share has a fingerprint in common. Fingerprints are a filter: only windows whose fingerprint occurs at several places are
-compared. A row is written for every window, and equal windows are found by grouping their digests; positions are not
-joined and no match is extended, as overlapping windows cover a longer run by themselves. Of equal windows the first (by id, then row, then line) keeps its lines; all
-lines of the later ones are deleted. So the first occurrence of every run stays, and each later copy goes, in the
-same document too, whatever its length from ``window`` lines on.
-
-Everything is DataFrame functions. Windows and fingerprints are compared by 128 and 64 bit digests of their lines.
-Equal windows meet in partial aggregates and in joins that adaptive execution splits where one key is frequent.
+Of every ``window`` consecutive lines the one with the smallest hash is selected, the last one of equals. Equal windows
+select the same line at the same place, so each run of ``window`` or more lines that two places share has a selected line
+in common: the fingerprint that is guaranteed. A row is written for each selected line, with the digests of the lines
+around it that its windows reach; lines that no window selects have none.
+
+Positions are joined in two steps. Those whose fingerprint occurs once are left out. Each other is joined, for each of
+the windows that selected it, with the first position (by id, then row, then line) at which such a window selected such a
+line: one partner a window, never all pairs. The match is extended from the selected line both ways as long as
+the lines are equal, up to the lines that the row holds; a longer run goes on from its next selected line, at most
+``window`` lines away, so overlapping matches make up the maximal run. All lines of a match are deleted at the later
+position. So the first occurrence of every run stays, and each later copy goes, in the same document too, whatever its
+length from ``window`` lines on.
+
+Everything is DataFrame functions. Lines are compared by 128 bit digests. Fingerprints and windows that more than a
+thousandth of all rows have are fewer than a thousand: these are broadcast, so that a very common line stays in the
+tasks that its rows are in. All others meet in plain joins.
 
 With ``passage_words`` a repeated passage is found by its length too, whatever its neighbours: every single line of so
-many words is a window of its own, and so is a whole text of fewer lines than the window, if it is not empty.
+many words has a row of its own, and so has a whole text of fewer lines than the window, if it is not empty. Their
+matches are extended likewise.
 
 Lines end at line feeds; a null text counts as empty (one empty line). Without ``passage_words`` a text of fewer lines
 than the window stays.
@@ -28,39 +35,63 @@ from quarry.llm.common import carried
 from quarry.session import materialise
 
 WINDOW = 2  # lines
+FREQUENT = 1000  # a key with more than this part of all rows is joined where its rows are
+LINE, TEXT = -1, -2  # in place of the place in a window: a long line, a whole short text
+
 
+def _leading(flags: Column) -> Column:
+    """How many of the flags are true before the first that is false."""
+    first = F.array_position(flags, False).cast("int")
+    return F.when(first == 0, F.size(flags)).otherwise(first - 1)
 
-def _windows(lines: Column, size: int) -> Column:
-    """For each window of the lines: its first line, fingerprint, the fingerprint's place, and its digest."""
-    count = F.size(lines) - size + 1
-    starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
-    def window(start: Column) -> Column:
-        own = F.slice(lines, start + 1, size)
-        # the smallest hash; of equal ones that of the largest place
-        least = F.array_min(F.transform(own, lambda line, at: F.struct(F.xxhash64(line).alias("hash"), (-at).alias("at"))))
+def _positions(digests: Column, long: Column | None, size: int) -> Column:
+    """For each selected line: its place in the text, its digest, the lines before (nearest first) and after it within a
+    window's reach, and the smallest and largest place that it has in the windows that select it."""
+    count, reach = F.size(digests), size - 1
+
+    def position(at: Column) -> Column:
+        own = F.get(digests, at)
+        before = F.reverse(F.slice(digests, F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach))))
+        after = F.slice(digests, at + 2, reach)
+        # the last of equals is selected: lines before may be equal, lines after may not
+        lower = _leading(F.transform(before, lambda line: F.xxhash64(line) >= F.xxhash64(own)))
+        higher = _leading(F.transform(after, lambda line: F.xxhash64(line) > F.xxhash64(own)))
         return F.struct(
-            start.alias("line"), least["hash"].alias("print"), (-least["at"]).alias("place"), F.md5(F.array_join(own, "")).alias("digest")
-        )
+            at.alias("at"), own.alias("own"), before.alias("before"), after.alias("after"),
+            (F.lit(reach) - higher).alias("low"), lower.alias("high"),
+            (F.get(long, at) if long is not None else F.lit(False)).alias("line"),
+            ((at == 0) & (count < size) & ((count > 1) | (own != F.unhex(F.md5(F.lit(""))))) if long is not None else F.lit(False)).alias("text"),
+        )
 
-    return F.transform(starts, window)
+    every = F.transform(F.sequence(F.lit(0), count - 1), position)
+    return F.filter(every, lambda p: (p["low"] <= p["high"]) | p["line"] | p["text"])
 
 
-def _passages(lines: Column, long: Column, size: int) -> Column:
-    """Long single lines, and the whole of a text of fewer lines than a window, in the form of windows, with their span."""
+def _windows(size: int) -> Column:
+    """The windows that select a position: its place in each, and the other lines of each."""
+    none, low, high = F.array().cast("array<binary>"), F.col("low"), F.col("high")
 
-    def passage(at: Column, span: Column, kind: str, text: Column) -> Column:
-        digest = F.md5(F.concat(F.lit(kind), text))
-        return F.struct(
-            at.alias("line"), F.xxhash64(digest).alias("print"), F.lit(0).alias("place"), digest.alias("digest"), span.alias("span")
-        )
+    def window(place: Column | int, before: Column, after: Column) -> Column:
+        place = F.lit(place) if isinstance(place, int) else place
+        return F.struct(place.alias("place"), before.alias("lines_before"), after.alias("lines_after"))
+
+    selecting = F.transform(
+        F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>")),
+        lambda place: window(place, F.slice("before", F.lit(1), place), F.slice("after", F.lit(1), F.lit(size - 1) - place)),
+    )
+    nothing = F.filter(F.array(window(LINE, none, none)), lambda _: F.lit(False))
+    line = F.when(F.col("line"), F.array(window(LINE, none, none))).otherwise(nothing)
+    text = F.when(F.col("text"), F.array(window(TEXT, none, F.col("after")))).otherwise(nothing)
+    return F.concat(selecting, line, text)
 
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    single = F.filter(every, lambda at: F.get(long, at))
-    single = F.transform(single, lambda at: passage(at, F.lit(1), "line", F.get(lines, at)))
-    whole = F.array(passage(F.lit(0), F.size(lines), "text", F.array_join(lines, "")))
-    empty = (F.size(lines) == 1) & (F.get(lines, F.lit(0)) == F.md5(F.lit("")))
-    return F.when((F.size(lines) < size) & ~empty, F.concat(single, whole)).otherwise(single)
+
+def _meet(rows: DataFrame, found: DataFrame, key: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``found`` (one row a key, with the number ``n`` of rows that have it)."""
+    often = F.col("n") > rows.count() / FREQUENT
+    hot = F.broadcast(found.filter(often))  # fewer than FREQUENT rows
+    rest = rows.join(hot.select(*key), key, "left_anti")
+    return rows.join(hot, key, how).unionByName(rest.join(found.filter(~often), key, how))
 
 
 def dedup_lines(
@@ -74,33 +105,30 @@ def dedup_lines(
             F.col(f"`{id_column}`").alias("id"),
             lines.alias("lines"),
             # a column of the table, so that each line is digested once
-            F.transform(lines, lambda line: F.md5(line)).alias("digests"),
+            F.transform(lines, lambda line: F.unhex(F.md5(line))).alias("digests"),
             *([F.transform(lines, lambda line: F.size(F.split(F.trim(line), r"\s+")) >= passage_words).alias("long")] if passage_words else []),
             carried(df, [c for c in df.columns if c != text_column]).alias("carried"),
         ),
         "lines",
     )
-    windows, span = _windows(F.col("digests"), window), F.lit(window)
-    if passage_words:
-        windows = F.transform(windows, lambda w: F.struct(*[w[c].alias(c) for c in ("line", "print", "place", "digest")], span.alias("span")))
-        windows, span = F.concat(windows, _passages(F.col("digests"), F.col("long"), window)), F.col("span")
-    found = docs.select("number", "id", F.inline(windows))
-    found = materialise(found, "lines")
-    # a fingerprint that several windows in a row share is one
-    selected = found.select("print", "number", (F.col("line") + F.col("place")).alias("at"))
-    repeated = (
-        selected.groupBy("print")
-        .agg(F.min(F.struct("number", "at")).alias("first"), F.max(F.struct("number", "at")).alias("last"))
-        .filter("first <> last")
-        .select("print")
+    long = F.col("long") if passage_words else None
+    selected = materialise(docs.select("number", "id", F.inline(_positions(F.col("digests"), long, window))), "lines")
+    repeated = materialise(selected.groupBy("own").agg(F.count("*").alias("n")).filter("n > 1"), "lines")
+    candidates = _meet(selected, repeated, ["own"], "left_semi")
+    candidates = materialise(
+        candidates.select("number", "id", "at", "own", "before", "after", F.inline(_windows(window))), "lines"
+    )
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "number", "at")
+    key = ["own", "place", "lines_before", "lines_after"]
+    first = candidates.groupBy(*key).agg(
+        F.min(F.struct(order.alias("order"), "before", "after")).alias("first"), F.count("*").alias("n")
     )
-    matched = materialise(found.join(repeated, "print", "left_semi"), "lines")
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "number", "line")
-    key = ["print", "place", "digest"]
-    first = matched.groupBy(*key).agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    later = matched.join(first, key).filter(order != F.col("first"))
-    gone = later.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("line", span.alias("span")))).alias("starts"))
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s["line"], s["line"] + s["span"] - 1))))
+    first = materialise(first.filter("n > 1"), "lines")
+    later = _meet(candidates, first, key).filter(order != F.col("first.order"))
+    same = lambda side: _leading(F.zip_with(side, f"first.{side}", lambda own, other: own.eqNullSafe(other)))
+    matches = later.select("number", (F.col("at") - same("before")).alias("start"), (F.col("at") + same("after")).alias("end"))
+    gone = matches.groupBy("number").agg(F.collect_set(F.struct("start", "end")).alias("matches"))
+    covered = F.array_distinct(F.flatten(F.transform("matches", lambda m: F.sequence(m["start"], m["end"]))))
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     placed = docs.drop("digests", "long").join(gone, "number", "left").withColumn(
         "covered", F.coalesce(covered, F.array().cast("array<int>"))

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup, line_dedup, simhash, suffix_dedup
 from quarry.llm.components import components
@@ -170,6 +171,28 @@ def test_lines_equal_brute_force(documents, collected, size):
     assert all(r.n_runs <= r.n_removed <= r.n_lines for r in found)
 
 
+@pytest.mark.parametrize("size", [2, 4])
+def test_lines_among_few_and_very_frequent_ones(spark, size):
+    draw = random.Random(5)
+    texts = ["\n".join(draw.choice("aaaaaabcd") for _ in range(draw.randrange(30))) for _ in range(60)]
+    texts += ["a\n" * 3000, "b\n".join(texts[:20])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = {r.carried.doc_id: r.text for r in line_dedup.dedup_lines(docs, window=size).collect()}
+    assert [found[i] for i in range(len(texts))] == plain_line_dedup(docs.orderBy("doc_id").collect(), size)
+
+
+def test_a_line_is_selected_once_and_every_window_selects_one(spark):
+    lines = [hashlib.md5(str(i % 7).encode()).digest() for i in range(50)]
+    docs = spark.createDataFrame([(lines,)], "digests array<binary>")
+    for size in (1, 2, 5):
+        rows = docs.select(F.inline(line_dedup._positions(F.col("digests"), None, size))).collect()
+        starts = sorted(r["at"] - place for r in rows for place in range(r.low, r.high + 1))
+        assert starts == list(range(len(lines) - size + 1))
+        assert len({r["at"] for r in rows}) == len(rows)
+        for r in rows:
+            assert [*r.before[::-1], r.own, *r.after] == lines[max(0, r["at"] - size + 1) : r["at"] + size]
+
+
 def test_long_passages_are_found_between_other_lines(spark):
     passage, short = " ".join(f"word{i}" for i in range(60)), "a line of few words"
     texts = [f"one\n{passage}\ntwo", f"three\n{passage}\n{short}\nfour", f"five\n{short}\nsix", passage, short, short, "", ""]
