@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.sources.folder import all_columns, has_files, read_folder
+from quarry.sources.folder import has_files, read_folder
+from quarry.sources.footers import read_recorded, record
 from quarry.sources.generations import BATCH, GENERATION, read_generations, schemas
 from quarry.sources.registry import with_lineage
 
@@ -65,12 +66,19 @@ class Lake:
         if schemas(df.sparkSession, path):
             raise ValueError(f"{source}.{table} is fed by a stream; its batches are written by ingest_new_files")
         if mode == "append":
-            return _write(dated, path, "append", PARTITIONS, measures)
-        if mode == "replace_day":
-            return _write(
+            written = _write(dated, path, "append", PARTITIONS, measures)
+        elif mode == "replace_day":
+            written = _write(
                 dated, path, "overwrite", PARTITIONS, measures, partitionOverwriteMode="dynamic"
             )
-        raise ValueError(f"raw write mode {mode!r}; use 'append' or 'replace_day'")
+        else:
+            raise ValueError(f"raw write mode {mode!r}; use 'append' or 'replace_day'")
+        record(df.sparkSession, path)
+        return written
+
+    def record_raw(self, spark: SparkSession, source: str, table: str) -> None:
+        """Record the schemas of files that others wrote, so that reads need not open their footers."""
+        record(spark, self.raw_path(source, table))
 
     def read_raw(
         self,
@@ -85,26 +93,27 @@ class Lake:
 
         The bounds are also put on the partition columns, so other days are not listed for
         reading. Columns of all batches are read; ``lenient`` also takes columns whose types
-        differ between batches, which are an error otherwise. A streamed table has its schemas
-        recorded, so neither needs a footer.
+        differ between batches, which are an error otherwise. The schemas of batches are recorded
+        when they are written, by streams too, so their footers are not opened again.
         """
         path = self.raw_path(source, table)
+        day, stamp = F.make_date(*[F.col(p).cast("int") for p in PARTITIONS]), F.col("_ingestion_timestamp")
+        days, times = F.lit(True), F.lit(True)
+        if date_from:
+            bound = F.lit(date_from).cast("timestamp")
+            days, times = days & (day >= bound.cast("date")), times & (stamp >= bound)
+        if date_to:
+            bound = F.lit(date_to).cast("timestamp")
+            days, times = days & (day <= bound.cast("date")), times & (stamp <= bound)
+        bounded = bool(date_from or date_to)
         df = read_generations(spark, path, PARTITIONS)
         if df is not None:
             df = df.drop(GENERATION, BATCH)
         else:
-            df = read_folder(spark, path, base_path=path) if lenient else all_columns(spark).parquet(path)
+            df = read_recorded(spark, path, lenient, days if bounded else None)
         if df is None:
             raise FileNotFoundError(f"no raw files for {source}.{table}")
-        day = F.make_date(*[F.col(p).cast("int") for p in PARTITIONS])
-        stamp = F.col("_ingestion_timestamp")
-        if date_from:
-            bound = F.lit(date_from).cast("timestamp")
-            df = df.where((day >= bound.cast("date")) & (stamp >= bound))
-        if date_to:
-            bound = F.lit(date_to).cast("timestamp")
-            df = df.where((day <= bound.cast("date")) & (stamp <= bound))
-        return df
+        return df.where(days & times) if bounded else df
 
     def register_raw_views(
         self, spark: SparkSession, tables: dict[str, tuple[str, str]], lenient: bool = True

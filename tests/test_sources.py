@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from quarry.plans.runlog import RunLog
 from quarry.plans.runner import run_extraction, run_pipeline
 from quarry.session import materialise
-from quarry.sources import files, mirror
+from quarry.sources import files, footers, mirror
 from quarry.sources.csv import csv_schema, read_csv
 from quarry.sources.csv_records import csv_lines
 from quarry.sources.files import compact_files
-from quarry.sources.folder import common_type, csv_headers, list_files, nested_to_json, read_folder
+from quarry.sources.folder import common_type, csv_headers, list_files, nested_to_json, parquet_footers, read_folder
 from quarry.sources.generations import schemas
 from quarry.sources.jdbc import jdbc_options, newer_than
 from quarry.sources.layers import Lake, ingest_folders
@@ -224,6 +224,36 @@ def test_raw_read_lenient_keeps_partitions(spark, tmp_path):
     assert sorted(r["a"] for r in df.collect()) == [1.0, 2.5]
 
 
+def test_raw_read_opens_no_recorded_footer(spark, tmp_path, monkeypatch):
+    lake, path = Lake(str(tmp_path)), str(tmp_path / "raw/s/t")
+    lake.write_raw(spark.sql("SELECT 1L AS a"), "s", "t")
+    lake.write_raw(spark.sql("SELECT 2.5D AS a, 'x' AS b, array(1) AS c"), "s", "t")
+    opened = []
+    monkeypatch.setattr(footers, "parquet_footers", lambda files: opened.append(files.count()) or parquet_footers(files))
+    df = lake.read_raw(spark, "s", "t", lenient=True)
+    assert sorted((r["a"], r["b"], r["c"]) for r in df.collect()) == [(1.0, None, None), (2.5, "x", "[1]")]
+    assert opened == []
+    with pytest.raises(ValueError, match="'a' is"):
+        lake.read_raw(spark, "s", "t")
+    # another writer's file: its footer alone is read, until it is recorded
+    today = spark.sql("SELECT 7L AS a, current_timestamp() AS _ingestion_timestamp, '2031' AS year, '01' AS month, '02' AS day")
+    today.write.mode("append").partitionBy("year", "month", "day").parquet(path)
+    assert lake.read_raw(spark, "s", "t", lenient=True).count() == 3 and opened == [1]
+    lake.record_raw(spark, "s", "t")
+    assert lake.read_raw(spark, "s", "t", lenient=True).count() == 3 and opened == [1, 1]
+    assert spark.read.parquet(path + "/_files").count() == spark.read.parquet(path + "/_files").dropDuplicates(["path"]).count()
+
+
+def test_raw_read_of_some_days_plans_their_files_only(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    day = "SELECT {} AS a, timestamp '2024-01-0{} 10:00:00' AS _ingestion_timestamp"
+    for value, number in (("1L", 1), ("'two'", 2), ("3L", 3)):
+        lake.write_raw(spark.sql(day.format(value, number)), "s", "t")
+    found = lake.read_raw(spark, "s", "t", "2024-01-03", lenient=True)
+    # the type is that of all days
+    assert [r["a"] for r in found.collect()] == ["3"] and len(found.inputFiles()) == 1
+
+
 def test_raw_views(spark, people, tmp_path):
     lake = Lake(str(tmp_path))
     with pytest.raises(FileNotFoundError):
