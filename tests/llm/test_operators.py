@@ -42,6 +42,33 @@ def test_held_out_accuracy(documents, network):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def plain_probabilities(network, text):
+    """The forward pass with loops: every filter at every byte of every window, maximum, softmax, mean over the text's bytes."""
+    data, sums = text.encode(), np.zeros(len(network.labels))
+    width_of = [w for w in language_id.WIDTHS for _ in range(language_id.FILTERS)]
+    rows, _, sizes = language_id.windows([data])
+    for row, size in zip(rows, sizes, strict=True):
+        seen = [network.embedding[b] for b in [*row, *[0] * max(language_id.WIDTHS)]]
+        hidden = []
+        for f, width in enumerate(width_of):
+            weights = network.filters[:, f].reshape(-1, language_id.EMBEDDING)[:width]
+            best = max(sum(float(weights[k] @ seen[at + k]) for k in range(width)) for at in range(len(row)))
+            hidden.append(max(best + float(network.bias[f]), 0))
+        scores = np.array(hidden) @ network.out + network.out_bias
+        scores = np.exp(scores - scores.max())
+        sums += size * scores / scores.sum()
+    return sums / sizes.sum()
+
+
+def test_predictions_equal_plain_loops(spark, network):
+    texts = ["a short one", "äöü und ß", "x" * 700, "the cat sat on the mat. " * 15]
+    found = language_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), network)
+    for r in found.collect():
+        expected = plain_probabilities(network, texts[r.carried.doc_id])
+        assert r.lang_pred == network.labels[int(expected.argmax())]
+        assert r.score == pytest.approx(expected.max(), abs=1e-4)
+
+
 def test_texts_without_letters(documents, network, nothing, clashing):
     found = {r.carried.doc_id: r for r in language_id.identify(documents, network).collect()}
     assert [found[i].lang_pred for i in (900_001, 900_002, 900_003, 900_012)] == ["und"] * 4
