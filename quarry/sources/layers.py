@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -131,7 +132,7 @@ class Lake:
     # --- staging and consume -------------------------------------------------------------
 
     def write_staging(self, df: DataFrame, table: str, domain: str = "default") -> Written:
-        return _write(df, self.staging_path(table, domain), "overwrite")
+        return _replace(df, self.staging_path(table, domain))
 
     def read_staging(self, spark: SparkSession, table: str, domain: str = "default") -> DataFrame:
         return spark.read.parquet(self.staging_path(table, domain))
@@ -139,7 +140,7 @@ class Lake:
     def write_consume(self, df: DataFrame, table: str, use_case: str = "bi") -> Written:
         """Technical columns (leading underscore) do not reach this layer."""
         business = df.drop(*[c for c in df.columns if c.startswith("_")])
-        return _write(business, self.consume_path(table, use_case), "overwrite")
+        return _replace(business, self.consume_path(table, use_case))
 
     def read_consume(self, spark: SparkSession, table: str, use_case: str = "bi") -> DataFrame:
         return spark.read.parquet(self.consume_path(table, use_case))
@@ -165,6 +166,36 @@ def _write(
     return Written(path, found.pop("rows"), found)
 
 
+def _replace(df: DataFrame, path: str) -> Written:
+    """Put a table in the place of an earlier one once it is complete; a job that fails leaves the earlier one.
+
+    It is written to a hidden folder beside the table, and both change places by renames. ``df`` may read the table.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    above, _, name = path.rstrip("/").rpartition("/")
+    fresh, earlier = f"{above}/_new-{name}-{mark}", f"{above}/_old-{name}-{mark}"
+    location = spark._jvm.org.apache.hadoop.fs.Path
+    files = location(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def move(source: str, target: str) -> None:
+        if not files.rename(location(source), location(target)):
+            raise OSError(f"{source} could not be renamed to {target}")
+
+    try:
+        written = _write(df, fresh, "errorifexists")
+    except BaseException:
+        files.delete(location(fresh), True)
+        raise
+    replaced = files.exists(location(path))
+    if replaced:
+        move(path, earlier)
+    move(fresh, path)
+    if replaced:
+        files.delete(location(earlier), True)
+    spark.catalog.refreshByPath(path)
+    return Written(path, written.rows, written.measures)
+
+
 def ingest_folders(
     spark: SparkSession, lake: Lake, source: str, folders: dict[str, dict], mode: str = "append"
 ) -> dict[str, int]:

@@ -271,6 +271,20 @@ def test_layer_paths_and_internal_columns(spark, people, tmp_path):
     assert "_x" not in lake.read_consume(spark, "clientes", "ml").columns
 
 
+def test_a_table_is_replaced_when_its_successor_is_complete(spark, people, tmp_path):
+    lake = Lake(str(tmp_path))
+    lake.write_staging(people, "clientes")
+    broken = people.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="broken"):
+        lake.write_staging(broken, "clientes")
+    assert lake.read_staging(spark, "clientes").count() == 5
+    # from itself
+    written = lake.write_staging(lake.read_staging(spark, "clientes").where("id > 1"), "clientes")
+    assert written.path == lake.staging_path("clientes") and written.rows == 4
+    assert lake.read_staging(spark, "clientes").count() == 4
+    assert [p.name for p in (tmp_path / "staging/default").iterdir()] == ["clientes"]
+
+
 def test_ingest_folders_skips_empty(spark, people, tmp_path):
     people.write.parquet(str(tmp_path / "in/people"))
     (tmp_path / "in/empty").mkdir(parents=True)
