@@ -27,18 +27,38 @@ TYPE_NAMES = {
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
+# All texts that convert to a type have its form (numbers are decimal, hexadecimal, or a word).
+_BLANK = r"[\x00-\x20\x7f]*"
+FORMS = {
+    "int": rf"^{_BLANK}[+-]?0*[0-9]{{0,10}}{_BLANK}$",
+    "bigint": rf"^{_BLANK}[+-]?0*[0-9]{{0,19}}{_BLANK}$",
+    "double": rf"(?i)^{_BLANK}[+-]?(?:[0-9]*\.?[0-9]*(?:e[+-]?[0-9]+)?[fd]?|0x[0-9a-f]*\.?[0-9a-f]*p[+-]?[0-9]+[fd]?"
+    rf"|nan|inf|infinity){_BLANK}$",
+    "boolean": rf"(?i)^{_BLANK}(?:t|true|y|yes|1|f|false|n|no|0){_BLANK}$",
+}
+
 
 def spark_type(name: str) -> str:
     return TYPE_NAMES.get(name.strip().upper(), name.strip().lower())
 
 
+def try_text(c: Column, target: str) -> Column:
+    """A text in this type or NULL.
+
+    A text that does not convert costs an exception in the cast, far more than all else done with its row, so such texts
+    are told by their form first.
+    """
+    return F.when(c.rlike(FORMS[target]), c.try_cast(target)) if target in FORMS else c.try_cast(target)
+
+
 def try_double(c: Column) -> Column:
-    return c.try_cast("double")
+    """Double or NULL, of any type."""
+    return F.when((F.typeof(c) != "string") | c.cast("string").rlike(FORMS["double"]), c.try_cast("double"))
 
 
 def try_int(c: Column) -> Column:
     """Integer or NULL; a fractional text such as '2.7' rounds half away from zero."""
-    return F.round(c.try_cast("double")).try_cast("int")
+    return F.round(try_double(c)).try_cast("int")
 
 
 def try_timestamp(c: Column) -> Column:
@@ -58,12 +78,12 @@ def strict_cast(c: Column, source: T.DataType, target: str) -> Column:
 
 
 def from_cents(c: Column) -> Column:
-    return c.try_cast("double") / F.lit(100.0)
+    return try_double(c) / F.lit(100.0)
 
 
 def coordinate(c: Column) -> Column:
     """Latitude or longitude; zero stands for unknown."""
-    return F.nullif(c.try_cast("double"), F.lit(0.0))
+    return F.nullif(try_double(c), F.lit(0.0))
 
 
 def country_code(c: Column) -> Column:
