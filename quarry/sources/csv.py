@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.casts import try_text
+from quarry.session import materialise
 from quarry.sources.csv_records import QUOTE, file_headers, has_broken_lines, read_by_header
 
 # Narrowest first; text is the fallback.
@@ -68,7 +70,10 @@ def read_csv(
             text = read_by_header(spark, path, delimiter, header, encoding, skip_rows, broken)
             if schema:
                 return with_types(text, schema, header)
-            return narrow_text(text, sampling_ratio) if text.columns else text
+            if not text.columns:
+                return text
+            # lines are brought together by shuffles, which the passes over types and values would both do
+            return narrow_text(materialise(text, "csv-records") if broken else text, sampling_ratio)
         if schema and header and kinds:
             # the parser reads by position: types in the order of the header, then columns by name
             wanted = {f.name: f for f in T.StructType.fromDDL(schema)}
@@ -118,7 +123,7 @@ def narrow_text(df: DataFrame, sampling_ratio: float = 1.0, keep: tuple[str, ...
     for c in (c for c in df.columns if c not in keep):
         tests.append(F.count(F.col(f"`{c}`")).alias(f"{c}|values"))
         for t in CANDIDATES:
-            misfit = F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull()
+            misfit = F.col(f"`{c}`").isNotNull() & try_text(F.col(f"`{c}`"), t).isNull()
             tests.append(F.count_if(misfit).alias(f"{c}|{t}"))
     found = sample.agg(*tests).first().asDict()
     selected = []
