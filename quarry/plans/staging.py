@@ -13,7 +13,7 @@ from quarry.functions import kpi
 from quarry.functions.casts import (
     coordinate, country_code, try_double, try_int, try_timestamp,
 )
-from quarry.functions.documents import parse_object
+from quarry.functions.documents import computed, parse_object
 from quarry.functions.keys import address_key, place_key
 from quarry.operators.dedup import best_row, latest_version
 from quarry.plans.channels import (
@@ -53,14 +53,10 @@ def canal(spark: SparkSession) -> DataFrame:
 
 def cliente(raw: Raw) -> DataFrame:
     """One row per channel customer; a known e-mail wins."""
-    people = (
-        order_documents(raw)
-        .where("tiene_cliente and cliente_id_origen is not null")
-        .select("canal", "cliente_id_origen", "email", "nombre", "apellido", "telefono")
-        .distinct()
-    )
+    columns = ["canal", "cliente_id_origen", "email", "nombre", "apellido", "telefono"]
+    people = computed(order_documents(raw).where("tiene_cliente").select(*columns)).where("cliente_id_origen is not null")
     chosen = best_row(
-        people, ["canal", "cliente_id_origen"], _asc("email", "nombre", "apellido", "telefono")
+        people, ["cliente_id_origen", "canal"], _asc("email", "nombre", "apellido", "telefono")
     )
     key = scoped_key(F.col("canal"), F.col("cliente_id_origen"))
     return chosen.select(key.alias("cliente_id"), *people.columns)
@@ -73,12 +69,11 @@ def producto(raw: Raw) -> DataFrame:
         .where("producto_id_origen is not null")
         .select(
             "canal", "producto_id_origen", F.col("nombre_producto").alias("nombre"),
-            "categoria_id", "precio_unitario", "moneda",
+            "categoria_id", (F.col("precio_unitario") + F.lit(0.0)).alias("precio_unitario"), "moneda",
         )
-        .distinct()
     )
     chosen = best_row(
-        offers, ["canal", "producto_id_origen"],
+        offers, ["producto_id_origen", "canal"],
         _asc("precio_unitario", "nombre", "categoria_id", "moneda"),
     )
     key = scoped_key(F.col("canal"), F.col("producto_id_origen"))
@@ -110,7 +105,7 @@ def direccion(raw: Raw) -> DataFrame:
             unknown.alias("latitud"), unknown.alias("longitud"), F.col("canal").alias("fuente"),
         )
     )
-    places = shipped.unionByName(ordered).where("ciudad is not null or cp is not null").distinct()
+    places = computed(shipped.unionByName(ordered)).where("ciudad is not null or cp is not null")
     key = address_key(*[F.col(c) for c in ("calle", "altura", "ciudad", "cp", "pais")])
     return best_row(
         places.select(key.alias("direccion_id"), *places.columns),
@@ -187,7 +182,7 @@ def ubicacion_geo(raw: Raw, direccion_geocodificada: DataFrame) -> DataFrame:
         )
     )
     places = (
-        from_shipments.unionByName(from_orders).unionByName(from_stores)
+        computed(from_shipments.unionByName(from_orders).unionByName(from_stores))
         .where("ciudad is not null or cp is not null")
         .distinct()
     )
@@ -224,7 +219,7 @@ def pedido(raw: Raw) -> DataFrame:
         "canal_id", "canal", "orden_id_origen", "version", "status", "monto_total",
         "fecha_creacion", "fecha_actualizacion", "fecha_cierre", own_address.alias("own_address"),
     )
-    orders = latest_version(documents, ["canal", "orden_id_origen"], "version")
+    orders = latest_version(documents, ["orden_id_origen", "canal"], "version")
     shipped = (
         raw["type_6"].where("receiver_address is not null")
         .select("order_id", "last_updated", _address("receiver_address").alias("a"))
@@ -457,7 +452,7 @@ def cliente_pedido(raw: Raw) -> DataFrame:
         "canal", "orden_id_origen", "version", "cliente_id_origen", "monto_total",
         F.col("fecha_creacion").alias("fecha_pedido"), "status",
     )
-    newest = latest_version(documents, ["canal", "orden_id_origen"], "version")
+    newest = latest_version(documents, ["orden_id_origen", "canal"], "version")
     return newest.select(
         scoped_key(F.col("canal"), F.col("cliente_id_origen")).alias("cliente_id"),
         scoped_key(F.col("canal"), F.col("orden_id_origen")).alias("pedido_id"),
@@ -489,11 +484,14 @@ def cliente_ubicacion_geo(raw: Raw) -> DataFrame:
     Both sides of the shipment-to-order match are reduced to distinct pairs first, so copies
     of one order cannot multiply.
     """
-    documents = order_documents(raw).where("tiene_cliente and cliente_id_origen is not null")
+    documents = order_documents(raw).where("tiene_cliente")
     customer = scoped_key(F.col("canal"), F.col("cliente_id_origen"))
+    bought = documents.where(F.col("canal") == MELI).select(
+        "orden_id_origen", customer.alias("cliente_id"), "fecha_creacion"
+    )
     buyers = (
-        documents.where(F.col("canal") == MELI)
-        .groupBy("orden_id_origen", customer.alias("cliente_id"))
+        computed(bought).where("cliente_id is not null")
+        .groupBy("orden_id_origen", "cliente_id")
         .agg(F.max("fecha_creacion").alias("fecha"))
     )
     shipped = (
@@ -515,7 +513,7 @@ def cliente_ubicacion_geo(raw: Raw) -> DataFrame:
         F.col("fecha_creacion").alias("fecha"),
     )
     return (
-        delivered.unionByName(ordered)
+        delivered.unionByName(computed(ordered).where("cliente_id is not null"))
         .groupBy("cliente_id", "ubicacion_id")
         .agg(F.max("fecha").alias("fecha_ultimo_pedido"))
         .select("cliente_id", "ubicacion_id", F.lit("destino").alias("tipo"), "fecha_ultimo_pedido")

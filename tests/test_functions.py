@@ -80,3 +80,25 @@ def test_explode_documents(spark, rows):
         out, "id", "posicion"
     ) == [(1, 0), (1, 1), (1, 2), (1, 3)]
     assert {r["a"] for r in out.select("item.a").collect()} == {"1", "2", None}
+
+
+def test_texts_are_told_by_their_form_before_a_cast(spark):
+    texts = ["1", "+1", " 1 ", "007", "2147483648", "1.5", ".5", "1.", "1e5", "1d", "0x1p3", "nan", "-Infinity", "inf", "",
+             ".", "F", "true", "Y", "no", "1-URGENT", "1996-01-02", "1996-01-02 03:04:05", "1\x7f", "\x001", "\u0661", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in ("int", "bigint", "double", "date", "timestamp_ntz", "boolean"):
+        pairs = df.select(F.col("v").try_cast(kind).alias("a"), casts.try_text(F.col("v"), kind).alias("b"))
+        assert pairs.where("not a <=> b").isEmpty(), kind
+    for c in (F.lit(True), F.lit(2), F.lit(2.5), F.lit("2.5"), F.lit("x")):
+        found = spark.range(1).select(c.try_cast("double").alias("a"), casts.try_double(c).alias("b")).first()
+        assert found["a"] == found["b"]
+    # a text of another form does not reach the cast
+    plan = df.select(casts.try_double(F.col("v")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan
+
+
+def test_conditions_on_elements_parse_no_document_twice(spark):
+    df = spark.createDataFrame([(1, '[{"a": "x"}, {"b": 1}, 5]'), (2, None)], "id long, items string")
+    out = explode_documents(df, "items", "a string, b string").where("item.a is not null or item.b is not null")
+    assert [(r["id"], r["posicion"], r["item"]["a"], r["item"]["b"]) for r in out.collect()] == [(1, 0, "x", None), (1, 1, None, "1")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2

@@ -189,3 +189,9 @@ def test_build_models_twice_gives_the_same_tables(spark, raw, rows, tmp_path):
     assert summary[md5("vtex|u1")]["estado_cliente"] == "Activo"
     assert summary[md5("garbarino|g1")]["estado_cliente"] == "Inactivo"
     assert sum(r[3] for r in daily) == 5
+
+
+def test_documents_are_parsed_once(raw):
+    for model, documents in ((staging.direccion, 3), (staging.cliente, 3), (staging.producto, 6), (staging.cliente_ubicacion_geo, 4)):
+        plan = model(raw)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == documents, model.__name__
