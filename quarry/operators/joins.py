@@ -32,16 +32,23 @@ def keep_unmatched(
     return df.join(keys, _same(on, "__match", unique), "left_anti")
 
 
-def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def left_join_many(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+    left_keys: DataFrame | None = None, right_keys: DataFrame | None = None,
+) -> DataFrame:
     """Left join of a table with unique keys to a table that may hold very many rows of one key.
 
     Spark can split a hot key on either side of an inner join, but not on the right side of a
-    left join; so the matched rows come from an inner join and the others are added.
+    left join; so the keys that have no row on the right get one, and one inner join takes both sides.
+    ``left_keys`` (these keys or more) and ``right_keys`` are tables with the key columns that are cheaper to compute.
     """
-    present = right.where(F.col(right_key).isNotNull())
-    matched = left.join(present, _same(left_key, right_key, unique=False))
-    missing = keep_unmatched(left, right, left_key, right_key, unique=True)
-    return matched.unionByName(missing, allowMissingColumns=True)
+    present = right.where(F.col(right_key).isNotNull()).withColumn("__present", F.lit(True))
+    keys = (left if left_keys is None else left_keys).select(left_key)
+    unmatched = keep_unmatched(keys, right if right_keys is None else right_keys, left_key, right_key)
+    missing = unmatched.distinct().select(F.col(left_key).alias(right_key), F.lit(False).alias("__present"))
+    joined = left.join(present.unionByName(missing, allowMissingColumns=True), _same(left_key, right_key, unique=False))
+    key = F.when(F.col("__present"), F.col(right_key)).alias(right_key)
+    return joined.select(*left.columns, *[key if c == right_key else c for c in right.columns])
 
 
 def _same(left: str, right: str, unique: bool) -> Column:

@@ -7,6 +7,7 @@ orders without lines have empty item arrays.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,14 +32,17 @@ def _stamp(c: Column, suffix: str) -> Column:
 
 def people(spark: SparkSession, sf: str) -> DataFrame:
     """Customers with place, address and e-mail."""
+    return with_places(spark, sf, table(spark, sf, "customer"))
+
+
+def with_places(spark: SparkSession, sf: str, customers: DataFrame) -> DataFrame:
+    """Place, address and e-mail added to rows with customer columns; other columns stay."""
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    joined = (
-        table(spark, sf, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    joined = customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+        region, F.col("n_regionkey") == F.col("r_regionkey")
     )
     return joined.select(
-        "c_custkey", "c_name", "c_mktsegment", "n_nationkey", "n_name", "r_name",
+        *customers.columns, "n_nationkey", "n_name", "r_name",
         country().alias("country"),
         F.lpad(text("n_nationkey"), 4, "0").alias("cp"),
         F.when(F.col("c_custkey") % 11 != 0, F.concat(F.lit("c"), text("c_custkey"), F.lit("@example.com"))).alias(
@@ -65,6 +69,16 @@ def longitude(c: str = "n_nationkey") -> Column:
     return F.when(F.col(c) % 7 != 6, known).otherwise(F.lit(0.0))
 
 
+def _lines(spark: SparkSession, sf: str, channel: int | None) -> DataFrame:
+    """The lines with the stretch of a file, ``document``, that they lie in."""
+    lines = table(spark, sf, "lineitem")
+    if channel is not None:
+        lines = lines.where(F.col("l_orderkey") % 3 == channel)
+    return lines.withColumn(
+        "document", F.xxhash64("_metadata.file_path", F.shiftright("_metadata.row_index", STRETCH_BITS))
+    )
+
+
 def line_documents(
     spark: SparkSession, sf: str, channel: int | None, element: Column
 ) -> DataFrame:
@@ -73,12 +87,8 @@ def line_documents(
     The lines that lie in one stretch of a file make one document, so that none has more lines than a stretch has
     rows, however many the order has.
     """
-    lines = table(spark, sf, "lineitem")
-    if channel is not None:
-        lines = lines.where(F.col("l_orderkey") % 3 == channel)
-    stretch = F.xxhash64("_metadata.file_path", F.shiftright("_metadata.row_index", STRETCH_BITS))
     return (
-        lines.withColumn("document", stretch)
+        _lines(spark, sf, channel)
         .groupBy("l_orderkey", "document")
         .agg(F.to_json(F.collect_list(element)).alias("elements"))
         .drop("document")
@@ -86,13 +96,29 @@ def line_documents(
 
 
 def _orders(spark: SparkSession, sf: str, channel: int) -> DataFrame:
+    return with_places(spark, sf, _bought(spark, sf, channel))
+
+
+def _bought(spark: SparkSession, sf: str, channel: int) -> DataFrame:
+    """Orders with the columns of their customers."""
     orders = table(spark, sf, "orders").where(F.col("o_orderkey") % 3 == channel)
-    return orders.join(people(spark, sf), F.col("o_custkey") == F.col("c_custkey"))
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+
 
+def _with_lines(spark: SparkSession, sf: str, channel: int, element: Callable[[Column], Column]) -> DataFrame:
+    """The channel's orders with a row for each of their line documents.
 
-def _with_lines(orders: DataFrame, documents: DataFrame) -> DataFrame:
-    return left_join_many(orders, documents, "o_orderkey", "l_orderkey").withColumn(
-        "elements", F.coalesce("elements", F.lit("[]"))
+    Lines and orders are shuffled in the columns of the tables; texts and places are made of them after the last join.
+    """
+    line = F.struct("l_partkey", "l_quantity", "l_extendedprice")
+    lines = _lines(spark, sf, channel)
+    documents = lines.groupBy("l_orderkey", "document").agg(F.collect_list(line).alias("lines")).drop("document")
+    orders = _bought(spark, sf, channel)
+    keys = table(spark, sf, "orders").where(F.col("o_orderkey") % 3 == channel)
+    joined = left_join_many(orders, documents, "o_orderkey", "l_orderkey", keys, lines)
+    return with_places(spark, sf, joined).withColumn(
+        "elements", F.coalesce(F.to_json(F.transform("lines", element)), F.lit("[]"))
     )
 
 
@@ -102,13 +128,13 @@ def _token_or(c: Column) -> Column:
 
 
 def vtex_pedido(spark: SparkSession, sf: str) -> DataFrame:
-    element = F.struct(
-        text("l_partkey").alias("productId"),
-        F.concat(F.lit("Part "), text("l_partkey")).alias("name"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.floor(F.col("l_extendedprice") * 100).alias("sellingPrice"),
+    element = lambda line: F.struct(
+        text(line["l_partkey"]).alias("productId"),
+        F.concat(F.lit("Part "), text(line["l_partkey"])).alias("name"),
+        line["l_quantity"].cast("int").alias("quantity"),
+        F.floor(line["l_extendedprice"] * 100).alias("sellingPrice"),
     )
-    docs = _with_lines(_orders(spark, sf, 0), line_documents(spark, sf, 0, element))
+    docs = _with_lines(spark, sf, 0, element)
     place = F.struct(
         F.col("street"), F.col("door").alias("number"), F.col("n_name").alias("city"),
         F.col("r_name").alias("state"), F.col("cp").alias("postalCode"), "country",
@@ -135,17 +161,17 @@ def vtex_pedido(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def meli_pedido(spark: SparkSession, sf: str) -> DataFrame:
-    element = F.struct(
+    element = lambda line: F.struct(
         F.struct(
-            F.concat(F.lit("P"), text("l_partkey")).alias("id"),
-            F.concat(F.lit("Part "), text("l_partkey")).alias("title"),
-            F.concat(F.lit("CAT"), text(F.col("l_partkey") % 10)).alias("category_id"),
+            F.concat(F.lit("P"), text(line["l_partkey"])).alias("id"),
+            F.concat(F.lit("Part "), text(line["l_partkey"])).alias("title"),
+            F.concat(F.lit("CAT"), text(line["l_partkey"] % 10)).alias("category_id"),
         ).alias("item"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_extendedprice").alias("unit_price"),
+        line["l_quantity"].alias("quantity"),
+        line["l_extendedprice"].alias("unit_price"),
         F.lit("ARS").alias("currency_id"),
     )
-    docs = _with_lines(_orders(spark, sf, 1), line_documents(spark, sf, 1, element))
+    docs = _with_lines(spark, sf, 1, element)
     closed = F.when(
         F.col("o_orderstatus") == "F", _stamp(F.col("o_orderdate") + F.expr("interval 5 days"), ".000-04:00")
     )
@@ -170,13 +196,13 @@ def meli_pedido(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def garbarino_pedido(spark: SparkSession, sf: str) -> DataFrame:
-    element = F.struct(
-        F.col("l_partkey").alias("product_id"),
-        F.concat(F.lit("Part "), text("l_partkey")).alias("title"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").alias("price"),
+    element = lambda line: F.struct(
+        line["l_partkey"].alias("product_id"),
+        F.concat(F.lit("Part "), text(line["l_partkey"])).alias("title"),
+        line["l_quantity"].cast("int").alias("quantity"),
+        line["l_extendedprice"].alias("price"),
     )
-    docs = _with_lines(_orders(spark, sf, 2), line_documents(spark, sf, 2, element))
+    docs = _with_lines(spark, sf, 2, element)
     place = F.struct(
         F.col("street"), F.col("door").alias("number"), F.col("n_name").alias("city"),
         F.col("r_name").alias("state"), F.col("cp").alias("zip"), "country",

@@ -84,3 +84,13 @@ def test_scalars_are_not_joined(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "CartesianProduct" not in plan
     assert out.select("top").distinct().collect()[0]["top"] == 899
+
+
+def test_left_join_many_computes_the_left_side_once(spark, rows):
+    left = spark.range(1, 4).select(F.when(F.col("id") < 3, F.col("id")).alias("p"), F.md5(F.col("id").cast("string")).alias("text"))
+    right = spark.createDataFrame([(1, 7), (1, 8), (3, 9), (None, 5)], "k long, id long")
+    joined = left_join_many(left, right, "p", "k")
+    assert rows(joined, "p", "k", "id") == rows(left.join(right, F.col("p") == F.col("k"), "left"), "p", "k", "id")
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
+    keys = spark.createDataFrame([(1,), (2,), (4,), (None,)], "p long")
+    assert rows(left_join_many(left, right, "p", "k", keys, right)) == rows(joined)
