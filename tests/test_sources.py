@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.plans import runner
 from quarry.plans.runlog import RunLog
 from quarry.plans.runner import run_extraction, run_pipeline
 from quarry.session import materialise
@@ -559,6 +560,25 @@ def test_pipeline_gate_does_not_publish(spark, repeated, tmp_path):
     assert log.read("quality").count() == 2
 
 
+def test_a_checked_staging_table_is_written_once(spark, repeated, tmp_path, monkeypatch):
+    lake, log, labels = Lake(str(tmp_path)), RunLog(spark, str(tmp_path)), []
+    scratch = runner.scratch_path
+    monkeypatch.setattr(runner, "scratch_path", lambda session, label: labels.append(label) or scratch(session, label))
+    lake.write_raw(repeated, "s", "t")
+    config = {
+        "name": "p", "source": {"layer": "raw", "domain": "s", "table": "t"},
+        "destination": {"layer": "staging", "table": "t"},
+        "quality_checks": [{"type": "not_null", "columns": ["id"], "severity": "error"}],
+    }
+    for _ in range(2):  # the second run replaces the table
+        assert run_pipeline(spark, lake, log, config)["status"] == "success"
+    failed = config | {"quality_checks": [{"type": "unique", "columns": ["id"], "severity": "error"}]}
+    assert run_pipeline(spark, lake, log, failed)["status"] == "error"
+    assert lake.read_staging(spark, "t").count() == repeated.count()
+    assert not [label for label in labels if label.startswith("pending")]
+    assert not list((tmp_path / "_pending").iterdir()) and len(list((tmp_path / "staging/default").iterdir())) == 1
+
+
 def test_relationships_and_unknown_checks_in_pipelines(spark, people, repeated, tmp_path):
     lake, log = Lake(str(tmp_path)), RunLog(spark, str(tmp_path))
     lake.write_raw(people.where("id < 3"), "s", "t")
