@@ -151,3 +151,26 @@ def test_quadrants(spark):
 def test_usual_order(shop):
     out = consume.sorted_by(located(shop), "ventas_por_ubicacion").collect()
     assert [r["revenue_total"] for r in out] == sorted((r["revenue_total"] for r in out), reverse=True)
+
+
+def test_tables_joined_before_give_the_same_models(spark, shop, rows):
+    orders, sales, items = shop["pedido"], shop["cliente_pedido"], shop["item_pedido"]
+    bridge, places, population = shop["bridge"], shop["places"], shop["population"]
+    # a second row of one sale, a sale without an order, an order without a sale
+    sales = sales.unionByName(sales.where("pedido_id = 21")).where("pedido_id != 33")
+    orders = orders.where("pedido_id != 44")
+    owned = consume.owned_orders(orders, items, sales)
+    valid = consume.valid_orders(sales, items)
+    customers = consume.located_customers(bridge, places)
+    by_place = consume.ventas_por_ubicacion(bridge, places, sales, items, population)
+    market = consume.penetracion_mercado(by_place)
+    for parts, joined in (
+        (consume.ventas_diarias(orders, items, sales, bridge, places), consume.ventas_diarias(owned, None, None, customers, None)),
+        (consume.ventas_por_canal(orders, items, sales, bridge, places), consume.ventas_por_canal(owned, None, None, customers, None)),
+        (consume.dominancia_canal_geo(sales, orders, items, bridge, places), consume.dominancia_canal_geo(None, owned, None, customers, None)),
+        (by_place, consume.ventas_por_ubicacion(customers, None, valid, None, population)),
+        (consume.penetracion_evolucion(sales, items, bridge, places, by_place), consume.penetracion_evolucion(valid, None, customers, None, by_place)),
+        (consume.retencion_geografica(sales, items, bridge, places, market), consume.retencion_geografica(valid, None, customers, None, market)),
+    ):
+        exact = [f"round({c}, 9) AS {c}" if t == "double" else c for c, t in parts.dtypes]
+        assert rows(joined.selectExpr(*exact)) == rows(parts.selectExpr(*exact)) != []
