@@ -5,7 +5,7 @@ import hashlib
 
 import pytest
 
-from quarry.plans import staging
+from quarry.plans import channels, staging
 from quarry.plans.runner import build_models
 from quarry.sources.layers import Lake
 from tests import raw_fixture
@@ -195,3 +195,32 @@ def test_documents_are_parsed_once(raw):
     for model, documents in ((staging.direccion, 3), (staging.cliente, 3), (staging.producto, 6), (staging.cliente_ubicacion_geo, 4)):
         plan = model(raw)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json") == documents, model.__name__
+
+
+def test_build_reads_raw_documents_once_per_shape(spark, raw, tmp_path):
+    read = {n: spark.sparkContext.accumulator(0) for n in ("vtex_pedido", "meli_pedido", "garbarino_pedido")}
+
+    def counted(name):
+        def batches(some):
+            for batch in some:
+                read[name].add(batch.num_rows)
+                yield batch
+
+        return raw[name].mapInArrow(batches, raw[name].schema)
+
+    build_models(spark, Lake(str(tmp_path)), raw | {n: counted(n) for n in read}, dt.date(2024, 6, 1))
+    # orders and their lines; no model reads the documents again
+    assert {n: a.value for n, a in read.items()} == {n: 2 * raw[n].count() for n in read}
+
+
+def test_parsed_documents_give_the_same_models(raw, rows):
+    parsed = raw | {
+        channels.PARSED_ORDERS: channels.order_documents(raw), channels.PARSED_ITEMS: channels.item_documents(raw),
+        channels.PARSED_RECEIVERS: staging.receiver_documents(raw),
+    }
+    addresses = staging.direccion_geocodificada(staging.direccion(raw), staging.geo_coords(raw))
+    for model in (
+        staging.cliente, staging.producto, staging.direccion, staging.pedido, staging.item_pedido, staging.geo_envio,
+        staging.cliente_pedido, staging.cliente_ubicacion_geo, lambda given: staging.ubicacion_geo(given, addresses),
+    ):
+        assert rows(model(parsed)) == rows(model(raw)) != []
