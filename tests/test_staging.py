@@ -2,11 +2,15 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import time
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.plans import channels, staging
 from quarry.plans.runner import build_models
+from quarry.session import SHUFFLE_CLEANUP
 from quarry.sources.layers import Lake
 from tests import raw_fixture
 
@@ -224,3 +228,34 @@ def test_parsed_documents_give_the_same_models(raw, rows):
         staging.cliente_pedido, staging.cliente_ubicacion_geo, lambda given: staging.ubicacion_geo(given, addresses),
     ):
         assert rows(model(parsed)) == rows(model(raw)) != []
+
+
+def test_build_keeps_no_scratch_tables_and_no_shuffle_files(spark, raw, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {p for folder in disk.localDirsString() for p in Path(folder).rglob("shuffle_*")}
+
+    def scratch():
+        return set(Path(spark.conf.get("spark.checkpoint.dir")).glob("*_documents-*"))
+
+    before, parsed, setting = shuffled(), scratch(), spark.conf.get(SHUFFLE_CLEANUP, "false")
+    build_models(spark, Lake(str(tmp_path)), raw, dt.date(2024, 6, 1))
+    assert scratch() == parsed
+    deadline = time.monotonic() + 20  # executors delete them in their own time
+    while shuffled() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, "false") == setting
+
+
+def test_order_ids_stand_for_their_digests_within_a_channel(spark, raw, rows):
+    lines = staging.item_pedido(raw)
+    repeated = lines.unionByName(lines.where("canal = 'mercadolibre'")).unionByName(
+        lines.where("orden_id_origen = 'v3'").withColumns(
+            {"pedido_id": F.lit(None).cast("string"), "orden_id_origen": F.lit(None).cast("string")}
+        )
+    )
+    of_digests = staging.canal_producto(staging.producto(raw), staging.canal(spark), repeated)
+    ids = repeated.withColumn("pedido_id", F.col("orden_id_origen"))
+    assert rows(staging.canal_producto(staging.producto(raw), staging.canal(spark), ids)) == rows(of_digests) != []
