@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quarry.functions.keys import packed, unpacked
 from quarry.plans import consume
 
 
@@ -174,3 +175,15 @@ def test_tables_joined_before_give_the_same_models(spark, shop, rows):
     ):
         exact = [f"round({c}, 9) AS {c}" if t == "double" else c for c, t in parts.dtypes]
         assert rows(joined.selectExpr(*exact)) == rows(parts.selectExpr(*exact)) != []
+
+
+def test_orders_of_customers_come_from_all_orders(spark, shop, rows):
+    orders, sales, items = shop["pedido"], shop["cliente_pedido"], shop["item_pedido"]
+    sales = sales.where("pedido_id != 33")  # an order of nobody
+    nameless = F.when(F.col("pedido_id") != 21, F.md5(F.col("cliente_id").cast("string"))).alias("cliente_id")
+    sales = sales.select(nameless, *[c for c in sales.columns if c != "cliente_id"])
+    valid = consume.valid_orders(sales, items).select("cliente_id", "monto_total", "fecha_pedido")
+    owned = consume.owned_orders(orders, items, packed(sales, "cliente_id"), "fecha_pedido")
+    assert rows(unpacked(consume.bought_orders(owned), "cliente_id")) == rows(valid) != []
+    assert owned.schema["cliente_id"].dataType.typeName() == "binary"
+    assert {r["cliente_id"] is None for r in valid.collect()} == {True, False}

@@ -237,7 +237,8 @@ def test_build_keeps_no_scratch_tables_and_no_shuffle_files(spark, raw, tmp_path
         return {p for folder in disk.localDirsString() for p in Path(folder).rglob("shuffle_*")}
 
     def scratch():
-        return set(Path(spark.conf.get("spark.checkpoint.dir")).glob("*_documents-*"))
+        kept = Path(spark.conf.get("spark.checkpoint.dir"))
+        return {p for label in ("*_documents", "owned", "customers") for p in kept.glob(f"{label}-*")}
 
     before, parsed, setting = shuffled(), scratch(), spark.conf.get(SHUFFLE_CLEANUP, "false")
     build_models(spark, Lake(str(tmp_path)), raw, dt.date(2024, 6, 1))
